@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import start_of_minute
-from tidemark.schemas import DAY_KEYS, MINUTE_KEYS
+from tidemark.schemas import DAY_KEYS
 
 
 def _day_keys() -> list[Column]:
@@ -82,16 +82,3 @@ def with_live(compacted: DataFrame, partials: DataFrame) -> DataFrame:
     covered = compacted.select(F.coalesce(F.max("batch_id"), F.lit(-1))).scalar()
     return compacted.unionByName(partials.filter(F.col("batch_id") > covered))
 
-
-__all__ = [
-    "DAY_KEYS",
-    "MINUTE_KEYS",
-    "compact",
-    "day_members",
-    "merge_actors",
-    "merge_counts",
-    "merge_day",
-    "rollup_day",
-    "rollup_minute",
-    "with_live",
-]

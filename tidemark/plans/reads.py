@@ -77,4 +77,4 @@ def last_event_date(recent: DataFrame, historic: DataFrame, as_of: Moment) -> Da
         return newer.agg(F.max("created_at").alias("last_date"))
 
     both = latest(recent).unionByName(latest(historic))
-    return both.agg(F.coalesce(F.greatest(F.max("last_date"), floor), floor).alias("last_date"))
+    return both.agg(F.greatest(F.max("last_date"), floor).alias("last_date"))

@@ -1,46 +1,68 @@
-"""Table schemas. Column names and types are fixed values."""
+"""Table schemas."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
-# The column layout of the archive, lake and serving tables.
-_ACTOR = "STRUCT<id: STRING, login: STRING, display_login: STRING, gravatar_id: STRING, url: STRING, avatar_url: STRING>"
-_REPO = "STRUCT<id: STRING, name: STRING, url: STRING>"
-_ORG = "STRUCT<id: STRING, login: STRING, gravatar_id: STRING, url: STRING, avatar_url: STRING>"
 
-# One archive line. `created_at` stays text here so that a bad value can be
-# reported; `payload` as STRING keeps the raw JSON text of the object.
-RAW_EVENT = StructType.fromDDL(
-    f"id STRING, type STRING, created_at STRING, public BOOLEAN, "
-    f"actor {_ACTOR}, repo {_REPO}, org {_ORG}, payload STRING, _corrupt_record STRING"
-)
+def _struct(**fields: str | DataType) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema.add(name, kind)
+    return schema
 
-LAKE = StructType.fromDDL(
-    f"id STRING, type STRING, created_at TIMESTAMP_NTZ, public BOOLEAN, "
-    f"actor {_ACTOR}, repo {_REPO}, org {_ORG}, payload STRING, "
-    f"action STRING, ref STRING, ref_type STRING, number INT"
+
+# The column layout of the archive, lake, serving and stream tables.
+ACTOR = _struct(
+    id="string", login="string", display_login="string", gravatar_id="string", url="string", avatar_url="string"
 )
+REPO = _struct(id="string", name="string", url="string")
+ORG = _struct(id="string", login="string", gravatar_id="string", url="string", avatar_url="string")
 
-SERVING = StructType.fromDDL(
-    "event_type STRING, actor_login STRING, repo_name STRING, created_at TIMESTAMP_NTZ, action STRING"
+# One archive line. `created_at` stays text here so that a bad value can be
+# reported; `payload` as a string keeps the raw JSON text of the object.
+RAW_EVENT = _struct(
+    id="string",
+    type="string",
+    created_at="string",
+    public="boolean",
+    actor=ACTOR,
+    repo=REPO,
+    org=ORG,
+    payload="string",
+    _corrupt_record="string",
 )
 
-STREAM_EVENT = StructType.fromDDL("user_id INT, timestamp TIMESTAMP_NTZ, event_type STRING")
+LAKE = _struct(
+    id="string",
+    type="string",
+    created_at="timestamp_ntz",
+    public="boolean",
+    actor=ACTOR,
+    repo=REPO,
+    org=ORG,
+    payload="string",
+    action="string",
+    ref="string",
+    ref_type="string",
+    number="integer",
+)
 
-ITEM = StructType.fromDDL("id STRING, name STRING, value BIGINT, timestamp TIMESTAMP_NTZ")
+SERVING = _struct(
+    event_type="string", actor_login="string", repo_name="string", created_at="timestamp_ntz", action="string"
+)
 
 # Mergeable partial state. A count is additive; an exact distinct count is not,
 # so its state is the set of members, one row each.
 DAY_KEYS = ("date", "event_type", "repo_name")
 MINUTE_KEYS = ("minute", "event_type")
 
-DAY_PARTIAL = StructType.fromDDL(
-    "date DATE, event_type STRING, repo_name STRING, cnt BIGINT, source STRING, batch_id BIGINT, month INT"
-)
-DAY_MEMBER = StructType.fromDDL(
-    "date DATE, event_type STRING, repo_name STRING, actor_login STRING, source STRING, batch_id BIGINT, month INT"
+_PARTITIONS = {"batch_id": "long", "month": "integer"}
+
+DAY_PARTIAL = _struct(
+    date="date", event_type="string", repo_name="string", cnt="long", source="string", **_PARTITIONS
 )
-MINUTE_PARTIAL = StructType.fromDDL(
-    "minute TIMESTAMP_NTZ, event_type STRING, cnt BIGINT, batch_id BIGINT, month INT"
+DAY_MEMBER = _struct(
+    date="date", event_type="string", repo_name="string", actor_login="string", source="string", **_PARTITIONS
 )
+MINUTE_PARTIAL = _struct(minute="timestamp_ntz", event_type="string", cnt="long", **_PARTITIONS)

@@ -76,7 +76,7 @@ class PartitionedTable:
 
     def clear_partition(self, values: dict[str, str]) -> None:
         """Remove the rows of one partition by overwriting it with none."""
-        spec = ", ".join(f"{k} = CAST('{v}' AS {self.partitions[k][0]})" for k, v in values.items())
+        spec = ", ".join(f"{k} = {self.partitions[k][0]} '{v}'" if self.partitions[k][0] == "DATE" else f"{k} = {v}" for k, v in values.items())
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema)
         self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({spec}) SELECT {nothing} WHERE false")
 
