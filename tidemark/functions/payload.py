@@ -19,15 +19,13 @@ _PARSED_TYPES = sorted({name for names in PAYLOAD_FIELDS.values() for name in na
 def derive_columns(events: DataFrame) -> DataFrame:
     """Add action, ref, ref_type and number.
 
-    The payload is parsed once per row and only for types that keep a field;
-    the parser skips every member outside the four-field schema.
+    json_tuple parses the payload once for all four fields, inside generated
+    code; types that keep no field are not parsed.
     """
     wanted = F.when(F.col("type").isin(_PARSED_TYPES), F.col("payload"))
-    fields = F.from_json(wanted, "action STRING, ref STRING, ref_type STRING, number STRING")
-    parsed = events.withColumn("_fields", fields)
-    for name, types in PAYLOAD_FIELDS.items():
-        value = F.col(f"_fields.{name}")
-        if name == "number":
-            value = value.try_cast("int")
-        parsed = parsed.withColumn(name, F.when(F.col("type").isin(*types), value))
-    return parsed.drop("_fields")
+    parsed = events.select("*", F.json_tuple(wanted, *PAYLOAD_FIELDS).alias(*(f"_{n}" for n in PAYLOAD_FIELDS)))
+    derived = {
+        name: F.when(F.col("type").isin(*types), F.col(f"_{name}")) for name, types in PAYLOAD_FIELDS.items()
+    }
+    derived["number"] = derived["number"].try_cast("int")
+    return parsed.withColumns(derived).drop(*(f"_{name}" for name in PAYLOAD_FIELDS))

@@ -69,16 +69,22 @@ class PartitionedTable:
     def append(self, rows: DataFrame) -> None:
         self._arranged(self._partitioned(rows)).write.insertInto(self.name)
 
-    def partition_values(self) -> list[dict[str, str]]:
-        """Partition keys from the catalog; touches no data."""
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+    def _spec(self, values: dict[str, str]) -> str:
+        kinds = {name: kind for name, (kind, _) in self.partitions.items()}
+        return ", ".join(f"{k} = DATE '{v}'" if kinds[k] == "DATE" else f"{k} = {v}" for k, v in values.items())
+
+    def partition_values(self, **leading: str) -> list[dict[str, str]]:
+        """Partition keys from the catalog, below the given leading ones; touches no data."""
+        within_spec = f" PARTITION ({self._spec(leading)})" if leading else ""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name}{within_spec}").collect()
         return [dict(part.split("=", 1) for part in row.partition.split("/")) for row in listed]
 
-    def clear_partition(self, values: dict[str, str]) -> None:
+    def clear_partition(self, **values: str) -> None:
         """Remove the rows of one partition by overwriting it with none."""
-        spec = ", ".join(f"{k} = {self.partitions[k][0]} '{v}'" if self.partitions[k][0] == "DATE" else f"{k} = {v}" for k, v in values.items())
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema)
-        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({spec}) SELECT {nothing} WHERE false")
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.name} PARTITION ({self._spec(values)}) SELECT {nothing} WHERE false"
+        )
 
 
 class LakeTable(PartitionedTable):
@@ -102,17 +108,21 @@ class LakeTable(PartitionedTable):
 
     def loaded_hours(self, start: Moment, end: Moment) -> set[dt.datetime]:
         """Hours of [start, end) for which a partition exists."""
+        start, end = moment(start), moment(end)
+        last = end - dt.timedelta(hours=1)
+        one_day = {"event_date": start.date().isoformat()} if start.date() == last.date() else {}
         hours = {
             dt.datetime.fromisoformat(p["event_date"]) + dt.timedelta(hours=int(p["event_hour"]))
-            for p in self.partition_values()
+            for p in self.partition_values(**one_day)
         }
-        return {hour for hour in hours if moment(start) <= hour < moment(end)}
+        return {hour for hour in hours if start <= hour < end}
 
     def replace_slice(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
         """Make ``rows`` the whole content of [start, end), in one pass over them.
 
         Both bounds are full hours. Rows outside the slice are counted and left
-        out. Running it again, also after a failure half-way, gives the same table.
+        out. Old rows stay in place until the new ones are complete; running the
+        call again, also after a failure half-way, gives the same table.
         """
         start, end = moment(start), moment(end)
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
@@ -131,7 +141,7 @@ class LakeTable(PartitionedTable):
         counts = seen.get
         emptied = sorted(stale - set(counts["hours"]))
         for hour in emptied:
-            self.clear_partition({"event_date": f"{hour:%Y-%m-%d}", "event_hour": str(hour.hour)})
+            self.clear_partition(event_date=f"{hour:%Y-%m-%d}", event_hour=str(hour.hour))
         return SliceReport(counts["written"], counts["outside"], sorted(counts["hours"]), emptied)
 
 
@@ -149,7 +159,7 @@ class ServingTable(PartitionedTable):
         floor = retention_floor(as_of).isoformat()
         expired = sorted(p["event_date"] for p in self.partition_values() if p["event_date"] < floor)
         for date in expired:
-            self.clear_partition({"event_date": date})
+            self.clear_partition(event_date=date)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (event_date = DATE'{date}')")
         return expired
 

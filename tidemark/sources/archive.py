@@ -50,15 +50,16 @@ def archive_glob(landing: str, start: Moment, end: Moment, name: str = ARCHIVE_N
     return f"{landing.rstrip('/')}/{pattern}"
 
 
-def read_archive(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_archive(spark: SparkSession, paths: str | list[str], with_hour: bool = False) -> DataFrame:
     """Scan archives with the fixed schema (no inference pass), fields matched by name.
 
-    Adds ``archive_hour``, taken from the path. Unparsable lines keep their text
-    in ``_corrupt_record``. A gzip file is one task: the parallelism of a load is
-    its number of hours.
+    ``with_hour`` adds ``archive_hour``, taken from the path. Unparsable lines
+    keep their text in ``_corrupt_record``. A gzip file is one task: the
+    parallelism of a load is its number of hours.
     """
-    pin_utc(spark)
-    raw = spark.read.schema(RAW_EVENT).json(paths)
+    raw = pin_utc(spark).read.schema(RAW_EVENT).json(paths)
+    if not with_hour:
+        return raw
     stem = F.regexp_extract(F.col("_metadata.file_path"), _STEM_PATTERN, 1)
     return raw.withColumn("archive_hour", F.try_to_timestamp(stem, F.lit("yyyy-MM-dd-H")).cast("timestamp_ntz"))
 

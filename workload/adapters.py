@@ -16,7 +16,7 @@ from tidemark.operators.events import project_serving
 from tidemark.plans.load import load_range
 from tidemark.schemas import SERVING
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sinks.tables import LakeTable
+from tidemark.sinks.tables import LakeTable, ServingTable
 from tidemark.sources.archive import conform_to_lake
 from tidemark.sources.items import generate_items
 from tidemark.sources.messages import file_messages
@@ -117,6 +117,17 @@ def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_serving(lake_rows(spark, sf_dir))
 
 
+def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored serving table that queries only read."""
+
+    def build() -> str:
+        table = ServingTable(pin_utc(spark), new_name("serving"), scratch_dir(spark, "serving")).create()
+        table.append(serving_rows(spark, sf_dir))
+        return table.name
+
+    return pin_utc(spark).table(_once(spark, sf_dir, "serving", build))
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Gzip JSON archives of all events, one folder per UTC hour."""
 
@@ -198,13 +209,13 @@ def serving_files(spark: SparkSession, sf_dir: str) -> str:
     """Serving rows as files in four lanes; the historic and recent parts overlap."""
 
     def build() -> str:
-        path = scratch_dir(spark, "serving")
+        path = scratch_dir(spark, "serving_files")
         rows = serving_rows(spark, sf_dir).withColumn("lane", F.pmod(F.hash("created_at"), F.lit(4)))
         rows.filter(F.col("created_at") <= ntz(HISTORIC_UNTIL)).write.partitionBy("lane").parquet(f"{path}/historic")
         rows.filter(F.col("created_at") > ntz(RECENT_AFTER)).write.partitionBy("lane").parquet(f"{path}/recent")
         return path
 
-    return _once(spark, sf_dir, "serving", build)
+    return _once(spark, sf_dir, "serving_files", build)
 
 
 def serving_stream(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:

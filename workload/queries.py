@@ -57,8 +57,8 @@ def _flat(lake: DataFrame) -> DataFrame:
     )
 
 
-def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_archive(spark, f"{a.landing(spark, sf_dir)}/{a.ARCHIVE_FOLDER.format(stem='*')}")
+def _archive(spark: SparkSession, sf_dir: str, with_hour: bool = False) -> DataFrame:
+    return read_archive(spark, f"{a.landing(spark, sf_dir)}/{a.ARCHIVE_FOLDER.format(stem='*')}", with_hour)
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,16 +66,16 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.rollup_day(a.serving_rows(spark, sf_dir), "historic")
+    return rollups.rollup_day(a.serving(spark, sf_dir), "historic")
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.day_members(a.serving_rows(spark, sf_dir), "historic")
+    return rollups.day_members(a.serving(spark, sf_dir), "historic")
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Historic and recent serving rows; they share five days."""
-    rows = a.serving_rows(spark, sf_dir)
+    rows = a.serving(spark, sf_dir)
     return (
         rows.filter(F.col("created_at") <= ntz(a.HISTORIC_UNTIL)),
         rows.filter(F.col("created_at") > ntz(a.RECENT_AFTER)),
@@ -96,7 +96,7 @@ def scan_archive_json(spark, sf_dir):
 
 @_query
 def scan_archive_day(spark, sf_dir):
-    return _archive(spark, sf_dir).select("id", "archive_hour")
+    return _archive(spark, sf_dir, with_hour=True).select("id", "archive_hour")
 
 
 @_query
@@ -212,7 +212,7 @@ def copy_rt_range(spark, sf_dir):
 
 @_query
 def copy_rt_incremental(spark, sf_dir):
-    serving = a.serving_rows(spark, sf_dir)
+    serving = a.serving(spark, sf_dir)
     historic = serving.filter(F.col("created_at") <= ntz(SPLIT))
     recent = serving.filter(within(F.col("created_at"), SPLIT, "2024-01-22 00:00:00"))
     mark = reads.last_event_date(recent, historic, NOW)
@@ -250,7 +250,7 @@ def slice_count(spark, sf_dir):
 
 @_query
 def retain_month(spark, sf_dir):
-    return retain_one_month(a.serving_rows(spark, sf_dir), AS_OF)
+    return retain_one_month(a.serving(spark, sf_dir), AS_OF).select(*SERVING.fieldNames())
 
 
 # Rollups
@@ -393,7 +393,7 @@ def _span(spark, sf_dir):
 @_query
 def missing_hours(spark, sf_dir):
     # hours without any issue event stand for hours that were never loaded
-    return hours.missing_hours(a.serving_rows(spark, sf_dir).filter("event_type = 'IssuesEvent'"))
+    return hours.missing_hours(a.serving(spark, sf_dir).filter("event_type = 'IssuesEvent'"))
 
 
 @_query
@@ -497,7 +497,7 @@ def load_range(spark, sf_dir):
 
 @_query
 def load_report(spark, sf_dir):
-    return load.rows_per_archive(_archive(spark, sf_dir))
+    return load.rows_per_archive(_archive(spark, sf_dir, with_hour=True))
 
 
 @_query
