@@ -22,10 +22,18 @@ from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
 from tidemark.session import session_conf
 
+# The name Spark gives to the partition of rows whose key is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class SliceReport:
-    """What one replacement did: rows written, rows outside the slice, hours written and emptied."""
+    """What one replacement did.
+
+    ``written`` and ``hours`` are counted by the tasks that write. ``outside``
+    (rows left out) is counted while reading, where a task repeated after a lost
+    executor counts its rows again; it is exact otherwise.
+    """
 
     written: int
     outside: int
@@ -63,12 +71,6 @@ class PartitionedTable:
             {name: F.expr(expression) for name, (_, expression) in self.partitions.items()}
         )
 
-    def _arranged(self, rows: DataFrame) -> DataFrame:
-        raise NotImplementedError
-
-    def append(self, rows: DataFrame) -> None:
-        self._arranged(self._partitioned(rows)).write.insertInto(self.name)
-
     def _spec(self, values: dict[str, str]) -> str:
         kinds = {name: kind for name, (kind, _) in self.partitions.items()}
         return ", ".join(f"{k} = DATE '{v}'" if kinds[k] == "DATE" else f"{k} = {v}" for k, v in values.items())
@@ -96,12 +98,16 @@ class LakeTable(PartitionedTable):
         "event_hour": ("INT", "hour(created_at)"),
     }
 
-    def _arranged(self, rows: DataFrame) -> DataFrame:
+    def _placed(self, rows: DataFrame) -> DataFrame:
         # rebalance lets adaptive execution split a busy hour over several
         # tasks and join quiet ones, whatever the shuffle partition count is
-        return rows.hint("rebalance", *self.partitions).sortWithinPartitions(
-            *self.partitions, "type", "created_at"
-        )
+        return self._partitioned(rows).hint("rebalance", *self.partitions)
+
+    def _sorted(self, rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions(*self.partitions, "type", "created_at")
+
+    def append(self, rows: DataFrame) -> None:
+        self._sorted(self._placed(rows)).write.insertInto(self.name)
 
     def slice_count(self, start: Moment, end: Moment) -> int:
         return time_slice(self.read(), start, end).count()
@@ -114,6 +120,7 @@ class LakeTable(PartitionedTable):
         hours = {
             dt.datetime.fromisoformat(p["event_date"]) + dt.timedelta(hours=int(p["event_hour"]))
             for p in self.partition_values(**one_day)
+            if p["event_date"] != NULL_PARTITION
         }
         return {hour for hour in hours if start <= hour < end}
 
@@ -128,21 +135,21 @@ class LakeTable(PartitionedTable):
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
             raise ValueError("a slice starts and ends on a full hour")
         inside = F.coalesce(within(F.col("created_at"), start, end), F.lit(False))
-        seen = Observation()
-        watched = rows.observe(
-            seen,
-            F.count_if(inside).alias("written"),
-            F.count_if(~inside).alias("outside"),
-            F.collect_set(F.when(inside, start_of_hour(F.col("created_at")))).alias("hours"),
+        read, wrote = Observation(), Observation()
+        kept = rows.observe(read, F.count_if(~inside).alias("outside")).filter(inside)
+        placed = self._placed(kept).observe(
+            wrote,
+            F.count("*").alias("rows"),
+            F.collect_set(start_of_hour(F.col("created_at"))).alias("hours"),
         )
         stale = self.loaded_hours(start, end)
         with session_conf(self.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            self._arranged(self._partitioned(watched.filter(inside))).write.mode("overwrite").insertInto(self.name)
-        counts = seen.get
-        emptied = sorted(stale - set(counts["hours"]))
+            self._sorted(placed).write.mode("overwrite").insertInto(self.name)
+        hours = sorted(wrote.get["hours"])
+        emptied = sorted(stale.difference(hours))
         for hour in emptied:
             self.clear_partition(event_date=f"{hour:%Y-%m-%d}", event_hour=str(hour.hour))
-        return SliceReport(counts["written"], counts["outside"], sorted(counts["hours"]), emptied)
+        return SliceReport(wrote.get["rows"], read.get["outside"], hours, emptied)
 
 
 class ServingTable(PartitionedTable):
@@ -151,13 +158,14 @@ class ServingTable(PartitionedTable):
     schema = SERVING
     partitions = {"event_date": ("DATE", "to_date(created_at)")}
 
-    def _arranged(self, rows: DataFrame) -> DataFrame:
-        return cluster_by_time(rows, "event_date")
+    def append(self, rows: DataFrame) -> None:
+        cluster_by_time(self._partitioned(rows), "event_date").write.insertInto(self.name)
 
     def drop_expired(self, as_of: Moment) -> list[str]:
         """Drop whole days past the one-month retention; rollups built from them stay."""
         floor = retention_floor(as_of).isoformat()
-        expired = sorted(p["event_date"] for p in self.partition_values() if p["event_date"] < floor)
+        dates = {p["event_date"] for p in self.partition_values()} - {NULL_PARTITION}
+        expired = sorted(date for date in dates if date < floor)
         for date in expired:
             self.clear_partition(event_date=date)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (event_date = DATE'{date}')")

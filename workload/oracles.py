@@ -113,7 +113,7 @@ _SQL = {
     "derive_number": "SELECT id, type, number FROM lake",
     "payload_as_json": "SELECT id, payload FROM lake",
     "conform_to_lake": "SELECT * FROM lake",
-    "trunc_millis_created_at": "SELECT event_id, date_trunc('milliseconds', ts) AS created_at FROM events",
+    "trunc_millis": "SELECT event_id, date_trunc('milliseconds', ts) AS created_at FROM events",
     "require_not_null": "SELECT * FROM serving WHERE event_type <> 'PushEvent'",
     "default_empty": "SELECT event_type, coalesce(actor_login, '') AS actor_login, coalesce(repo_name, '') AS repo_name, created_at, action FROM serving",
     "copy_historic": _from_lake(_IN_RANGE),
@@ -131,7 +131,7 @@ _SQL = {
     "slice_hour": f"SELECT * FROM lake WHERE strftime(created_at, '%Y-%m-%d') = '{SLICE_DAY}' AND hour(created_at) = {SLICE_HOUR}",
     "slice_day": f"SELECT * FROM lake WHERE strftime(created_at, '%Y-%m-%d') = '{SLICE_DAY}'",
     "slice_count": f"SELECT COUNT(*) AS rows FROM lake WHERE strftime(created_at, '%Y-%m-%d') = '{SLICE_DAY}'",
-    "retain_month": f"SELECT * FROM serving WHERE CAST(created_at AS DATE) + INTERVAL 1 MONTH > TIMESTAMP '{AS_OF}'",
+    "retain_one_month": f"SELECT * FROM serving WHERE CAST(created_at AS DATE) + INTERVAL 1 MONTH > TIMESTAMP '{AS_OF}'",
     "rollup_day_count": "SELECT date, event_type, repo_name, cnt, 'historic' AS source FROM days",
     "rollup_day_actors": "SELECT *, 'historic' AS source FROM members",
     "merge_count": "SELECT event_type, repo_name, COUNT(*) AS count FROM serving GROUP BY ALL",

@@ -8,9 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import ntz, start_of_hour, start_of_minute, trunc_millis, within, yyyymm
-from tidemark.operators import events, hours, rollups
-from tidemark.operators.retention import retain_one_month
+from tidemark.functions import time as t
+from tidemark.operators import events, hours, retention, rollups
 from tidemark.plans import copies, load, reads
 from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL, SERVING
 from tidemark.session import scratch_dir
@@ -77,8 +76,8 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Historic and recent serving rows; they share five days."""
     rows = a.serving(spark, sf_dir)
     return (
-        rows.filter(F.col("created_at") <= ntz(a.HISTORIC_UNTIL)),
-        rows.filter(F.col("created_at") > ntz(a.RECENT_AFTER)),
+        rows.filter(F.col("created_at") <= t.ntz(a.HISTORIC_UNTIL)),
+        rows.filter(F.col("created_at") > t.ntz(a.RECENT_AFTER)),
     )
 
 
@@ -181,8 +180,8 @@ def conform_to_lake(spark, sf_dir):
 
 
 @_query
-def trunc_millis_created_at(spark, sf_dir):
-    return a.events_table(spark, sf_dir).select("event_id", trunc_millis(F.col("ts")).alias("created_at"))
+def trunc_millis(spark, sf_dir):
+    return a.events_table(spark, sf_dir).select("event_id", t.trunc_millis(F.col("ts")).alias("created_at"))
 
 
 @_query
@@ -213,8 +212,8 @@ def copy_rt_range(spark, sf_dir):
 @_query
 def copy_rt_incremental(spark, sf_dir):
     serving = a.serving(spark, sf_dir)
-    historic = serving.filter(F.col("created_at") <= ntz(SPLIT))
-    recent = serving.filter(within(F.col("created_at"), SPLIT, "2024-01-22 00:00:00"))
+    historic = serving.filter(F.col("created_at") <= t.ntz(SPLIT))
+    recent = serving.filter(t.within(F.col("created_at"), SPLIT, "2024-01-22 00:00:00"))
     mark = reads.last_event_date(recent, historic, NOW)
     return copies.copy_rt(a.shared_lake(spark, sf_dir), high_water=mark, floor="2023-12-31 12:30:00")
 
@@ -249,8 +248,8 @@ def slice_count(spark, sf_dir):
 
 
 @_query
-def retain_month(spark, sf_dir):
-    return retain_one_month(a.serving(spark, sf_dir), AS_OF).select(*SERVING.fieldNames())
+def retain_one_month(spark, sf_dir):
+    return retention.retain_one_month(a.serving(spark, sf_dir), AS_OF).select(*SERVING.fieldNames())
 
 
 # Rollups
@@ -410,10 +409,10 @@ def scalar_battery(spark, sf_dir):
     return a.events_table(spark, sf_dir).select(
         "event_id",
         F.to_date(ts).alias("date"),
-        start_of_minute(ts).alias("minute"),
-        start_of_hour(ts).alias("hour_start"),
-        trunc_millis(ts).alias("millis"),
-        yyyymm(ts).alias("yyyymm"),
+        t.start_of_minute(ts).alias("minute"),
+        t.start_of_hour(ts).alias("hour_start"),
+        t.trunc_millis(ts).alias("millis"),
+        t.yyyymm(ts).alias("yyyymm"),
         F.trunc(ts, "month").alias("month_start"),
         F.hour(ts).alias("hour"),
         F.date_format(ts, "yyyy-MM-dd").alias("date_text"),
@@ -447,8 +446,8 @@ def drop_expired_days(spark, sf_dir):
 def append_events(spark, sf_dir):
     table = a.empty_lake(spark, "append")
     rows = a.lake_rows(spark, sf_dir)
-    table.append(rows.filter(F.col("created_at") <= ntz(SPLIT)))
-    table.append(rows.filter(F.col("created_at") > ntz(SPLIT)))
+    table.append(rows.filter(F.col("created_at") <= t.ntz(SPLIT)))
+    table.append(rows.filter(F.col("created_at") > t.ntz(SPLIT)))
     return _flat(table.read())
 
 
