@@ -27,7 +27,7 @@ from tidemark.sinks.rollups import read_rollup, write_rollup
 from workload import adapters
 from workload.queries import FROM_DAY, SLICE_DAY, SLICE_HOUR, TO_DAY, queries
 
-ROUNDS = 3
+WARMUPS, ROUNDS = 3, 5
 
 
 def _consume(frame: DataFrame) -> None:
@@ -35,7 +35,8 @@ def _consume(frame: DataFrame) -> None:
 
 
 def _measure(action: Callable[[], None]) -> float:
-    action()
+    for _ in range(WARMUPS):
+        action()
     times = []
     for _ in range(ROUNDS):
         start = time.perf_counter()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, day, moment, ntz
@@ -18,6 +20,11 @@ DEFAULT_END = dt.date(2025, 5, 16)
 DEFAULT_LIMIT = 10
 
 
+def _months(start: dt.date, end: dt.date) -> Column:
+    """The month partitions that a closed range touches."""
+    return F.col("month").between(start.year * 100 + start.month, end.year * 100 + end.month)
+
+
 def top_repos(
     rollup: DataFrame,
     start_date: dt.date | str = DEFAULT_START,
@@ -36,15 +43,14 @@ def top_repos(
     if unknown:
         raise ValueError(f"cannot group by {unknown}; choose from {list(DAY_KEYS)}")
     start, end = day(start_date), day(end_date)
-    rows = rollup.filter(F.col("date").between(F.lit(start), F.lit(end)))
+    conditions = [F.col("date").between(start, end)]
     if "month" in rollup.columns:
-        rows = rows.filter(
-            F.col("month").between(start.year * 100 + start.month, end.year * 100 + end.month)
-        )
+        conditions.append(_months(start, end))
     if repo_names is not None:
-        rows = rows.filter(F.col("repo_name").isin(list(repo_names)))
+        conditions.append(F.col("repo_name").isin(list(repo_names)))
     if event_types is not None:
-        rows = rows.filter(F.col("event_type").isin(list(event_types)))
+        conditions.append(F.col("event_type").isin(list(event_types)))
+    rows = rollup.filter(reduce(and_, conditions))
     if not group_by:
         total = rows.agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("count"))
         return total.limit(limit)
@@ -54,11 +60,10 @@ def top_repos(
 def events_stats(rollup: DataFrame, start_ts: Moment, end_ts: Moment) -> DataFrame:
     """Merged counts per minute and type over a closed range, largest first."""
     start, end = moment(start_ts), moment(end_ts)
-    rows = rollup.filter(F.col("minute").between(ntz(start), ntz(end)))
+    condition = F.col("minute").between(ntz(start), ntz(end))
     if "month" in rollup.columns:
-        rows = rows.filter(
-            F.col("month").between(start.year * 100 + start.month, end.year * 100 + end.month)
-        )
+        condition &= _months(start, end)
+    rows = rollup.filter(condition)
     return merge_counts(rows, *MINUTE_KEYS).orderBy(F.desc("count"), *MINUTE_KEYS)
 
 
