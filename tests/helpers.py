@@ -6,6 +6,7 @@ import gzip
 import itertools
 import json
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from tidemark.sinks.tables import LakeTable, ServingTable
@@ -49,3 +50,19 @@ def serving(spark, tmp_path: Path) -> ServingTable:
 def content(frame, *columns) -> list[tuple]:
     """Rows in a comparable order."""
     return sorted((tuple(row) for row in frame.select(*columns).collect()), key=repr)
+
+@contextmanager
+def session_conf(spark, **settings: str):
+    """Apply SQL settings for a block. Keys use ``__`` for ``.``."""
+    keys = {key.replace("__", "."): value for key, value in settings.items()}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -6,12 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import content, event, lake, serving, write_archive
+from helpers import content, event, lake, serving, session_conf, write_archive
 from tidemark.functions.time import ntz
 from tidemark.operators.events import time_slice
 from tidemark.operators.retention import retain_one_month, retention_floor
 from tidemark.plans.load import load_day, load_hour, load_range
-from tidemark.session import session_conf
 from tidemark.sinks.tables import cluster_by_time
 from tidemark.sources.archive import conform_to_lake
 
@@ -85,7 +84,6 @@ def test_failed_replace_keeps_old_rows_and_can_be_repeated(spark, filled):
     with pytest.raises(Exception, match="lost"):
         filled.replace_slice(bad, f"{DAY} 07:00:00", f"{DAY} 08:00:00")
     assert len(ids(filled)) == 6
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     filled.replace_slice(good, f"{DAY} 07:00:00", f"{DAY} 08:00:00")
     assert ids(filled) == ["a", "b", "e", "f", "x"]
 
@@ -95,6 +93,26 @@ def test_slice_must_be_whole_hours(spark, filled):
         filled.replace_slice(filled.read(), f"{DAY} 07:30:00", f"{DAY} 08:00:00")
 
 
+def test_table_without_the_overwrite_option_is_refused(spark, tmp_path, filled):
+    plain = lake(spark, tmp_path)
+    spark.sql(f"DROP TABLE {plain.name}")
+    spark.sql(f"CREATE TABLE {plain.name} USING parquet PARTITIONED BY (event_date, event_hour) AS SELECT * FROM {filled.name}")
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        plain.create().replace_slice(filled.read(), DAY, "2024-03-06")
+    assert len(ids(plain)) == 6
+
+
+def test_load_writes_without_a_shuffle(spark, tmp_path):
+    """Every archive becomes one file of its partition."""
+    landing = tmp_path / "landing"
+    _land_two_days(landing)
+    table = lake(spark, tmp_path)
+    load_range(table, str(landing), "2024-03-05", "2024-03-06")
+    folders = list(Path(table.location).glob("event_date=*/event_hour=*"))
+    assert len(folders) == 48
+    assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in folders)
+
+
 def test_rows_without_time_do_not_disturb_replacement(spark, filled):
     filled.append(rows(spark, ("n", None, "PushEvent")))
     filled.replace_slice(rows(spark, ("x", f"{DAY} 07:30:00", "T")), "2024-03-01", "2024-04-01")

@@ -31,11 +31,12 @@ def load_slice(
 ) -> LoadReport:
     """Replace [start, end) of the lake with the archives of those hours.
 
-    Fails when not one archive of the slice has landed.
+    An archive holds one hour and so does a partition: each task writes what it
+    read, nothing is shuffled. Fails when not one archive of the slice has landed.
     """
     start, end = moment(start), moment(end)
     events = typed_events(read_archive(table.spark, archive_glob(landing, start, end, name)))
-    return LoadReport(table.replace_slice(events, start, end), rejected_rows(events, start, end))
+    return LoadReport(table.replace_slice(events, start, end, by_hour=True), rejected_rows(events, start, end))
 
 
 def load_hour(

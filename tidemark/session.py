@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,20 +28,3 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{tempfile.mkdtemp(prefix='tidemark-')}/{name}"
-
-
-@contextmanager
-def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Apply SQL settings for one statement. Keys use ``__`` for ``.``."""
-    keys = {key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in keys}
-    for key, value in keys.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

@@ -5,6 +5,10 @@ are replaced. Replacing an hour therefore writes that hour and reads nothing
 back, no event type can leave stale rows behind, and a busy type does not become
 one busy partition. Rows are sorted by type inside each file, so a type filter
 still skips row groups.
+
+Overwriting replaces only the partitions that receive rows. That mode is an
+option of the table itself: as an option of a write Spark ignores it for catalog
+tables, and as a session setting it could change under a parallel job.
 """
 
 from __future__ import annotations
@@ -20,7 +24,6 @@ from tidemark.functions.time import Moment, moment, start_of_hour, within
 from tidemark.operators.events import time_slice
 from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
-from tidemark.session import session_conf
 
 # The name Spark gives to the partition of rows whose key is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -31,8 +34,8 @@ class SliceReport:
     """What one replacement did.
 
     ``written`` and ``hours`` are counted by the tasks that write. ``outside``
-    (rows left out) is counted while reading, where a task repeated after a lost
-    executor counts its rows again; it is exact otherwise.
+    (rows left out) is counted before the shuffle, if there is one, where a task
+    repeated after a lost executor counts its rows again; it is exact otherwise.
     """
 
     written: int
@@ -58,7 +61,7 @@ class PartitionedTable:
         location = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(self.partitions)}){location}"
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(self.partitions)}){location}"
         )
         return self
 
@@ -98,10 +101,11 @@ class LakeTable(PartitionedTable):
         "event_hour": ("INT", "hour(created_at)"),
     }
 
-    def _placed(self, rows: DataFrame) -> DataFrame:
+    def _placed(self, rows: DataFrame, by_hour: bool = False) -> DataFrame:
+        rows = self._partitioned(rows)
         # rebalance lets adaptive execution split a busy hour over several
         # tasks and join quiet ones, whatever the shuffle partition count is
-        return self._partitioned(rows).hint("rebalance", *self.partitions)
+        return rows if by_hour else rows.hint("rebalance", *self.partitions)
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
         return rows.sortWithinPartitions(*self.partitions, "type", "created_at")
@@ -109,6 +113,13 @@ class LakeTable(PartitionedTable):
     def append(self, rows: DataFrame) -> None:
         self._sorted(self._placed(rows)).write.insertInto(self.name)
 
+    def _check_overwrite_mode(self) -> None:
+        """A table made elsewhere may lack the option; overwriting would then empty all of it."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
+        properties = described.filter("col_name = 'Storage Properties'").select("data_type").first()
+        if properties is None or "partitionOverwriteMode=dynamic" not in properties[0]:
+            raise ValueError(f"{self.name} lacks the option partitionOverwriteMode=dynamic")
+
     def slice_count(self, start: Moment, end: Moment) -> int:
         return time_slice(self.read(), start, end).count()
 
@@ -124,27 +135,30 @@ class LakeTable(PartitionedTable):
         }
         return {hour for hour in hours if start <= hour < end}
 
-    def replace_slice(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
+    def replace_slice(self, rows: DataFrame, start: Moment, end: Moment, by_hour: bool = False) -> SliceReport:
         """Make ``rows`` the whole content of [start, end), in one pass over them.
 
         Both bounds are full hours. Rows outside the slice are counted and left
         out. Old rows stay in place until the new ones are complete; running the
         call again, also after a failure half-way, gives the same table.
+
+        ``by_hour`` says that each input task holds few hours, as when reading
+        hourly archives; the rows are then written without a shuffle.
         """
         start, end = moment(start), moment(end)
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
             raise ValueError("a slice starts and ends on a full hour")
+        self._check_overwrite_mode()
         inside = F.coalesce(within(F.col("created_at"), start, end), F.lit(False))
         read, wrote = Observation(), Observation()
         kept = rows.observe(read, F.count_if(~inside).alias("outside")).filter(inside)
-        placed = self._placed(kept).observe(
+        placed = self._placed(kept, by_hour).observe(
             wrote,
             F.count("*").alias("rows"),
             F.collect_set(start_of_hour(F.col("created_at"))).alias("hours"),
         )
         stale = self.loaded_hours(start, end)
-        with session_conf(self.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            self._sorted(placed).write.mode("overwrite").insertInto(self.name)
+        self._sorted(placed).write.mode("overwrite").insertInto(self.name)
         hours = sorted(wrote.get["hours"])
         emptied = sorted(stale.difference(hours))
         for hour in emptied:
