@@ -7,7 +7,7 @@ import pytest
 
 from helpers import content
 from tidemark.sources.items import generate_items, generate_items_copy, read_items
-from tidemark.sources.messages import decode_messages, rejected_messages
+from tidemark.sources.messages import decode_messages, kafka_messages, rejected_messages
 
 D = dt.datetime
 
@@ -42,6 +42,11 @@ def test_message_is_parsed_once(spark, tmp_path):
     assert plan.count("json_tuple(") == 1 and "from_json" not in plan
 
 
+def test_kafka_source_asks_for_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_messages(spark, "broker:9092", "key_value")
+
+
 # Sample rows of both item sets and the draw that gives them.
 @pytest.mark.parametrize(
     "generate, draw, now, row",

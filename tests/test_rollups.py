@@ -165,6 +165,17 @@ def test_compaction_never_changes_the_answer(spark, batches, upto):
         assert content(later, *MINUTE_KEYS, "count") == want
 
 
+def test_compacted_members_are_united(spark):
+    rows = [(dt.date(2024, 1, 1), "T", "r", actor, "rt", batch, 202401) for actor, batch in (("u", 0), ("u", 1), ("v", 2))]
+    members = spark.createDataFrame(
+        rows,
+        "date DATE, event_type STRING, repo_name STRING, actor_login STRING, source STRING, batch_id BIGINT, month INT",
+    )
+    compacted = rollups.compact_members(members, 1)
+    assert content(compacted, "actor_login", "batch_id") == [("u", 1)]
+    assert content(rollups.with_live(compacted, members), "actor_login", "batch_id") == [("u", 1), ("v", 2)]
+
+
 def _at(spark, *stamps):
     return spark.createDataFrame([(s,) for s in stamps], "created_at STRING").select(
         F.col("created_at").cast("timestamp_ntz").alias("created_at")

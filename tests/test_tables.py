@@ -10,7 +10,7 @@ from helpers import content, event, lake, serving, session_conf, write_archive
 from tidemark.functions.time import ntz
 from tidemark.operators.events import time_slice
 from tidemark.operators.retention import retain_one_month, retention_floor
-from tidemark.plans.load import load_day, load_hour, load_range
+from tidemark.plans.load import load_day, load_hour, load_pending, load_range
 from tidemark.sinks.tables import cluster_by_time
 from tidemark.sources.archive import conform_to_lake
 
@@ -191,6 +191,20 @@ def test_rows_outside_the_hour_go_to_the_rejects(spark, tmp_path):
     assert (outside["id"],) in content(report.rejects, "id")
 
 
+def test_catching_up_loads_only_pending_hours(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for hour in (5, 6, 7, 8):
+        write_archive(landing, f"2024-03-05-{hour}", [event(f"2024-03-05T{hour:02d}:10:00Z")])
+    table = lake(spark, tmp_path)
+    load_hour(table, str(landing), DAY, 5)
+    mark = table.read().agg(F.max("created_at").alias("last_date"))
+    report = load_pending(table, str(landing), mark, f"{DAY} 08:30:00")
+    assert report.slice.hours == [D(2024, 3, 5, 6), D(2024, 3, 5, 7)]
+    assert len(ids(table)) == 3
+    mark = table.read().agg(F.max("created_at").alias("last_date"))
+    assert load_pending(table, str(landing), mark, f"{DAY} 08:30:00") is None
+
+
 def test_load_without_any_archive_fails(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         load_hour(lake(spark, tmp_path), str(tmp_path), DAY, 7)

@@ -65,20 +65,31 @@ def merge_day(partials: DataFrame, members: DataFrame) -> DataFrame:
     return merged.filter(F.col("count").isNotNull())
 
 
+def _settled(state: DataFrame, upto: int) -> DataFrame:
+    return state.filter(F.col("batch_id") <= upto)
+
+
 def compact(partials: DataFrame, keys: tuple[str, ...], upto: int) -> DataFrame:
-    """Merge the partials of all batches up to ``upto`` into one row per key, stamped with ``upto``."""
-    settled = partials.filter(F.col("batch_id") <= upto)
-    return settled.groupBy(*keys, "month").agg(F.sum("cnt").alias("cnt")).withColumn(
-        "batch_id", F.lit(upto).cast("bigint")
-    )
+    """Merge the partial counts of all batches up to ``upto`` into one row per key, stamped with ``upto``.
+
+    Batch ids count per stream, so the state of several sources is compacted one
+    source at a time.
+    """
+    merged = _settled(partials, upto).groupBy(*keys, "month").agg(F.sum("cnt").alias("cnt"))
+    return merged.withColumn("batch_id", F.lit(upto).cast("bigint"))
+
 
+def compact_members(members: DataFrame, upto: int) -> DataFrame:
+    """The same for member sets: their union, one row per member."""
+    united = _settled(members, upto).drop("batch_id").distinct()
+    return united.withColumn("batch_id", F.lit(upto).cast("bigint"))
 
-def with_live(compacted: DataFrame, partials: DataFrame) -> DataFrame:
-    """Compacted rows plus the batches they do not cover yet.
+
+def with_live(compacted: DataFrame, state: DataFrame) -> DataFrame:
+    """Compacted rows plus the batches of the same stream that they do not cover yet.
 
     The stamp decides which batches count, so answers stay the same whether the
     merged batches have been removed already or not.
     """
     covered = compacted.select(F.coalesce(F.max("batch_id"), F.lit(-1))).scalar()
-    return compacted.unionByName(partials.filter(F.col("batch_id") > covered))
-
+    return compacted.unionByName(state.filter(F.col("batch_id") > covered))

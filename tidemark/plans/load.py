@@ -63,6 +63,16 @@ def load_range(
     return load_slice(table, landing, start, end, name)
 
 
+def load_pending(
+    table: LakeTable, landing: str, high_water: DataFrame, now: Moment, name: str = ARCHIVE_NAME
+) -> LoadReport | None:
+    """Catch up: all hours after the one holding ``last_date`` and before the running one, as one job."""
+    last = high_water.select("last_date").first()[0]
+    start = last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+    end = moment(now).replace(minute=0, second=0, microsecond=0)
+    return load_slice(table, landing, start, end, name) if start < end else None
+
+
 def rows_per_archive(events: DataFrame) -> DataFrame:
     """Rows read from each archive hour."""
     return events.groupBy("archive_hour").agg(F.count("*").alias("rows"))

@@ -33,15 +33,23 @@ def minute_writer(path: str) -> BatchWriter:
     return write
 
 
+def write_day_batch(events: DataFrame, path: str, source: str, batch_id: int) -> None:
+    """Partial day counts and members of one batch of one source.
+
+    Also for batch jobs: each copy into a serving table adds its batch.
+    """
+    part = f"source={source}/batch_id={batch_id}"
+    _write_partial(rollup_day(events, source).drop("source"), "date", f"{path}/counts/{part}")
+    _write_partial(day_members(events, source).drop("source"), "date", f"{path}/members/{part}")
+
+
 def day_writer(path: str, source: str) -> BatchWriter:
-    """Partial day counts and members of one micro-batch, for one of several sources."""
+    """:func:`write_day_batch` for a stream; the micro-batch is kept while both outputs are written."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        part = f"source={source}/batch_id={batch_id}"
         batch = batch.select("created_at", "event_type", "repo_name", "actor_login").persist()
         try:
-            _write_partial(rollup_day(batch, source).drop("source"), "date", f"{path}/counts/{part}")
-            _write_partial(day_members(batch, source).drop("source"), "date", f"{path}/members/{part}")
+            write_day_batch(batch, path, source, batch_id)
         finally:
             batch.unpersist()
 

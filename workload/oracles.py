@@ -170,6 +170,9 @@ _SQL = {
     "load_hour": "SELECT * FROM lake",
     "load_day": "SELECT * FROM lake",
     "load_range": "SELECT * FROM lake",
+    "load_pending": "SELECT * FROM lake",
+    "copy_to_rollup": f"SELECT CAST(created_at AS DATE) AS date, type AS event_type, repo_name, COUNT(*) AS count, COUNT(DISTINCT actor_login) AS actor_count FROM lake WHERE {_IN_RANGE} GROUP BY ALL",
+    "compact_day": "SELECT date, event_type, repo_name, cnt AS count, actors AS actor_count FROM days",
     "load_report": "SELECT date_trunc('hour', created_at) AS archive_hour, COUNT(*) AS rows FROM lake GROUP BY ALL",
     "compact_minute": "SELECT * FROM minutes",
     "stream_ingest": "SELECT * FROM messages",

@@ -494,6 +494,16 @@ def load_range(spark, sf_dir):
     return _flat(a.loaded_lake(spark, sf_dir, "load_range").read())
 
 
+@_query
+def load_pending(spark, sf_dir):
+    table = a.empty_lake(spark, "load_pending")
+    first, _ = a.day_span(spark, sf_dir)
+    load.load_range(table, a.landing(spark, sf_dir), first, FROM_DAY, a.ARCHIVE_FOLDER)
+    mark = reads.last_event_date(table.read(), table.read(), NOW)
+    load.load_pending(table, a.landing(spark, sf_dir), mark, NOW, a.ARCHIVE_FOLDER)
+    return _flat(table.read())
+
+
 @_query
 def load_report(spark, sf_dir):
     return load.rows_per_archive(_archive(spark, sf_dir, with_hour=True))
@@ -508,6 +518,41 @@ def compact_minute(spark, sf_dir):
     return rollups.merge_counts(rollups.with_live(compacted, partials), *MINUTE_KEYS)
 
 
+@_query
+def copy_to_rollup(spark, sf_dir):
+    # each copy of a range adds its own batch to the daily rollup
+    lake, path = a.shared_lake(spark, sf_dir), scratch_dir(spark, "copies")
+    for batch_id, (start, end) in enumerate(((FROM_TS, SPLIT), (SPLIT, TO_TS))):
+        copied = copies.copy_historic(lake, start, end)
+        stream_rollups.write_day_batch(copied, path, "historic", batch_id)
+    return _merged_days(spark, path)
+
+
+@_query
+def compact_day(spark, sf_dir):
+    path = scratch_dir(spark, "compact_days")
+    rows = a.serving(spark, sf_dir)
+    # the same actors return in the second half, so member sets of the batches overlap
+    for batch_id, odd in enumerate((False, True)):
+        part = rows.filter((F.minute("created_at") % 2 == 1) == odd)
+        stream_rollups.write_day_batch(part, path, "historic", batch_id)
+    counts = read_rollup(spark, f"{path}/counts", DAY_PARTIAL)
+    members = read_rollup(spark, f"{path}/members", DAY_MEMBER)
+    keys = ("event_type", "date", "repo_name")
+    write_rollup(rollups.compact(counts, (*DAY_KEYS, "source"), upto=1), f"{path}/merged_counts", keys)
+    write_rollup(rollups.compact_members(members, upto=1), f"{path}/merged_members", keys)
+    return rollups.merge_day(
+        rollups.with_live(read_rollup(spark, f"{path}/merged_counts", DAY_PARTIAL), counts),
+        rollups.with_live(read_rollup(spark, f"{path}/merged_members", DAY_MEMBER), members),
+    )
+
+
+def _merged_days(spark, path):
+    return rollups.merge_day(
+        read_rollup(spark, f"{path}/counts", DAY_PARTIAL), read_rollup(spark, f"{path}/members", DAY_MEMBER)
+    )
+
+
 # Streams
 
 
@@ -562,9 +607,7 @@ def stream_day_rollup(spark, sf_dir):
         writer = stream_rollups.day_writer(path, source)
         stream = a.serving_stream(spark, sf_dir, part)
         stream_rollups.maintain(stream, writer, scratch_dir(spark, "checkpoint")).awaitTermination()
-    return rollups.merge_day(
-        read_rollup(spark, f"{path}/counts", DAY_PARTIAL), read_rollup(spark, f"{path}/members", DAY_MEMBER)
-    ).select(*DAY_KEYS, "count", "actor_count")
+    return _merged_days(spark, path)
 
 
 @_query
