@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import content, event, write_archive
+from tidemark.schemas import LAKE
 from tidemark.sources.archive import archive_glob, archive_stems, conform_to_lake, read_archive, typed_events
 
 HOUR = "2024-03-05-7"
@@ -59,6 +60,14 @@ def test_absent_blocks_are_null_and_numbers_become_text(spark, tmp_path):
     assert second["actor"]["id"] == "1" and second["actor"]["display_login"] is None
 
 
+def test_nested_fields_are_matched_by_name(spark, tmp_path):
+    events = _read(spark, tmp_path, [event("2024-03-05T07:00:00Z")])
+    names = LAKE["actor"].dataType.names
+    conformed = conform_to_lake(events.withColumn("actor", F.struct(*[F.col(f"actor.{n}") for n in sorted(names)])))
+    assert content(conformed, "actor.login", "actor.url") == [("ann", "u")]
+    assert conformed.schema["actor"].dataType.names == names
+
+
 def test_time_with_offset_and_bad_time(spark, tmp_path):
     rows = [event("2024-03-05T09:30:00+02:00"), event("soon")]
     got = [r["created_at"] for r in _read(spark, tmp_path, rows).orderBy(F.col("id").cast("int")).collect()]

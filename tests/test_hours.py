@@ -39,7 +39,8 @@ def test_pending_after_the_loaded_hour_and_before_the_running_one(spark, last, n
 
 
 def test_manual_range_includes_start_and_excludes_end(spark):
-    bounds = _frame(spark, "start", "2024-01-01 22:00:00").withColumn("end", F.lit("2024-01-02 01:00:00").cast("timestamp_ntz"))
+    end = F.lit("2024-01-02 01:00:00").cast("timestamp_ntz")
+    bounds = _frame(spark, "start", "2024-01-01 22:00:00").withColumn("end", end)
     assert _hours(pending_hours_range(bounds)) == [D(2024, 1, 1, 22), D(2024, 1, 1, 23), D(2024, 1, 2, 0)]
 
 

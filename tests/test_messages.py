@@ -12,7 +12,14 @@ from tidemark.sources.messages import decode_messages, kafka_messages, rejected_
 D = dt.datetime
 
 GOOD = '{"user_id": 5, "ts": "2024-01-01 10:00:00.123999", "event_type": "click", "extra": [1, 2]}'
-BAD = ("not json", '{"user_id": 5}', '{"ts": "2024-01-01 10:00:00"}', '{"ts": "never", "event_type": "x"}', "", '{"user_id": 5, "ts"')
+BAD = (
+    "not json",
+    '{"user_id": 5}',
+    '{"ts": "2024-01-01 10:00:00"}',
+    '{"ts": "never", "event_type": "x"}',
+    "",
+    '{"user_id": 5, "ts"',
+)
 
 
 def _values(spark, *texts):

@@ -130,6 +130,38 @@ def test_top_groups_by_known_columns_only(rollup):
         top_repos(rollup, group_by=["actor"])
 
 
+def test_counts_combine_before_the_shuffle(spark):
+    plan = rollups.rollup_day(frame(spark, []), "rt")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_count")
+
+
+def test_hot_key_equals_brute_force(spark):
+    """One repository on one day holds most rows, with many actors."""
+    n = 30000
+    events = spark.range(n).select(
+        F.lit(D(2024, 1, 1, 5)).cast("timestamp_ntz").alias("created_at"),
+        F.lit("T").alias("event_type"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 50)).alias("repo_name"),
+        F.concat(F.lit("u"), F.col("id") % 7000).alias("actor_login"),
+    )
+    merged = rollups.merge_day(rollups.rollup_day(events, "rt"), rollups.day_members(events, "rt"))
+    (hot,) = merged.filter("repo_name = 'hot'").collect()
+    rows = [i for i in range(n) if i % 3 > 0]
+    assert (hot["count"], hot["actor_count"]) == (len(rows), len({i % 7000 for i in rows}))
+    assert merged.agg(F.sum("count")).first()[0] == n
+
+
+def test_members_of_one_key_are_written_by_several_tasks(spark, tmp_path):
+    one_key = spark.range(40000).select(
+        F.lit(dt.date(2024, 1, 1)).alias("date"),
+        F.lit("T").alias("event_type"),
+        F.lit("hot").alias("repo_name"),
+        F.uuid().alias("actor_login"),
+    )
+    write_rollup(one_key, str(tmp_path / "members"), ("event_type", "date", "repo_name"))
+    assert len(list((tmp_path / "members").glob("month=202401/*.parquet"))) > 1
+
+
 def test_top_needs_no_full_sort(rollup):
     plan = top_repos(rollup, group_by=["repo_name"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
@@ -166,7 +198,8 @@ def test_compaction_never_changes_the_answer(spark, batches, upto):
 
 
 def test_compacted_members_are_united(spark):
-    rows = [(dt.date(2024, 1, 1), "T", "r", actor, "rt", batch, 202401) for actor, batch in (("u", 0), ("u", 1), ("v", 2))]
+    seen = (("u", 0), ("u", 1), ("v", 2))
+    rows = [(dt.date(2024, 1, 1), "T", "r", actor, "rt", batch, 202401) for actor, batch in seen]
     members = spark.createDataFrame(
         rows,
         "date DATE, event_type STRING, repo_name STRING, actor_login STRING, source STRING, batch_id BIGINT, month INT",
@@ -243,7 +276,8 @@ def test_one_ranged_copy_equals_a_copy_per_day(spark, stamps, first, length):
 
 
 def test_serving_projection_cuts_to_milliseconds_and_needs_a_time(spark):
-    lake = _lake(spark, "2024-01-01 00:00:00.123999").union(_lake(spark, EDGES[0]).withColumn("created_at", F.lit(None)))
+    without_time = _lake(spark, EDGES[0]).withColumn("created_at", F.lit(None))
+    lake = _lake(spark, "2024-01-01 00:00:00.123999").union(without_time)
     assert content(project_serving(lake), "actor_login", "repo_name", "created_at") == [
         ("ann", "ann/tool", D(2024, 1, 1, 0, 0, 0, 123000))]
 

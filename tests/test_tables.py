@@ -96,7 +96,10 @@ def test_slice_must_be_whole_hours(spark, filled):
 def test_table_without_the_overwrite_option_is_refused(spark, tmp_path, filled):
     plain = lake(spark, tmp_path)
     spark.sql(f"DROP TABLE {plain.name}")
-    spark.sql(f"CREATE TABLE {plain.name} USING parquet PARTITIONED BY (event_date, event_hour) AS SELECT * FROM {filled.name}")
+    spark.sql(
+        f"CREATE TABLE {plain.name} USING parquet PARTITIONED BY (event_date, event_hour) "
+        f"AS SELECT * FROM {filled.name}"
+    )
     with pytest.raises(ValueError, match="partitionOverwriteMode"):
         plain.create().replace_slice(filled.read(), DAY, "2024-03-06")
     assert len(ids(plain)) == 6
@@ -217,8 +220,18 @@ def _serving_rows(spark, *stamps):
     )
 
 
-@pytest.mark.parametrize("as_of", ["2024-03-01 00:00:00", "2024-03-01 00:00:01", "2024-02-29 12:00:00", "2023-03-01 00:00:00",
-                                   "2024-03-31 05:00:00", "2024-12-31 23:59:59", "2025-01-01 00:00:00"])
+@pytest.mark.parametrize(
+    "as_of",
+    [
+        "2024-03-01 00:00:00",
+        "2024-03-01 00:00:01",
+        "2024-02-29 12:00:00",
+        "2023-03-01 00:00:00",
+        "2024-03-31 05:00:00",
+        "2024-12-31 23:59:59",
+        "2025-01-01 00:00:00",
+    ],
+)
 def test_retention_floor_equals_the_row_rule(spark, as_of):
     days = spark.sql("SELECT explode(sequence(DATE'2022-12-01', DATE'2025-02-01')) AS d")
     first = days.filter(f"d + INTERVAL 1 MONTH > TIMESTAMP_NTZ'{as_of}'").agg(F.min("d")).first()[0]

@@ -115,9 +115,8 @@ class LakeTable(PartitionedTable):
 
     def _check_overwrite_mode(self) -> None:
         """A table made elsewhere may lack the option; overwriting would then empty all of it."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
-        properties = described.filter("col_name = 'Storage Properties'").select("data_type").first()
-        if properties is None or "partitionOverwriteMode=dynamic" not in properties[0]:
+        described = dict(row[:2] for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect())
+        if "partitionOverwriteMode=dynamic" not in described.get("Storage Properties", ""):
             raise ValueError(f"{self.name} lacks the option partitionOverwriteMode=dynamic")
 
     def slice_count(self, start: Moment, end: Moment) -> int:

@@ -21,7 +21,9 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 
 def _write_partial(rows: DataFrame, time_key: str, folder: str) -> None:
-    rows.withColumn("month", yyyymm(F.col(time_key))).write.mode("overwrite").partitionBy("month").parquet(folder)
+    """Replace one batch folder; busy months get several files, quiet ones share a task."""
+    monthly = rows.withColumn("month", yyyymm(F.col(time_key))).hint("rebalance", "month")
+    monthly.write.mode("overwrite").partitionBy("month").parquet(folder)
 
 
 def minute_writer(path: str) -> BatchWriter:

@@ -9,7 +9,8 @@ from workload.oracles import oracle_sql
 from workload.queries import queries
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
 ).split()
 
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",

@@ -90,7 +90,8 @@ def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def scan_archive_json(spark, sf_dir):
-    return _archive(spark, sf_dir).select("id", "type", "created_at", "public", F.col("actor.login").alias("actor_login"))
+    login = F.col("actor.login").alias("actor_login")
+    return _archive(spark, sf_dir).select("id", "type", "created_at", "public", login)
 
 
 @_query
