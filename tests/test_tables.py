@@ -1,6 +1,7 @@
 """Slice replacement, loads, layout and retention."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -93,6 +94,21 @@ def test_slice_must_be_whole_hours(spark, filled):
         filled.replace_slice(filled.read(), f"{DAY} 07:30:00", f"{DAY} 08:00:00")
 
 
+def test_hours_replaced_at_the_same_time(spark, filled):
+    """Parallel jobs on different hours of one table do not touch each other."""
+
+    def replace(hour):
+        new = rows(spark, *[(f"{hour}-{i}", f"{DAY} {hour:02d}:00:00", "T") for i in range(50)])
+        start = D.fromisoformat(DAY) + dt.timedelta(hours=hour)
+        return filled.replace_slice(new, start, start + dt.timedelta(hours=1)).written
+
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(replace, range(7, 13))) == [50] * 6
+    counts = filled.read().filter(f"event_date = '{DAY}' AND event_hour >= 7").groupBy("event_hour").count()
+    assert content(counts, "event_hour", "count") == sorted(((h, 50) for h in range(7, 13)), key=repr)
+    assert {"a", "b", "f"} < set(ids(filled))
+
+
 def test_table_without_the_overwrite_option_is_refused(spark, tmp_path, filled):
     plain = lake(spark, tmp_path)
     spark.sql(f"DROP TABLE {plain.name}")

@@ -81,8 +81,12 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.text(a.message_files(spark, sf_dir)).select("value")
+
+
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_messages(a.message_rows(spark, sf_dir).select("value"))
+    return decode_messages(_messages(spark, sf_dir))
 
 
 # Scans and sources
@@ -119,7 +123,7 @@ def decode_json_message(spark, sf_dir):
 
 @_query
 def reject_json_message(spark, sf_dir):
-    return rejected_messages(a.message_rows(spark, sf_dir).select("value"))
+    return rejected_messages(_messages(spark, sf_dir))
 
 
 @_query
