@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -72,6 +73,22 @@ def test_replayed_batches_equal_the_batch_answer(spark, tmp_path_factory, files)
         assert _run_minutes(spark, folder, path, scratch_dir(spark, "c"), twice) == _batch_answer(spark, folder)
 
 
+def test_restart_after_a_failure_between_write_and_commit(spark, tmp_path):
+    folder, path, checkpoint = tmp_path / "in", scratch_dir(spark, "m"), scratch_dir(spark, "c")
+    _land(folder, "a.txt", _message(1), _message(1, 1))
+    _land(folder, "b.txt", _message(1, 2), _message(2))
+    write = minute_writer(path)
+
+    def fails_once_written(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost before the commit")
+
+    with pytest.raises(Exception, match="lost before the commit"):
+        _run_minutes(spark, folder, path, checkpoint, fails_once_written)
+    assert _run_minutes(spark, folder, path, checkpoint) == _batch_answer(spark, folder)
+
+
 def test_ingest_and_rejects_share_the_messages(spark, tmp_path):
     folder = tmp_path / "in"
     _land(folder, "a.txt", _message(1), "garbage")
