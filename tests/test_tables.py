@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from helpers import content, event, lake, serving, session_conf, write_archive
 from tidemark.functions.time import ntz
 from tidemark.operators.events import time_slice
+from tidemark.operators.hours import missing_hours
 from tidemark.operators.retention import retain_one_month, retention_floor
 from tidemark.plans.load import load_day, load_hour, load_pending, load_range
 from tidemark.sinks.tables import cluster_by_time
@@ -144,6 +145,16 @@ def test_slice_filter_prunes_partitions(filled):
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_missing_hours_of_a_lake_read_only_partition_columns(filled):
+    found = missing_hours(filled.read())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    hours = sorted(row["hour"] for row in found.collect())
+    plain = missing_hours(filled.read().select("created_at"))
+    assert hours == sorted(row["hour"] for row in plain.collect())
+    assert (len(hours), hours[0], hours[-1]) == (21, D(2024, 3, 5, 1), D(2024, 3, 5, 23))
+
+
 def test_hot_hour_is_split_and_each_file_sorted(spark, tmp_path):
     """One hour with almost all rows is written by several tasks, sorted by type."""
     table = lake(spark, tmp_path)

@@ -26,13 +26,21 @@ def pending_hours_range(bounds: DataFrame) -> DataFrame:
     return bounds.select(_hours(start_of_hour(F.col("start")), start_of_hour(F.col("end"))))
 
 
+def _hour_of(events: DataFrame) -> Column:
+    """The hour of a row; a lake table answers from its partition columns, without reading any other."""
+    if {"event_date", "event_hour"} <= set(events.columns):
+        midnight = F.col("event_date").cast("timestamp_ntz")
+        return midnight + F.make_dt_interval(hours=F.col("event_hour"))
+    return start_of_hour(F.col("created_at"))
+
+
 def missing_hours(events: DataFrame) -> DataFrame:
     """Hours between the first and last loaded one that hold no event.
 
     Events shrink to their distinct hours in one pass; only those, 8,760 rows
     for a year, are then put in order to find the gaps.
     """
-    loaded = events.select(start_of_hour(F.col("created_at")).alias("hour")).distinct()
+    loaded = events.select(_hour_of(events).alias("hour")).distinct()
     after = F.lead("hour").over(Window.orderBy("hour"))
     gaps = loaded.select((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("start"), after.alias("end"))
     return pending_hours_range(gaps)

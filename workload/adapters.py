@@ -50,8 +50,21 @@ def _once(spark: SparkSession, sf_dir: str, label: str, build) -> str:
     return _built[key]
 
 
+def _size_writes(spark: SparkSession, path: str) -> str:
+    """Cut rebalanced writes to the size of the test table, up to the default of 64 MB.
+
+    The small tables would otherwise be written by one task, hour after hour.
+    """
+    length = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    size = min(64 << 20, max(64 << 10, length // 2))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", min(1 << 20, size // 4))
+    return path
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    path = _once(spark, sf_dir, "events", lambda: _size_writes(spark, f"{sf_dir}/events.parquet"))
+    return pin_utc(spark).read.parquet(path)
 
 
 def _text(value: Column) -> Column:

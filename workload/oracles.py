@@ -184,6 +184,9 @@ _SQL = {
 }
 
 
+_SQL["missing_hours_of_lake"] = _SQL["missing_hours"]
+
+
 def oracle_sql() -> dict[str, str]:
     statements = {}
     for name, sql in _SQL.items():

@@ -400,6 +400,11 @@ def missing_hours(spark, sf_dir):
     return hours.missing_hours(a.serving(spark, sf_dir).filter("event_type = 'IssuesEvent'"))
 
 
+@_query
+def missing_hours_of_lake(spark, sf_dir):
+    return hours.missing_hours(a.shared_lake(spark, sf_dir).filter("type = 'IssuesEvent'"))
+
+
 @_query
 def plan_loads(spark, sf_dir):
     return hours.plan_loads(hours.pending_hours_range(_span(spark, sf_dir)))
