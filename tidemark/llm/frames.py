@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="tidemark-")) / "tidemark.zip"  # the driver serves it to executors
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._tidemark_shipped = True
+
+
+def map_arrow(frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks."""
+    _ship(frame.sparkSession)
+    return frame.mapInArrow(task, schema)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared scratch folder: later plans start there, and so does recovery."""
     spark = frame.sparkSession
@@ -41,7 +64,7 @@ def smallest_per_group(frame: DataFrame, group: str, order: str, k: int) -> Data
         for own in kept.values():
             yield from own.combine_chunks().to_batches()
 
-    few = frame.filter(F.col(group).isNotNull()).mapInArrow(partial, frame.schema)
+    few = map_arrow(frame.filter(F.col(group).isNotNull()), partial, frame.schema)
     place = F.row_number().over(Window.partitionBy(group).orderBy(order))
     return few.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
 

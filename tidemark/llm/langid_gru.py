@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import held_out, sample_by_class
+from tidemark.llm.frames import held_out, map_arrow, sample_by_class
 from tidemark.llm.text import _LOWER, Block, blocks, sums
 
 WINDOW = 128
@@ -233,7 +233,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             columns = [*block.batch.columns, pa.array(tags, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
 
-    return documents.mapInArrow(task, schema)
+    return map_arrow(documents, task, schema)
 
 
 def identify(documents: DataFrame) -> DataFrame:

@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+_NGRAM_JACCARD = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM texts WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), linked AS (
+    SELECT a, b FROM links JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.doc_id, linked.b FROM reach JOIN linked ON linked.a = reach.other
+)
+SELECT reach.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(reach.other) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id
+GROUP BY reach.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_ngram_jaccard": _NGRAM_JACCARD}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid_gru
+from tidemark.llm import jaccard_rtree, langid_gru
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_rtree.join(_table(spark, sf_dir, "documents"), percent=80, width=5)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_gru.identify(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_language,)}
+    return {f.__name__: f for f in (op6_ngram_jaccard, op9_language)}
