@@ -6,7 +6,7 @@ _NGRAM_JACCARD = r"""
 WITH RECURSIVE texts AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
     FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
