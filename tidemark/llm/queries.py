@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard_rtree, langid_gru
+from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,5 +23,9 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_gru.identify(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam_simhash.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=80)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_ngram_jaccard, op9_language)}
+    return {f.__name__: f for f in (op6_ngram_jaccard, op9_language, op10_decontaminate)}
