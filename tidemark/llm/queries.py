@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru
+from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_vector.pack(_table(spark, sf_dir, "documents"), tokenizer_file(), capacity=2048)
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_rtree.join(_table(spark, sf_dir, "documents"), percent=80, width=5)
 
@@ -28,4 +39,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_ngram_jaccard, op9_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
