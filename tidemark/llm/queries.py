@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector
+from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector, pii_weak
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_weak.detect(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer; the same on every machine."""
     import public_tokenizers
@@ -39,4 +43,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op2_pii, op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
