@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector, pii_weak
 from tidemark.llm.frames import written
@@ -25,10 +24,7 @@ LEAST_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay; those without letters or with no clear language go."""
-    judged = langid_gru.predict(docs, langid_gru.fit(docs))
-    return judged.filter((F.col("lang_pred") != langid_gru.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(
-        *docs.columns
-    )
+    return langid_gru.keep_known(docs, langid_gru.fit(docs), LEAST_SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -212,33 +212,49 @@ def fit(documents: DataFrame) -> Model:
     return train([(r["lang"], r["text"] or "") for r in rows])
 
 
+def _judged(model: Model, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    if len(model.languages):
+        p, n = probabilities(model, block)
+        best = np.argmax(p, axis=1)
+        score = np.clip(p[np.arange(len(p)), best], 0.0, 1.0)
+        tags = np.array(model.languages, dtype=object)[best]
+    else:
+        n, score, tags = np.zeros(block.size), np.zeros(block.size), np.full(block.size, UNKNOWN, dtype=object)
+    ascii_letters = sums(_LETTER[block.data] & (block.data < 128), block.bounds)
+    for i in np.flatnonzero(ascii_letters == 0):
+        if n[i] == 0 or not any(map(str.isalpha, block.text(i))):
+            tags[i], score[i] = UNKNOWN, 1.0 if len(model.languages) else 0.0
+    return tags, score
+
+
 def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``lang_pred`` and ``score``; only ``text`` is looked at."""
-    schema = documents.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    names = documents.columns
+    """doc_id, lang_pred, score; only ``text`` is looked at."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            if len(model.languages):
-                p, n = probabilities(model, block)
-                best = np.argmax(p, axis=1)
-                score = np.clip(p[np.arange(len(p)), best], 0.0, 1.0)
-                tags = np.array(model.languages, dtype=object)[best]
-            else:
-                n, score, tags = np.zeros(block.size), np.zeros(block.size), np.full(block.size, UNKNOWN, dtype=object)
-            ascii_letters = sums(_LETTER[block.data] & (block.data < 128), block.bounds)
-            for i in np.flatnonzero(ascii_letters == 0):
-                if n[i] == 0 or not any(map(str.isalpha, block.text(i))):
-                    tags[i], score[i] = UNKNOWN, 1.0 if len(model.languages) else 0.0
-            columns = [*block.batch.columns, pa.array(tags, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
-
-    return map_arrow(documents, task, schema)
+            tags, score = _judged(model, block)
+            ids = block.batch.column("doc_id").cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(tags, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"]
+            )
+
+    return map_arrow(documents.select("doc_id", "text"), task, "doc_id bigint, lang_pred string, score double")
+
+
+def keep_known(documents: DataFrame, model: Model, least: float) -> DataFrame:
+    """The documents, all columns, whose language is known with a score of at least ``least``."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            tags, score = _judged(model, block)
+            yield block.batch.filter(pa.array((tags != UNKNOWN) & (score >= least)))
+
+    return map_arrow(documents, task, documents.schema)
 
 
 def identify(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``doc_id, text, lang``."""
-    model = fit(documents)
-    return predict(documents.select("doc_id", "text"), model).select(
+    return predict(documents, fit(documents)).select(
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"
     )
