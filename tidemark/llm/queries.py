@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector, pii_weak
+from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, pack_vector, pii_weak, quality_pu
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_weak.detect(_table(spark, sf_dir, "documents"))
 
@@ -43,4 +47,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_pii, op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality, op2_pii, op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}

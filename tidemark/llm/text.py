@@ -162,3 +162,66 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def char_counts(block: Block) -> np.ndarray:
     """Code points of each text."""
     return sums((block.data & 0xC0) != 0x80, block.bounds)
+
+
+@dataclass
+class Lines:
+    """Byte ranges of the ``\\n``-split lines of a block, their text number and how many words they hold."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    doc: np.ndarray
+    n_words: np.ndarray
+    per_doc: np.ndarray
+
+    def hashes(self, data: np.ndarray) -> np.ndarray:
+        return range_hashes(data, self.starts, self.ends)
+
+
+def lines(block: Block, w: Words) -> Lines:
+    """All lines; a text has one more than it has newlines, so an empty text has one without words."""
+    breaks = np.flatnonzero(block.data == 10)
+    doc_of = np.searchsorted(block.bounds, breaks, side="right") - 1
+    order = np.argsort(np.concatenate([block.bounds[:-1], breaks + 1]), kind="stable")
+    doc = np.concatenate([np.arange(block.size), doc_of])
+    order = order[np.argsort(doc[order], kind="stable")]
+    starts = np.concatenate([block.bounds[:-1], breaks + 1])[order]
+    doc = doc[order]
+    last = np.r_[doc[1:] != doc[:-1], True][: len(doc)]
+    ends = np.where(last, block.bounds[doc + 1], np.r_[starts[1:], 0][: len(doc)] - 1)
+    n_words = np.searchsorted(w.starts, ends) - np.searchsorted(w.starts, starts)
+    return Lines(starts, ends, doc, n_words, np.searchsorted(doc, np.arange(block.size + 1)))
+
+
+def repeats_earlier(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether an equal hash comes earlier in the same text."""
+    order = np.argsort(mix(hashes ^ mix(doc.astype(np.uint64) + np.uint64(1))), kind="stable")
+    key = mix(hashes ^ mix(doc.astype(np.uint64) + np.uint64(1)))[order]
+    out = np.zeros(len(hashes), dtype=bool)
+    out[order[1:]] = key[1:] == key[:-1]
+    return out
+
+
+def found_twice(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether an equal hash comes anywhere else in the same text."""
+    key = mix(hashes ^ mix(doc.astype(np.uint64) + np.uint64(1)))
+    ordered = np.sort(key)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return np.zeros(len(hashes), dtype=bool)
+    twice = np.unique(twice)
+    at = np.minimum(np.searchsorted(twice, key), len(twice) - 1)
+    return twice[at] == key
+
+
+def repeated_words(w: Words, width: int = 5) -> np.ndarray:
+    """Whether each word lies in a window of ``width`` words that the text holds more than once."""
+    n = len(w.hashes) - width + 1
+    marked = np.zeros(len(w.hashes) + 1, dtype=np.int64)
+    if n > 0:
+        whole = w.doc[:n] == w.doc[width - 1 :]
+        shingles, doc = w.shingles(width)
+        at = np.flatnonzero(whole)[found_twice(shingles, doc)]
+        np.add.at(marked, at, 1)
+        np.add.at(marked, at + width, -1)
+    return np.cumsum(marked)[:-1] > 0
