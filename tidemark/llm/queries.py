@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, jaccard_rtree, langid_gru, lines_crf, pack_vector, pii_weak, quality_pu
+from tidemark.llm import decontam_simhash, html_segment, jaccard_rtree, langid_gru, lines_crf, pack_vector, pii_weak, quality_pu
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_crf.rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_segment.articles(_table(spark, sf_dir, "pages"))
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer; the same on every machine."""
     import public_tokenizers
@@ -51,4 +55,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_pii, op3_line_rules, op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality, op2_pii, op3_line_rules, op4_main_text, op5_packing, op6_ngram_jaccard, op9_language, op10_decontaminate)}
