@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, html_segment, jaccard_rtree, langid_gru, lines_crf, pack_vector, pii_weak, quality_pu, toxic_chain
+from tidemark.llm import decontam_simhash, html_segment, jaccard_rtree, langid_gru, lines_crf, pack_vector, pii_weak, quality_pu, secrets_guess, toxic_chain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_chain.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_guess.detect(_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_gru.identify(_table(spark, sf_dir, "documents"))
 
@@ -59,4 +63,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_pii, op3_line_rules, op4_main_text, op5_packing, op6_ngram_jaccard, op7_toxicity, op9_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality, op2_pii, op3_line_rules, op4_main_text, op5_packing, op6_ngram_jaccard, op7_toxicity, op8_secrets, op9_language, op10_decontaminate)}
