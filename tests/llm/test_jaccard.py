@@ -1,0 +1,142 @@
+"""The n-gram join against all pairs."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tidemark.llm import jaccard_rtree as j
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def shingles(text, width=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+def expected(rows, percent=80):
+    sets = {}
+    for d, t in rows:
+        sets.setdefault(d, []).append(shingles(t))
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        for x, y in itertools.product(sets[a], sets[b]):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                lo, hi = sorted((root(a), root(b)))
+                parent[hi] = lo
+    return {d: root(d) for d in sets}
+
+
+def near_copies(rng, base, n, edits):
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, edits)):
+            k = rng.randrange(len(w))
+            w[k : k + rng.randint(0, 1)] = [f"new{rng.randrange(10**6)}"]
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(500)]
+    texts = []
+    for length in (3, 6, 9, 14, 25, 40, 80, 160, 400, 900):
+        for _ in range(3):
+            base = [rng.choice(vocabulary) for _ in range(length)]
+            texts += near_copies(rng, base, 6, max(1, length // 25))
+    passage = " ".join(rng.choice(vocabulary) for _ in range(60))
+    texts += [passage + " " + " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts += ["", " ", "Same Words Here", "same words here"]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    return [(i, texts[k]) for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_components_equal_all_pairs(spark, mixed, percent):
+    got = {r.doc_id: r for r in j.join(spark.createDataFrame(mixed, SCHEMA).repartition(5), percent).collect()}
+    want = expected(mixed, percent)
+    assert {d: r.component_id for d, r in got.items()} == want
+    assert {d: r.n_shingles for d, r in got.items()} == {d: len(shingles(t)) for d, t in mixed}
+
+
+def test_addresses_meet_for_every_linked_pair():
+    """The exact rule itself, on sets at the edge of the threshold."""
+    rng = np.random.default_rng(2)
+    for n in [5, 9, 31, 32, 33, 40, 63, 64, 65, 100, 127, 128, 200, 511, 513, 1000]:
+        for _ in range(20):
+            a = rng.integers(0, 2**63, n, dtype=np.uint64)
+            fresh = int(rng.integers(0, n // 4 + 1))
+            gone = max(0, min(n - 1, int(0.2 * n) - fresh))
+            b = np.concatenate([a[gone:], rng.integers(0, 2**63, fresh, dtype=np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            common = len(np.intersect1d(a, b))
+            if 100 * common < 80 * (len(a) + len(b) - common):
+                continue
+            assert common >= j.least_overlap(np.int64(len(a)), np.int64(len(b)), 80)
+            assert not j._few_groups(a, 80) or not j._few_groups(b, 80)
+            none = frozenset()
+            assert len(np.intersect1d(j._addresses(a, 80, none), j._addresses(b, 80, none)))
+
+
+def test_sets_with_few_groups_meet_by_single_shingles():
+    a = (np.arange(1, 201, dtype=np.uint64) << np.uint64(32)) + np.uint64(5)  # all in one group of each class
+    b = np.concatenate([a[10:], a[:10] + np.uint64(1 << 60)])
+    b.sort()
+    few = j._few_groups(a, 80)
+    assert few and j._few_groups(b, 80)
+    assert len(np.intersect1d(j._addresses(a, 80, frozenset(few)), j._addresses(b, 80, frozenset(few))))
+
+
+def test_tree_finds_what_brute_force_finds():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 6, (8, j.GROUPS))
+    counts = np.repeat(base, 60, axis=0) + rng.integers(0, 2, (480, j.GROUPS))
+    sizes = counts.sum(axis=1)
+    q, p, bound = j.Tree(counts, sizes).search(counts, sizes, 80)
+    all_bounds = np.minimum(counts[:, None], counts[None]).sum(axis=2)
+    good = all_bounds >= j.least_overlap(sizes[:, None], sizes[None], 80)
+    assert set(zip(q.tolist(), p.tolist())) == set(zip(*map(lambda x: x.tolist(), np.nonzero(good))))
+    assert (bound == all_bounds[q, p]).all()
+
+
+def test_large_pages_are_cut_into_blocks(spark, monkeypatch, mixed):
+    monkeypatch.setattr(j, "BLOCK", 4)
+    got = j.join(spark.createDataFrame(mixed, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected(mixed)
+
+
+def test_awkward_rows(awkward, none):
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in j.join(awkward).collect()}
+    assert got[(1, 0)] == 1 and got[(2, 0)] == 2 and got[(3, 0)] == 3 and got[(4, 1)] == 4
+    assert got[(5, 56)] == got[(6, 56)] == got[(7, 56)] == 5
+    assert got[(None, 56)] is None and got[(None, 0)] is None
+    assert j.join(awkward).count() == awkward.count()
+    assert j.join(none).collect() == []
+
+
+def test_keep_first_keeps_one_of_each_group_and_all_columns(awkward, none):
+    kept = j.keep_first(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 8, 9, 10, 11, 12]
+    assert kept.filter("doc_id is null").count() == 2
+    assert j.keep_first(none).count() == 0
+
+
+def test_one_large_group_of_copies(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    frame = spark.range(3000).selectExpr("id as doc_id", f"case when id % 3 = 0 then '{text}' else concat('{text} ', id) end as text")
+    got = j.join(frame.repartition(8)).collect()
+    assert len(got) == 3000 and {r.component_id for r in got} == {0}

@@ -1,0 +1,97 @@
+"""Packing: exact ids, whole documents, and constraints."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidemark.llm import pack_vector as v
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TRICKY = [
+    "", "<|endoftext|> hi", "it's O'Neil's 12ab3!? …x.  y éá İstanbul Σς ﬁ 3.14% $'s", "a" * 5000, "x\x1cy \x85z w '' ''s don't'VE",
+    "日本語、テスト。 №5 ½", "áb é. ́x", "1́ 2½3", "!́! a.b,c;d'e", " x y",
+]
+
+
+def ids_of(text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(PATH)
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+@pytest.fixture(scope="module")
+def documents(spark, corpus):
+    rows = corpus[:60] + [(10_000 + i, t) for i, t in enumerate(TRICKY)] + [(20_000, None), (None, "null id"), (1, "again"), (1, "again")]
+    return rows, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+
+
+def test_round_trip(documents):
+    rows, frame = documents
+    packed = v.pack(frame, PATH, 2048, with_ids=True).collect()
+    whole = defaultdict(list)
+    for doc, text in rows:
+        whole[doc].append(ids_of(text))
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in packed:
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+        assert r.start == r.piece * 2048
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for doc, wanted in whole.items():
+        if len(wanted) == 1:
+            parts = sorted(by_doc[doc], key=lambda r: r.piece)
+            assert [i for r in parts for i in r.ids] == wanted[0]
+            assert all(r.length == 2048 for r in parts[:-1])
+        else:
+            assert sorted(i for r in by_doc[doc] for i in r.ids) == sorted(i for w in wanted for i in w)
+    for parts in by_sequence.values():
+        parts.sort(key=lambda r: r.offset)
+        assert [r.offset for r in parts] == list(np.cumsum([0] + [r.length for r in parts[:-1]]))
+        assert sum(r.length for r in parts) <= 2048
+    tokens = sum(r.length for r in packed)
+    assert len(by_sequence) <= 1.02 * tokens / 2048 + 2
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("limits", [(100, 100, 1e9), (100, 3, 1e9), (100, 100, 3000.0)])
+def test_every_constraint_holds(rule, limits):
+    capacity, most, cost = limits
+    rng = np.random.default_rng(1)
+    lengths = np.sort(rng.integers(1, 50, 700))[::-1]
+    bins, offsets = v.best_fit(lengths, capacity, most, cost, rule)
+    for b in range(bins.max() + 1):
+        own = bins == b
+        assert lengths[own].sum() <= capacity and own.sum() <= most and (lengths[own].astype(float) ** 2).sum() <= cost
+        assert list(np.sort(offsets[own])) == list(np.cumsum(np.r_[0, lengths[own][:-1]]))
+    bound = max(lengths.sum() / capacity, len(lengths) / most, (lengths.astype(float) ** 2).sum() / cost)
+    assert bins.max() + 1 <= 1.25 * bound + 2
+
+
+def test_cells(documents, monkeypatch):
+    monkeypatch.setattr(v, "CELL", 10)
+    rows, frame = documents
+    assert v.pack(frame, PATH).count() == v.pieces(frame, PATH).count()
+
+
+def test_memory_of_parts_is_bounded(monkeypatch, corpus):
+    import pyarrow as pa
+
+    from tidemark.llm.text import blocks
+
+    monkeypatch.setattr(v, "REMEMBERED", 50)
+    encoder = v.Encoder(PATH)
+    for block in blocks(iter([pa.RecordBatch.from_pydict({"text": [t for _, t in corpus[:30]]})]), step=2000):
+        ids, begin = encoder.encode(block)
+        for i in range(block.size):
+            assert list(ids[begin[i] : begin[i + 1]]) == ids_of(block.text(i))
+
+
+def test_awkward_rows(awkward, none):
+    rows = v.pack(awkward, PATH).collect()
+    assert sum(r.length == 1 and r.doc_id in (1, 2, 3) for r in rows) == 3
+    assert {r.doc_id for r in rows} == {r.doc_id for r in awkward.collect()}
+    assert v.pack(none, PATH).collect() == []

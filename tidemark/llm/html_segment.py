@@ -56,7 +56,7 @@ _ATTRIBUTES = re.compile(r"""(?:[^"'>]|"[^"]*"|'[^']*')*+>""")
 _LABEL = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 #: Limits of the weights; ``DEFAULT_TAG`` is for tags that no labelled page has.
-WORD, LEAST_TAG, MOST_TAG, DEFAULT_TAG = 6.0, 0.05, 12.0, 0.5
+WORD, LEAST_TAG, MOST_TAG, DEFAULT_TAG = 6.0, 0.05, 12.0, 0.2
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:

@@ -33,7 +33,7 @@ WINDOW = 128
 HIDDEN = 8
 #: Bounds of the training sample.
 PER_LANGUAGE, WINDOWS = 250, 2
-EPOCHS, BATCH, RATE, SEED = 10, 128, 0.03, 9
+STEPS, BATCH, RATE, SEED = 160, 128, 0.03, 9
 
 UNKNOWN = "und"
 _LETTER = np.zeros(256, dtype=bool)
@@ -162,21 +162,21 @@ def train(rows: list[tuple[str, str]]) -> Model:
         return model
     x, mask, y = np.concatenate(xs, axis=1), np.concatenate(masks, axis=1), np.array(ys)
     w, first, second, step = model.weights, {}, {}, 0
-    total = EPOCHS * -(-len(y) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for i in range(0, len(y), BATCH):
-            part = order[i : i + BATCH]
-            _, g = _gradients(w, x[:, part], y[part], mask[:, part])
-            norm = float(np.sqrt(sum((v * v).sum() for v in g.values())))
-            step += 1
-            rate = RATE * (1 - 0.95 * step / total)
-            for k, v in g.items():
-                v = v * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-                first[k] = 0.9 * first.get(k, 0) + 0.1 * v
-                second[k] = 0.99 * second.get(k, 0) + 0.01 * v * v
-                m, s = first[k] / (1 - 0.9**step), second[k] / (1 - 0.99**step)
-                w[k] -= (rate * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
+    order = np.empty(0, dtype=np.int64)
+    while step < STEPS:
+        if not len(order):
+            order = rng.permutation(len(y))
+        part, order = order[:BATCH], order[BATCH:]
+        _, g = _gradients(w, x[:, part], y[part], mask[:, part])
+        norm = float(np.sqrt(sum((v * v).sum() for v in g.values())))
+        step += 1
+        rate = RATE * (1 - 0.95 * step / STEPS)
+        for k, v in g.items():
+            v = v * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+            first[k] = 0.9 * first.get(k, 0) + 0.1 * v
+            second[k] = 0.99 * second.get(k, 0) + 0.01 * v * v
+            m, s = first[k] / (1 - 0.9**step), second[k] / (1 - 0.99**step)
+            w[k] -= (rate * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
     return model
 
 

@@ -213,7 +213,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
         again = np.array(r["again"], dtype=bool)
         y = np.where(again | (quality[r["doc_id"]] != 1), BOILERPLATE, CONTENT)
         chains.append((np.array(r["x"]).reshape(len(y), -1), y))
-    return train(chains)
+    return train(chains) if chains else None
 
 
 def judge(documents: DataFrame, model: Model | None) -> DataFrame:
