@@ -275,3 +275,110 @@ def test_retention_of_rows_and_partitions(spark, tmp_path):
     assert table.drop_expired(as_of) == ["2024-01-29", "2024-01-31", "2024-02-01"]
     assert content(table.read(), "created_at") == kept
     assert table.drop_expired(as_of) == []
+
+
+def test_archive_that_left_landing_keeps_its_hour(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for hour in (5, 6, 7):
+        write_archive(landing, f"2024-03-05-{hour}", [event(f"2024-03-05T{hour:02d}:10:00Z")])
+    table = lake(spark, tmp_path)
+    load_day(table, str(landing), DAY)
+    before = ids(table)
+    (landing / "2024-03-05-6.json.gz").rename(tmp_path / "away.gz")
+    report = load_day(table, str(landing), DAY)
+    assert ids(table) == before and report.slice.emptied == []
+    assert D(2024, 3, 5, 6) in report.absent and len(report.absent) == 22
+
+
+def test_archive_without_lines_empties_its_hour(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for hour in (5, 6):
+        write_archive(landing, f"2024-03-05-{hour}", [event(f"2024-03-05T{hour:02d}:10:00Z")])
+    table = lake(spark, tmp_path)
+    load_day(table, str(landing), DAY)
+    write_archive(landing, "2024-03-05-6", [])
+    assert load_day(table, str(landing), DAY).slice.emptied == [D(2024, 3, 5, 6)]
+    assert len(ids(table)) == 1
+
+
+def test_edge_rows_are_in_day_and_hour_loads(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_archive(landing, "2024-03-05-7", [event("2024-03-05T07:10:00Z"), event("2024-03-05T08:00:00Z")])
+    write_archive(landing, "2024-03-05-8", [event("2024-03-05T08:10:00Z"), event("2024-03-05T07:59:59Z")])
+    write_archive(landing, "2024-03-04-23", [event("2024-03-05T00:00:00Z")])
+    write_archive(landing, "2024-03-05-0", [event("2024-03-05T00:30:00Z")])
+    whole, hourly = lake(spark, tmp_path), lake(spark, tmp_path)
+    load_day(whole, str(landing), DAY)
+    assert len(ids(whole)) == 6
+    for hour in (8, 7, 0):
+        load_hour(hourly, str(landing), DAY, hour)
+    assert ids(hourly) == ids(whole)
+
+
+def test_edge_rows_of_an_absent_hour_do_not_replace_it(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_archive(landing, "2024-03-05-7", [event("2024-03-05T07:10:00Z"), event("2024-03-05T08:00:00Z")])
+    table = lake(spark, tmp_path)
+    table.append(rows(spark, ("old", f"{DAY} 08:30:00", "T")))
+    report = load_day(table, str(landing), DAY)
+    assert "old" in ids(table) and len(ids(table)) == 2
+    assert (report.slice.outside, report.rejects.count()) == (1, 1)
+
+
+def test_lines_with_a_field_of_the_wrong_type_are_rejected(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_archive(landing, "2024-03-05-7", [event("2024-03-05T07:10:00Z"), event("2024-03-05T07:11:00Z", public="maybe")])
+    table = lake(spark, tmp_path)
+    report = load_hour(table, str(landing), DAY, 7)
+    assert (report.slice.written, report.slice.outside, report.rejects.count()) == (1, 1, 1)
+
+
+def test_table_survives_its_catalog_entry(spark, tmp_path, filled):
+    spark.sql(f"DROP TABLE {filled.name}")
+    again = lake(spark, tmp_path)
+    spark.sql(f"DROP TABLE {again.name}")
+    again.location = filled.location
+    again.create()
+    assert len(ids(again)) == 6
+    again.replace_slice(rows(spark, ("x", f"{DAY} 12:00:00", "T")), DAY, "2024-03-06")
+    assert ids(again) == ["a", "f", "x"]
+
+
+def test_location_of_another_layout_is_refused(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    table = lake(spark, tmp_path)
+    spark.sql(f"DROP TABLE {table.name}")
+    table.location = str(tmp_path / "other")
+    with pytest.raises(ValueError, match="holds columns"):
+        table.create()
+
+
+def test_slices_open_only_their_folders(filled):
+    for end, folders in ((f"{DAY} 01:00:00", ["0"]), ("2024-03-06", ["0", "7", "8"])):
+        files = time_slice(filled.read(), DAY, end).inputFiles()
+        assert sorted(f.split("event_hour=")[1].split("/")[0] for f in files) == folders
+        assert all("event_date=2024-03-05" in f for f in files)
+
+
+def test_hour_counts_read_no_column(filled):
+    counts = filled.hour_counts(DAY, "2024-03-06")
+    assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
+    assert content(counts, "hour", "rows") == [(D(2024, 3, 5, 0), 1), (D(2024, 3, 5, 7), 2), (D(2024, 3, 5, 8), 1)]
+
+
+def test_other_session_zones_change_nothing(spark, tmp_path):
+    """An hour that New York's clocks leave out, and one that they repeat."""
+    table = lake(spark, tmp_path)
+    stamps = ("2024-03-10 02:30:00.123456", "2024-03-10 03:30:00", "2024-11-03 01:30:00", "2024-11-03 02:00:00")
+    new = rows(spark, *[(str(i), s, "T") for i, s in enumerate(stamps)])
+    with session_conf(spark, spark__sql__session__timeZone="America/New_York"):
+        for _ in range(2):
+            report = table.replace_slice(new, "2024-03-10", "2024-11-04")
+            assert report.hours == [D(2024, 3, 10, 2), D(2024, 3, 10, 3), D(2024, 11, 3, 1), D(2024, 11, 3, 2)]
+            assert report.emptied == [] and ids(table) == ["0", "1", "2", "3"]
+        landing = tmp_path / "landing"
+        write_archive(landing, "2024-03-10-2", [event("2024-03-10T02:15:00Z")])
+        load_hour(table, str(landing), "2024-03-10", 2)
+        assert load_hour(table, str(landing), "2024-03-10", 2).slice.hours == [D(2024, 3, 10, 2)]
+        assert content(table.hour_counts("2024-03-10", "2024-03-11"), "hour", "rows") == [(D(2024, 3, 10, 2), 1), (D(2024, 3, 10, 3), 1)]
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"

@@ -27,26 +27,46 @@ def ntz(value: Moment) -> Column:
     return F.lit(moment(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+_ZONE = r"(?:\s*(?:Z|UTC|GMT)|\s*([+-])(\d{1,2})(?::?(\d{2}))?)$"
+_DATE_FIRST = r"^\s*[+-]?\d{4,6}-\d"
+
+
 def parse_utc(text: Column) -> Column:
-    """Timestamp text to UTC wall-clock time; NULL when it does not parse."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """Timestamp text to UTC wall-clock time; NULL when it does not parse or has no date.
+
+    The offset is taken from the text, so the session zone plays no part. Text
+    without one is UTC already.
+    """
+    timed = text.rlike(_DATE_FIRST) & text.rlike(r"\d:")  # a bare date ends in what looks like an offset
+    local = F.when(timed, F.regexp_replace(text, _ZONE, "")).when(text.rlike(_DATE_FIRST), text)
+    sign = F.when(timed, F.regexp_extract(text, _ZONE, 1))
+    hours = F.regexp_extract(text, _ZONE, 2).try_cast("int")
+    minutes = F.coalesce(F.regexp_extract(text, _ZONE, 3).try_cast("int"), F.lit(0))
+    offset = F.make_dt_interval(hours=hours, mins=minutes)
+    parsed = local.try_cast("timestamp_ntz")
+    return F.when(sign == "+", parsed - offset).when(sign == "-", parsed + offset).otherwise(parsed)
+
+
+# date_trunc would go through TIMESTAMP and so through the session zone, which
+# has hours that do not exist; fields of a TIMESTAMP_NTZ do not depend on it.
 
 
-def _truncated(unit: str, ts: Column) -> Column:
-    # date_trunc always returns TIMESTAMP
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+def _second(ts: Column) -> Column:
+    """Seconds of the minute with their fraction."""
+    return F.extract(F.lit("SECOND"), ts)
 
 
 def trunc_millis(ts: Column) -> Column:
-    return _truncated("millisecond", ts)
+    seconds = _second(ts)
+    return ts - F.make_dt_interval(secs=seconds - F.floor(seconds * 1000) / 1000)
 
 
 def start_of_minute(ts: Column) -> Column:
-    return _truncated("minute", ts)
+    return ts - F.make_dt_interval(secs=_second(ts))
 
 
 def start_of_hour(ts: Column) -> Column:
-    return _truncated("hour", ts)
+    return ts - F.make_dt_interval(mins=F.minute(ts), secs=_second(ts))
 
 
 def yyyymm(ts: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +31,26 @@ def default_empty(serving: DataFrame) -> DataFrame:
     )
 
 
-def _partition_days(events: DataFrame, lower: Moment | None, upper: Moment | None) -> list[Column]:
-    """The event_date bounds implied by a time range, where the table is partitioned by it."""
+def partition_bounds(events: DataFrame, lower: Moment | None, upper: Moment | None, open_end: bool = True) -> list[Column]:
+    """The bounds on event_date and event_hour implied by a time range, where the table is partitioned by them.
+
+    ``open_end`` excludes ``upper`` itself; a range that ends at midnight then opens no
+    folder of the next day.
+    """
     if "event_date" not in events.columns:
         return []
-    bounds = []
+    date, bounds = F.col("event_date"), []
+    hour = F.col("event_hour") if "event_hour" in events.columns else None
     if lower is not None:
-        bounds.append(F.col("event_date") >= F.lit(moment(lower).date()))
+        low = moment(lower)
+        bounds.append(date >= F.lit(low.date()))
+        if hour is not None and low.hour:
+            bounds.append((date > F.lit(low.date())) | (hour >= low.hour))
     if upper is not None:
-        bounds.append(F.col("event_date") <= F.lit(moment(upper).date()))
+        high = moment(upper) - dt.timedelta(microseconds=1 if open_end else 0)
+        bounds.append(date <= F.lit(high.date()))
+        if hour is not None and high.hour < 23:
+            bounds.append((date < F.lit(high.date())) | (hour <= high.hour))
     return bounds
 
 
@@ -50,16 +63,16 @@ def _filtered(events: DataFrame, conditions: list[Column]) -> DataFrame:
 def after_until(events: DataFrame, from_ts: Moment, to_ts: Moment, column: str = "created_at") -> DataFrame:
     """from_ts < column <= to_ts."""
     ts = F.col(column)
-    return _filtered(events, [ts > ntz(from_ts), ts <= ntz(to_ts), *_partition_days(events, from_ts, to_ts)])
+    return _filtered(events, [ts > ntz(from_ts), ts <= ntz(to_ts), *partition_bounds(events, from_ts, to_ts, open_end=False)])
 
 
 def between(events: DataFrame, from_ts: Moment, to_ts: Moment, column: str = "created_at") -> DataFrame:
     """from_ts <= column <= to_ts."""
     return _filtered(
-        events, [F.col(column).between(ntz(from_ts), ntz(to_ts)), *_partition_days(events, from_ts, to_ts)]
+        events, [F.col(column).between(ntz(from_ts), ntz(to_ts)), *partition_bounds(events, from_ts, to_ts, open_end=False)]
     )
 
 
 def time_slice(events: DataFrame, start: Moment, end: Moment, column: str = "created_at") -> DataFrame:
     """start <= column < end."""
-    return _filtered(events, [within(F.col(column), start, end), *_partition_days(events, start, end)])
+    return _filtered(events, [within(F.col(column), start, end), *partition_bounds(events, start, end)])

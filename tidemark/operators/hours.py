@@ -49,5 +49,5 @@ def missing_hours(events: DataFrame) -> DataFrame:
 def plan_loads(hours: DataFrame, name: str = ARCHIVE_NAME) -> DataFrame:
     """Dry run: the archive each hour would be read from."""
     before, after = name.split("{stem}")
-    stem = F.concat(F.date_format("hour", "yyyy-MM-dd"), F.lit("-"), F.hour("hour").cast("string"))
+    stem = F.concat(F.to_date("hour").cast("string"), F.lit("-"), F.hour("hour").cast("string"))
     return hours.select("hour", F.concat(F.lit(before), stem, F.lit(after)).alias("archive"))

@@ -4,26 +4,45 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, day, moment, within
+from tidemark.schemas import RAW_EVENT
 from tidemark.sinks.tables import LakeTable, SliceReport
-from tidemark.sources.archive import ARCHIVE_NAME, archive_glob, read_archive, typed_events
+from tidemark.sources.archive import ARCHIVE_NAME, archive_glob, landed_hours, read_archive, typed_events
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """Counts of one load, and the rows left out as a frame to store or inspect."""
+    """Counts of one load, the hours whose archive had not landed, and the rows left out as a frame to store or inspect."""
 
     slice: SliceReport
+    absent: list[dt.datetime]
     rejects: DataFrame
 
 
-def rejected_rows(events: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    """Unparsable lines and events outside [start, end)."""
-    return events.filter(~F.coalesce(within(F.col("created_at"), start, end), F.lit(False)))
+HOUR = dt.timedelta(hours=1)
+
+
+def _sound(present: list[dt.datetime]) -> Column:
+    """Rows that parsed and fall into an hour whose archive is there."""
+    hours = reduce(or_, (within(F.col("created_at"), first, last) for first, last in _runs(present)))
+    return F.col("_corrupt_record").isNull() & F.coalesce(hours, F.lit(False))
+
+
+def _runs(hours: list[dt.datetime]) -> list[tuple[dt.datetime, dt.datetime]]:
+    """Sorted hours as few [first, last) ranges."""
+    runs: list[tuple[dt.datetime, dt.datetime]] = []
+    for hour in hours:
+        if runs and runs[-1][1] == hour:
+            runs[-1] = (runs[-1][0], hour + HOUR)
+        else:
+            runs.append((hour, hour + HOUR))
+    return runs
 
 
 def load_slice(
@@ -32,11 +51,29 @@ def load_slice(
     """Replace [start, end) of the lake with the archives of those hours.
 
     An archive holds one hour and so does a partition: each task writes what it
-    read, nothing is shuffled. Fails when not one archive of the slice has landed.
+    read, nothing is shuffled. The archives next to the slice are read too, for rows at
+    their edge that belong to it, so loads by hour, day and range agree. An hour whose
+    archive has not landed is reported and keeps what the table has. Fails when not
+    one archive of the slice has landed.
+
+    Rows of the slice's archives that lie outside the slice, in an absent hour, or that do
+    not parse are the rejects.
     """
     start, end = moment(start), moment(end)
-    events = typed_events(read_archive(table.spark, archive_glob(landing, start, end, name)))
-    return LoadReport(table.replace_slice(events, start, end, by_hour=True), rejected_rows(events, start, end))
+    present = landed_hours(table.spark, archive_glob(landing, start, end, name))
+    there = set(present)
+    hours = int((end - start) / HOUR)
+    absent = [h for h in (start + k * HOUR for k in range(hours)) if h not in there]
+    around = read_archive(table.spark, archive_glob(landing, start - HOUR, end + HOUR, name), with_hour=True)
+    events = typed_events(around)
+    own = F.coalesce(within(F.col("archive_hour"), start, end), F.lit(False))
+    sound = _sound(present)
+    rows = events.filter(own | (sound & F.coalesce(within(F.col("created_at"), start, end), F.lit(False))))
+    report = table.replace_slice(rows, start, end, by_hour=True, keep=sound, hours=present)
+    # a line counts as corrupt by the columns that are parsed, so the rejects need all of them, whatever is selected later
+    every = F.xxhash64(*RAW_EVENT.fieldNames()) >= F.lit(-(1 << 63))
+    rejects = events.filter(every & own & ~(sound & F.coalesce(within(F.col("created_at"), start, end), F.lit(False))))
+    return LoadReport(report, absent, rejects.drop("archive_hour"))
 
 
 def load_hour(
@@ -66,7 +103,10 @@ def load_range(
 def load_pending(
     table: LakeTable, landing: str, high_water: DataFrame, now: Moment, name: str = ARCHIVE_NAME
 ) -> LoadReport | None:
-    """Catch up: all hours after the one holding ``last_date`` and before the running one, as one job."""
+    """Catch up: all hours after the one holding ``last_date`` and before the running one, as one job.
+
+    The mark moves past hours that had not landed; the report names them, to be loaded later.
+    """
     last = high_water.select("last_date").first()[0]
     start = last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
     end = moment(now).replace(minute=0, second=0, microsecond=0)
@@ -74,5 +114,5 @@ def load_pending(
 
 
 def rows_per_archive(events: DataFrame) -> DataFrame:
-    """Rows read from each archive hour."""
+    """Rows read from each archive hour; a scan of the archives, see :meth:`LakeTable.hour_counts` for what was loaded."""
     return events.groupBy("archive_hour").agg(F.count("*").alias("rows"))

@@ -1,18 +1,25 @@
-"""Session settings that the library relies on, and shared scratch space."""
+"""Shared scratch space and folders."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Text with an offset is converted to UTC wall-clock time through the session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders of any file system that Spark reaches, several at a time; absent ones are no error."""
+    configuration, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+
+    def remove(path: str) -> None:
+        place = hadoop.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(remove, paths))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -14,16 +14,21 @@ tables, and as a session setting it could change under a parallel job.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.time import Moment, moment, start_of_hour, within
-from tidemark.operators.events import time_slice
+from tidemark.operators.events import partition_bounds, time_slice
 from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
+from tidemark.session import remove_paths
 
 # The name Spark gives to the partition of rows whose key is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -56,6 +61,12 @@ class PartitionedTable:
         self.location = location
 
     def create(self) -> PartitionedTable:
+        """Make the table; one that lost its catalog entry is taken over with all partitions at its location.
+
+        A location that holds files of another layout is refused.
+        """
+        known = self.spark.catalog.tableExists(self.name)
+        kept = bool(self.location) and not known and self._holds_rows()
         columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema]
         columns += [f"{name} {kind}" for name, (kind, _) in self.partitions.items()]
         location = f" LOCATION '{self.location}'" if self.location else ""
@@ -63,8 +74,23 @@ class PartitionedTable:
             f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}) USING parquet "
             f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(self.partitions)}){location}"
         )
+        if kept:
+            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
         return self
 
+    def _holds_rows(self) -> bool:
+        """Whether the location holds files of this layout."""
+        try:
+            found = self.spark.read.option("basePath", self.location).parquet(self.location)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        wanted = [*self.schema.fieldNames(), *self.partitions]
+        if found.columns != wanted:
+            raise ValueError(f"{self.location} holds columns {found.columns}, not {wanted}")
+        return True
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -84,12 +110,21 @@ class PartitionedTable:
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name}{within_spec}").collect()
         return [dict(part.split("=", 1) for part in row.partition.split("/")) for row in listed]
 
-    def clear_partition(self, **values: str) -> None:
-        """Remove the rows of one partition by overwriting it with none."""
-        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema)
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name} PARTITION ({self._spec(values)}) SELECT {nothing} WHERE false"
-        )
+    def _described(self) -> dict[str, str]:
+        return dict(row[:2] for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect())
+
+    def drop_partitions(self, parts: Sequence[dict[str, str]]) -> None:
+        """Remove partitions and their files: folders several at a time, catalog entries by one statement.
+
+        Files go first: after a failure in between the entries are still listed, and the
+        call can be repeated.
+        """
+        if not parts:
+            return
+        root = self._described()["Location"].rstrip("/")
+        remove_paths(self.spark, ["/".join([root, *(f"{k}={v}" for k, v in part.items())]) for part in parts])
+        specs = ", ".join(f"PARTITION ({self._spec(part)})" for part in parts)
+        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
 
 
 class LakeTable(PartitionedTable):
@@ -115,8 +150,7 @@ class LakeTable(PartitionedTable):
 
     def _check_overwrite_mode(self) -> None:
         """A table made elsewhere may lack the option; overwriting would then empty all of it."""
-        described = dict(row[:2] for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect())
-        if "partitionOverwriteMode=dynamic" not in described.get("Storage Properties", ""):
+        if "partitionOverwriteMode=dynamic" not in self._described().get("Storage Properties", ""):
             raise ValueError(f"{self.name} lacks the option partitionOverwriteMode=dynamic")
 
     def slice_count(self, start: Moment, end: Moment) -> int:
@@ -134,7 +168,15 @@ class LakeTable(PartitionedTable):
         }
         return {hour for hour in hours if start <= hour < end}
 
-    def replace_slice(self, rows: DataFrame, start: Moment, end: Moment, by_hour: bool = False) -> SliceReport:
+    def replace_slice(
+        self,
+        rows: DataFrame,
+        start: Moment,
+        end: Moment,
+        by_hour: bool = False,
+        keep: Column | None = None,
+        hours: Collection[dt.datetime] | None = None,
+    ) -> SliceReport:
         """Make ``rows`` the whole content of [start, end), in one pass over them.
 
         Both bounds are full hours. Rows outside the slice are counted and left
@@ -142,27 +184,43 @@ class LakeTable(PartitionedTable):
         call again, also after a failure half-way, gives the same table.
 
         ``by_hour`` says that each input task holds few hours, as when reading
-        hourly archives; the rows are then written without a shuffle.
+        hourly archives; the rows are then written without a shuffle. ``keep`` is a further
+        condition on rows; those it fails count as outside. With ``hours``
+        only those hours are emptied when they receive no row: an hour that was not
+        read keeps what it has.
         """
         start, end = moment(start), moment(end)
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
             raise ValueError("a slice starts and ends on a full hour")
         self._check_overwrite_mode()
         inside = F.coalesce(within(F.col("created_at"), start, end), F.lit(False))
+        if keep is not None:
+            inside &= F.coalesce(keep, F.lit(False))
         read, wrote = Observation(), Observation()
-        kept = rows.observe(read, F.count_if(~inside).alias("outside")).filter(inside)
-        placed = self._placed(kept, by_hour).observe(
+        counted = rows.observe(read, F.count_if(~inside).alias("outside")).filter(inside)
+        placed = self._placed(counted, by_hour).observe(
             wrote,
             F.count("*").alias("rows"),
             F.collect_set(start_of_hour(F.col("created_at"))).alias("hours"),
         )
         stale = self.loaded_hours(start, end)
+        if hours is not None:
+            stale &= set(hours)
         self._sorted(placed).write.mode("overwrite").insertInto(self.name)
-        hours = sorted(wrote.get["hours"])
-        emptied = sorted(stale.difference(hours))
-        for hour in emptied:
-            self.clear_partition(event_date=f"{hour:%Y-%m-%d}", event_hour=str(hour.hour))
-        return SliceReport(wrote.get["rows"], read.get["outside"], hours, emptied)
+        filled = sorted(wrote.get["hours"])
+        emptied = sorted(stale.difference(filled))
+        self.drop_partitions([{"event_date": f"{h:%Y-%m-%d}", "event_hour": str(h.hour)} for h in emptied])
+        return SliceReport(wrote.get["rows"], read.get["outside"], filled, emptied)
+
+    def replace_from_table(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
+        """:meth:`replace_slice` from a stored table: the slice reaches its scan, so only that is read."""
+        return self.replace_slice(time_slice(rows, start, end), start, end)
+
+    def hour_counts(self, start: Moment, end: Moment) -> DataFrame:
+        """``hour, rows`` of the slice, from partition columns and row counts of files; no column is read."""
+        rows = self.read().filter(reduce(and_, partition_bounds(self.read(), start, end)))
+        hour = F.col("event_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("event_hour"))
+        return rows.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
 
 
 class ServingTable(PartitionedTable):
@@ -172,25 +230,25 @@ class ServingTable(PartitionedTable):
     partitions = {"event_date": ("DATE", "to_date(created_at)")}
 
     def append(self, rows: DataFrame) -> None:
-        cluster_by_time(self._partitioned(rows), "event_date").write.insertInto(self.name)
+        """Write sorted files; a busy day is cut over several tasks, whatever the shuffle partition count is."""
+        placed = self._partitioned(rows).hint("rebalance", "event_date")
+        placed.sortWithinPartitions("event_date", "created_at").write.insertInto(self.name)
 
     def drop_expired(self, as_of: Moment) -> list[str]:
         """Drop whole days past the one-month retention; rollups built from them stay."""
         floor = retention_floor(as_of).isoformat()
         dates = {p["event_date"] for p in self.partition_values()} - {NULL_PARTITION}
         expired = sorted(date for date in dates if date < floor)
-        for date in expired:
-            self.clear_partition(event_date=date)
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (event_date = DATE'{date}')")
+        self.drop_partitions([{"event_date": date} for date in expired])
         return expired
 
 
 def cluster_by_time(rows: DataFrame, *leading: str) -> DataFrame:
     """Range-partition by created_at and sort within.
 
-    The input partition breaks ties, so that one instant shared by very many
+    A hash of the whole row breaks ties, so that one instant shared by very many
     rows is spread over several output tasks.
     """
-    salted = rows.withColumn("_part", F.spark_partition_id())
+    salted = rows.withColumn("_part", F.xxhash64(*rows.columns))
     ranged = salted.repartitionByRange("created_at", "_part").drop("_part")
     return ranged.sortWithinPartitions(*leading, "created_at")

@@ -5,17 +5,16 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import derive_columns
 from tidemark.functions.time import Moment, moment, parse_utc
 from tidemark.schemas import LAKE, RAW_EVENT
-from tidemark.session import pin_utc
 
 # The archive name (hour without leading zero) and its pattern.
 ARCHIVE_NAME = "{stem}.json.gz"
-_STEM_PATTERN = r"(\d{4}-\d{2}-\d{2}-\d{1,2})\.json\.gz"
+_STEM_PATTERN = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json\.gz"
 
 
 def archive_stems(start: Moment, end: Moment) -> list[str]:
@@ -50,6 +49,17 @@ def archive_glob(landing: str, start: Moment, end: Moment, name: str = ARCHIVE_N
     return f"{landing.rstrip('/')}/{pattern}"
 
 
+def _archive_hour(path: Column) -> Column:
+    date, hour = (F.regexp_extract(path, _STEM_PATTERN, i) for i in (1, 2))
+    return F.concat(date, F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":00:00")).try_cast("timestamp_ntz")
+
+
+def landed_hours(spark: SparkSession, paths: str | list[str]) -> list[dt.datetime]:
+    """Hours whose archive is there, from the listing alone; one row per hour of the calendar at most."""
+    files = spark.read.format("binaryFile").load(paths).select(_archive_hour(F.col("path")).alias("hour"))
+    return sorted(row["hour"] for row in files.distinct().collect() if row["hour"] is not None)
+
+
 def read_archive(spark: SparkSession, paths: str | list[str], with_hour: bool = False) -> DataFrame:
     """Scan archives with the fixed schema (no inference pass), fields matched by name.
 
@@ -57,11 +67,10 @@ def read_archive(spark: SparkSession, paths: str | list[str], with_hour: bool =
     keep their text in ``_corrupt_record``. A gzip file is one task: the
     parallelism of a load is its number of hours.
     """
-    raw = pin_utc(spark).read.schema(RAW_EVENT).json(paths)
+    raw = spark.read.schema(RAW_EVENT).json(paths)
     if not with_hour:
         return raw
-    stem = F.regexp_extract(F.col("_metadata.file_path"), _STEM_PATTERN, 1)
-    return raw.withColumn("archive_hour", F.try_to_timestamp(stem, F.lit("yyyy-MM-dd-H")).cast("timestamp_ntz"))
+    return raw.withColumn("archive_hour", _archive_hour(F.col("_metadata.file_path")))
 
 
 def typed_events(raw: DataFrame) -> DataFrame:

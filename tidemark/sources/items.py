@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, ntz, parse_utc
-from tidemark.session import pin_utc
 
 # Multiplier and range of the draw, seconds in 30 days.
 _MULTIPLIER = 2654435761
@@ -15,8 +14,13 @@ _MONTH_SECONDS = 2592000
 
 
 def _draw(row_id: Column, seed: int) -> Column:
-    """One 32-bit draw per row, repeatable from the row id and within BIGINT."""
-    return F.pmod(F.pmod(row_id, F.lit(1 << 31)) * F.lit(_MULTIPLIER) + F.lit(seed), F.lit(_DRAWS))
+    """One 32-bit draw per row, repeatable from the row id; no two of 2**32 rows share one.
+
+    The product is taken in two halves of the id, so that it stays within BIGINT.
+    """
+    low, high = F.pmod(row_id, F.lit(1 << 16)), F.pmod(F.shiftright(row_id, 16), F.lit(1 << 16))
+    upper = F.pmod(high * F.lit(_MULTIPLIER), F.lit(1 << 16)) * F.lit(1 << 16)
+    return F.pmod(upper + low * F.lit(_MULTIPLIER) + F.lit(seed), F.lit(_DRAWS))
 
 
 def _stamp(draw: Column, now: Moment) -> Column:
@@ -47,6 +51,5 @@ def generate_items_copy(rows: DataFrame, now: Moment, seed: int = 0) -> DataFram
 
 def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Scan newline-JSON item rows."""
-    pin_utc(spark)
     rows = spark.read.schema("id STRING, name STRING, value BIGINT, timestamp STRING").json(path)
     return rows.withColumn("timestamp", parse_utc(F.col("timestamp")))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import parse_utc, trunc_millis
-from tidemark.session import pin_utc
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -30,7 +29,6 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 
 def _decoded(values: DataFrame) -> DataFrame:
-    pin_utc(values.sparkSession)
     # one parse per message; a generator also keeps filters on its output from
     # being rewritten into further parses
     fields = values.select("value", F.json_tuple("value", "user_id", "ts", "event_type").alias("user", "ts", "type"))

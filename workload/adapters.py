@@ -15,7 +15,7 @@ from tidemark.functions.time import ntz
 from tidemark.operators.events import project_serving
 from tidemark.plans.load import load_range
 from tidemark.schemas import SERVING
-from tidemark.session import pin_utc, scratch_dir
+from tidemark.session import scratch_dir
 from tidemark.sinks.tables import LakeTable, ServingTable
 from tidemark.sources.archive import conform_to_lake
 from tidemark.sources.items import generate_items
@@ -33,6 +33,9 @@ TYPE_NAMES = {
 # Archives written by Spark are folders of this name.
 ARCHIVE_FOLDER = "archive={stem}.json.gz"
 
+#: Input files that a micro-batch takes.
+FILES_PER_TRIGGER = 2
+
 ITEM_NOW = "2025-05-20 11:07:38"
 
 # The historic part ends after the recent part begins.
@@ -50,21 +53,8 @@ def _once(spark: SparkSession, sf_dir: str, label: str, build) -> str:
     return _built[key]
 
 
-def _size_writes(spark: SparkSession, path: str) -> str:
-    """Cut rebalanced writes to the size of the test table, up to the default of 64 MB.
-
-    The small tables would otherwise be written by one task, hour after hour.
-    """
-    length = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    size = min(64 << 20, max(64 << 10, length // 2))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", min(1 << 20, size // 4))
-    return path
-
-
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _once(spark, sf_dir, "events", lambda: _size_writes(spark, f"{sf_dir}/events.parquet"))
-    return pin_utc(spark).read.parquet(path)
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _text(value: Column) -> Column:
@@ -134,11 +124,11 @@ def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored serving table that queries only read."""
 
     def build() -> str:
-        table = ServingTable(pin_utc(spark), new_name("serving"), scratch_dir(spark, "serving")).create()
+        table = ServingTable(spark, new_name("serving"), scratch_dir(spark, "serving")).create()
         table.append(serving_rows(spark, sf_dir))
         return table.name
 
-    return pin_utc(spark).table(_once(spark, sf_dir, "serving", build))
+    return spark.table(_once(spark, sf_dir, "serving", build))
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
@@ -149,7 +139,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
         rows = _lake_source(spark, sf_dir)
         stamp = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         fields = F.struct("id", "type", stamp.alias("created_at"), "public", "actor", "repo", "org")
-        line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substring(F.to_json(fields), 2, 1 << 30))
+        line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substr(F.to_json(fields), F.lit(2)))
         stem = F.concat(F.date_format("created_at", "yyyy-MM-dd"), F.lit("-"), _text(F.hour("created_at")))
         lines = rows.select(line.alias("value"), F.concat(stem, F.lit(".json.gz")).alias("archive"))
         lines.hint("rebalance", "archive").write.partitionBy("archive").option("compression", "gzip").text(path)
@@ -170,7 +160,7 @@ def new_name(label: str) -> str:
 
 
 def empty_lake(spark: SparkSession, label: str) -> LakeTable:
-    return LakeTable(pin_utc(spark), new_name(label), scratch_dir(spark, label)).create()
+    return LakeTable(spark, new_name(label), scratch_dir(spark, label)).create()
 
 
 def loaded_lake(spark: SparkSession, sf_dir: str, label: str) -> LakeTable:
@@ -212,10 +202,8 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages as a stream that arrives in about four micro-batches."""
-    path = message_files(spark, sf_dir)
-    files = len(spark.read.text(path).inputFiles())
-    return file_messages(spark, path, max_files_per_trigger=-(-files // 4))
+    """The messages as a stream; the four lanes give at least two micro-batches."""
+    return file_messages(spark, message_files(spark, sf_dir), max_files_per_trigger=FILES_PER_TRIGGER)
 
 
 def serving_files(spark: SparkSession, sf_dir: str) -> str:
@@ -232,11 +220,9 @@ def serving_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def serving_stream(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
-    """One part of the serving rows as a stream of about four micro-batches."""
-    path = f"{serving_files(spark, sf_dir)}/{part}"
-    files = len(spark.read.parquet(path).inputFiles())
-    reader = spark.readStream.schema(SERVING).option("maxFilesPerTrigger", -(-files // 4))
-    return reader.parquet(path).select(*SERVING.fieldNames())
+    """One part of the serving rows as a stream of several micro-batches."""
+    reader = spark.readStream.schema(SERVING).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    return reader.parquet(f"{serving_files(spark, sf_dir)}/{part}").select(*SERVING.fieldNames())
 
 
 def stored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
