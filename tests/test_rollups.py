@@ -8,13 +8,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import content
+from helpers import content, serving
 from tidemark.operators import rollups
 from tidemark.operators.events import between, default_empty, project_serving
-from tidemark.plans.copies import backfill, copy_days, copy_historic, copy_rt
+from tidemark.plans.copies import append_historic, append_recent, backfill, copy_days, copy_historic, copy_rt
 from tidemark.plans.reads import DEFAULT_END, DEFAULT_START, events_stats, last_event_date, top_repos
-from tidemark.schemas import DAY_KEYS, DAY_PARTIAL, MINUTE_KEYS
+from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS
 from tidemark.sinks.rollups import read_rollup, write_rollup
+from tidemark.sinks.state import RollupState
+from tidemark.streaming.rollups import write_day_batch
 
 D = dt.datetime
 SCHEMA = "created_at TIMESTAMP_NTZ, event_type STRING, repo_name STRING, actor_login STRING"
@@ -250,7 +252,9 @@ def test_recent_copy_by_range_or_high_water(spark):
     lake = _lake(spark, *EDGES)
     assert copy_rt(lake, "2024-01-01", "2024-01-02").count() == 2
     mark = _at(spark, "2024-01-02 00:00:00").withColumnRenamed("created_at", "last_date")
-    assert copy_rt(lake, high_water=mark).count() == 1
+    # the mark is cut to milliseconds: a row that shares its millisecond is the marked one itself
+    assert copy_rt(lake, high_water=mark).count() == 0
+    assert copy_rt(_lake(spark, *EDGES, "2024-01-02 00:00:00.001"), high_water=mark).count() == 1
     with pytest.raises(ValueError, match="high-water"):
         copy_rt(lake, from_ts="2024-01-01")
 
@@ -301,3 +305,90 @@ def test_closed_range_reaches_the_scan(spark, tmp_path):
     plan = between(spark.read.parquet(path), "2024-01-01", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     # the plan text is cut off after the start of the second bound
     assert "GreaterThanOrEqual(created_at,2024-01-01T00:00), LessThanOrEqual(created_" in plan
+
+
+def _batch(spark, *rows):
+    schema = "date DATE, event_type STRING, repo_name STRING, cnt BIGINT, source STRING, run STRING, batch_id BIGINT, month INT"
+    return spark.createDataFrame([(dt.date(2024, 1, 1), "T", "r", n, s, r, b, 202401) for s, r, b, n in rows], schema)
+
+
+def test_live_batches_of_each_stream_stay(spark):
+    """Compacting one source must not cover batches of another, nor of another run."""
+    state = _batch(spark, ("rt", "a", 0, 1), ("rt", "a", 2, 1), ("historic", "a", 0, 1), ("historic", "a", 1, 1), ("rt", "b", 1, 1))
+    compacted = rollups.compact(state.filter("source = 'rt' AND run = 'a'"), DAY_KEYS, upto=2)
+    assert content(rollups.merge_counts(rollups.with_live(compacted, state), "event_type"), "count") == [(5,)]
+
+
+def test_state_of_one_aggregation_equals_counts_and_members(spark):
+    rows = [(D(2024, 1, d, h), "T", r, a) for d in (1, 2) for h in (1, 2) for r in ("x", None) for a in ("u", "v", None)]
+    events = frame(spark, rows)
+    state = rollups.day_state(events)
+    assert content(rollups.counts_of(state), *DAY_KEYS, "cnt") == content(rollups.rollup_day(events, "s"), *DAY_KEYS, "cnt")
+    assert content(rollups.members_of(state), *DAY_KEYS, "actor_login") == content(rollups.day_members(events, "s"), *DAY_KEYS, "actor_login")
+    merged = rollups.merge_states(state, state)
+    assert content(merged, *DAY_KEYS, "count", "actor_count") == sorted([(d, t, r, 2 * n, a) for d, t, r, n, a in expected(rows)], key=repr)
+    plan = rollups.merge_states(state)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
+@pytest.fixture
+def day_state(spark, tmp_path):
+    path = str(tmp_path / "days")
+    counts = RollupState(spark, f"{path}/counts", DAY_PARTIAL, ("event_type", "date", "repo_name"))
+    members = RollupState(spark, f"{path}/members", DAY_MEMBER, ("event_type", "date", "repo_name"))
+
+    def total():
+        merged = rollups.merge_day(counts.read(), members.read())
+        return tuple(merged.agg(F.sum("count"), F.sum("actor_count")).first())
+
+    return path, counts, members, total
+
+
+def test_compaction_job(spark, day_state, tmp_path):
+    path, counts, members, total = day_state
+    events = frame(spark, [(D(2024, m, d), "T", "r", f"u{d % 3}") for m in (1, 2) for d in range(1, 11)])
+    for source, run, batch in (("historic", "a", 0), ("historic", "a", 1), ("rt", "a", 0), ("rt", "b", 0)):
+        write_day_batch(events, path, source, batch, run)
+    assert total() == (80, 20)
+    for generation in (1, 2):
+        assert counts.compact() == generation and members.compact() == generation
+        assert total() == (80, 20)
+        assert counts.batches().count() == 0
+    write_day_batch(events, path, "rt", 1, "a")
+    write_day_batch(events, path, "rt", 0, "a")  # a merged batch comes again and stays covered
+    write_day_batch(events, path, "rt", 0, "c")
+    assert total() == (120, 20)
+    assert counts.compact() == 3 and total() == (120, 20)
+    stored = top_repos(counts.read(), "2024-02-01", "2024-02-05", group_by=["event_type"])
+    assert content(stored, "count") == [(30,)]
+
+
+def test_compaction_that_fails_can_be_repeated(spark, day_state, monkeypatch):
+    path, counts, members, total = day_state
+    events = frame(spark, [(D(2024, 1, d), "T", "r", "u") for d in range(1, 4)])
+    for batch in range(3):
+        write_day_batch(events, path, "rt", batch)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for place, published in (("tidemark.sinks.state.write_rollup", 0), ("tidemark.sinks.state.RollupState.remove_merged", 1)):
+        with monkeypatch.context() as patch:
+            patch.setattr(place, lost)
+            with pytest.raises(RuntimeError, match="lost"):
+                counts.compact()
+        assert counts.generation() == published and total()[0] == 9
+    counts.compact()
+    assert total() == (9, 3) and counts.batches().count() == 0
+
+
+def test_recent_copies_chain_into_tables_and_rollups(spark, tmp_path):
+    lake = _lake(spark, "2024-01-01 10:00:00.123456", "2024-01-02 10:00:00", "2024-01-03 10:00:00.999999")
+    historic, recent = serving(spark, tmp_path), serving(spark, tmp_path)
+    path = str(tmp_path / "chain")
+    append_historic(lake, historic, path, "2024-01-01", "2024-01-02")
+    for _ in range(2):
+        append_recent(lake, recent, historic.read(), path, "2024-01-04")
+    assert (historic.read().count(), recent.read().count()) == (1, 2)
+    counts = read_rollup(spark, f"{path}/counts", DAY_PARTIAL)
+    assert content(rollups.merge_counts(counts, "source"), "source", "count") == [("historic", 1), ("rt", 2)]

@@ -14,7 +14,7 @@ from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MIN
 from tidemark.session import scratch_dir
 from tidemark.sinks.rollups import read_rollup
 from tidemark.sources.messages import decode_messages, file_messages
-from tidemark.streaming.ingest import ingest, store_rejects
+from tidemark.streaming.ingest import ingest, ingest_all, store_rejects
 from tidemark.streaming.rollups import day_writer, maintain, minute_writer
 
 D = dt.datetime
@@ -119,3 +119,23 @@ def test_day_rollup_of_two_sources(spark, tmp_path):
     )
     assert content(merged, *DAY_KEYS, "count", "actor_count") == [
         (dt.date(2024, 1, 1), "T", "r", 4, 1), (dt.date(2024, 1, 2), "T", "r", 2, 1)]
+
+
+def test_a_new_checkpoint_writes_beside_what_is_there(spark, tmp_path):
+    folder, path = tmp_path / "in", scratch_dir(spark, "m")
+    _land(folder, "a.txt", _message(1), _message(2))
+    _run_minutes(spark, folder, path, scratch_dir(spark, "c"))
+    other = tmp_path / "other"
+    _land(other, "b.txt", _message(2))
+    got = _run_minutes(spark, other, path, scratch_dir(spark, "c"))
+    assert got == [(D(2024, 1, 1, 0, 1), "x", 1), (D(2024, 1, 1, 0, 2), "x", 2)]
+
+
+def test_events_and_rejects_from_one_stream(spark, tmp_path):
+    folder, checkpoint = tmp_path / "in", scratch_dir(spark, "c")
+    good, bad = scratch_dir(spark, "good"), scratch_dir(spark, "bad")
+    for name, *texts in (("a.txt", _message(1), "garbage"), ("b.txt", _message(2))):
+        _land(folder, name, *texts)
+        ingest_all(file_messages(spark, str(folder)), good, bad, checkpoint).awaitTermination()
+    assert content(spark.read.parquet(good), "timestamp") == [(D(2024, 1, 1, 0, m),) for m in (1, 2)]
+    assert content(spark.read.text(bad), "value") == [("garbage",)]

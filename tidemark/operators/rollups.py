@@ -8,6 +8,9 @@ repository over all tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,30 @@ def _day_keys() -> list[Column]:
     ]
 
 
+def day_state(events: DataFrame) -> DataFrame:
+    """Events per day key and actor: one aggregation that holds both the counts and the members."""
+    return events.groupBy(*_day_keys(), "actor_login").agg(F.count("*").alias("cnt"))
+
+
+def counts_of(state: DataFrame) -> DataFrame:
+    """Partial counts of a :func:`day_state`."""
+    return state.groupBy(*DAY_KEYS).agg(F.sum("cnt").alias("cnt"))
+
+
+def members_of(state: DataFrame) -> DataFrame:
+    """Members of a :func:`day_state`; it has each of them once."""
+    return state.filter(F.col("actor_login").isNotNull()).select(*DAY_KEYS, "actor_login")
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """Counts and exact distinct actors per day key over several states of :func:`day_state`.
+
+    The states meet by key and actor, which spreads a hot key over all tasks, and then by key.
+    """
+    together = reduce(DataFrame.unionByName, states).groupBy(*DAY_KEYS, "actor_login").agg(F.sum("cnt").alias("cnt"))
+    return together.groupBy(*DAY_KEYS).agg(F.sum("cnt").alias("count"), F.count("actor_login").alias("actor_count"))
+
+
 def rollup_day(events: DataFrame, source: str) -> DataFrame:
     """Partial event counts per date, type and repository, tagged with their source."""
     return events.groupBy(*_day_keys()).agg(F.count("*").alias("cnt")).withColumn("source", F.lit(source))
@@ -52,7 +79,9 @@ def merge_actors(members: DataFrame, *by: str) -> DataFrame:
 
 
 def merge_day(partials: DataFrame, members: DataFrame) -> DataFrame:
-    """Counts and distinct actors per day key in one shuffle; keys without members get the empty state.
+    """Counts and distinct actors per day key; keys without members get the empty state.
+
+    Two shuffles: by key and actor, which spreads a hot key, and by key.
 
     Rollups written before member sets were kept have counts only.
     """
@@ -69,27 +98,49 @@ def _settled(state: DataFrame, upto: int) -> DataFrame:
     return state.filter(F.col("batch_id") <= upto)
 
 
-def compact(partials: DataFrame, keys: tuple[str, ...], upto: int) -> DataFrame:
-    """Merge the partial counts of all batches up to ``upto`` into one row per key, stamped with ``upto``.
+def _streams(state: DataFrame) -> list[str]:
+    """The columns that tell apart streams, each of which numbers its batches on its own."""
+    return [name for name in ("source", "run") if name in state.columns]
 
-    Batch ids count per stream, so the state of several sources is compacted one
-    source at a time.
-    """
-    merged = _settled(partials, upto).groupBy(*keys, "month").agg(F.sum("cnt").alias("cnt"))
+
+def merge_partials(state: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One partial row per key: counts add up, members are united."""
+    if "cnt" in state.columns:
+        return state.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
+    return state.select(*keys).distinct()
+
+
+def compact(partials: DataFrame, keys: tuple[str, ...], upto: int) -> DataFrame:
+    """Merge the partial counts of all batches up to ``upto`` into one row per key and stream, stamped with ``upto``."""
+    by = dict.fromkeys((*keys, *_streams(partials), "month"))
+    merged = _settled(partials, upto).groupBy(*by).agg(F.sum("cnt").alias("cnt"))
     return merged.withColumn("batch_id", F.lit(upto).cast("bigint"))
 
 
 def compact_members(members: DataFrame, upto: int) -> DataFrame:
-    """The same for member sets: their union, one row per member."""
+    """The same for member sets: their union, one row per member and stream."""
     united = _settled(members, upto).drop("batch_id").distinct()
     return united.withColumn("batch_id", F.lit(upto).cast("bigint"))
 
 
+def uncovered(state: DataFrame, covered: DataFrame) -> DataFrame:
+    """Rows of batches after the ``upto`` of their stream; streams that are not in ``covered`` stay whole.
+
+    ``covered`` has one row for each stream, so it is small whatever the state holds.
+    """
+    by = _streams(covered)
+    marks = covered.select(*(F.col(name).alias(f"_{name}") for name in by), "upto")
+    # streams written before they had a name have a null one
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in by), F.lit(True))
+    later = state.join(F.broadcast(marks), same, "left")
+    return later.filter(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).select(*state.columns)
+
+
 def with_live(compacted: DataFrame, state: DataFrame) -> DataFrame:
-    """Compacted rows plus the batches of the same stream that they do not cover yet.
+    """Compacted rows plus the batches that they do not cover yet, stream by stream.
 
     The stamp decides which batches count, so answers stay the same whether the
     merged batches have been removed already or not.
     """
-    covered = compacted.select(F.coalesce(F.max("batch_id"), F.lit(-1))).scalar()
-    return compacted.unionByName(state.filter(F.col("batch_id") > covered))
+    covered = compacted.groupBy(*_streams(compacted)).agg(F.max("batch_id").alias("upto"))
+    return compacted.unionByName(uncovered(state, covered))

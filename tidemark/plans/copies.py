@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, day, moment, trunc_millis
 from tidemark.operators.events import after_until, between, project_serving
+from tidemark.plans.reads import last_event_date
+from tidemark.sinks.tables import ServingTable
+from tidemark.streaming.rollups import write_day_batch, write_minute_batch
 
 
 def copy_historic(lake: DataFrame, from_ts: Moment, to_ts: Moment) -> DataFrame:
@@ -33,7 +36,9 @@ def copy_rt(
     if high_water is None:
         raise ValueError("give both from_ts and to_ts, or a high-water frame")
     mark = high_water.select("last_date").scalar()
-    newer = lake.filter(F.col("created_at") > mark)
+    # the mark is cut to milliseconds like the rows it comes from: what shares its
+    # millisecond has been copied already
+    newer = lake.filter(F.col("created_at") >= mark + F.expr("INTERVAL 0.001 SECOND"))
     if "event_date" in lake.columns:
         newer = newer.filter(F.col("event_date") >= F.to_date(mark))
         if floor is not None:
@@ -62,3 +67,54 @@ def backfill(messages: DataFrame, from_ts: Moment, to_ts: Moment) -> DataFrame:
         trunc_millis(F.col("ts")).alias("timestamp"),
         "event_type",
     )
+
+
+def append_copy(rows: DataFrame, serving: ServingTable, rollup: str, source: str, run_id: str) -> None:
+    """Append copied rows and add them to the daily rollup under ``rollup``.
+
+    The rollup batch comes first and is named by ``run_id``: repeating a copy that failed
+    before its append replaces the batch.
+    """
+    rows = rows.persist()
+    try:
+        write_day_batch(rows, rollup, source, 0, run_id)
+        serving.append(rows)
+    finally:
+        rows.unpersist()
+
+
+def _stamp(value: Moment) -> str:
+    return f"{moment(value):%Y%m%dT%H%M%S.%f}"
+
+
+def append_historic(lake: DataFrame, serving: ServingTable, rollup: str, from_ts: Moment, to_ts: Moment) -> None:
+    """Copy (from_ts, to_ts] of the lake into a serving table and its rollup."""
+    run_id = f"historic-{_stamp(from_ts)}-{_stamp(to_ts)}"
+    append_copy(copy_historic(lake, from_ts, to_ts), serving, rollup, "historic", run_id)
+
+
+def append_recent(lake: DataFrame, recent: ServingTable, historic: DataFrame, rollup: str, as_of: Moment) -> dt.datetime:
+    """Copy what is newer than both serving tables into the recent one and its rollup; returns the mark used.
+
+    A second run finds its mark at the newest row of the first and adds nothing.
+    """
+    mark = last_event_date(recent.read(), historic, as_of)
+    last = mark.first()["last_date"]
+    rows = copy_rt(lake, high_water=mark, floor=last)
+    append_copy(rows, recent, rollup, "rt", f"rt-after-{_stamp(last)}")
+    return last
+
+
+def append_backfill(messages: DataFrame, events: str, minutes: str, from_ts: Moment, to_ts: Moment) -> None:
+    """Put stored messages of a closed range beside the streamed events, and into the minute rollup.
+
+    Repeating it replaces what the same range wrote before.
+    """
+    run_id = f"backfill-{_stamp(from_ts)}-{_stamp(to_ts)}"
+    rows = backfill(messages, from_ts, to_ts).persist()
+    try:
+        dated = rows.withColumn("event_date", F.to_date("timestamp"))
+        dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{events}/run={run_id}/batch_id=0")
+        write_minute_batch(rows, minutes, "backfill", run_id, 0)
+    finally:
+        rows.unpersist()

@@ -57,12 +57,12 @@ SERVING = _struct(
 DAY_KEYS = ("date", "event_type", "repo_name")
 MINUTE_KEYS = ("minute", "event_type")
 
-_PARTITIONS = {"batch_id": "long", "month": "integer"}
+_PARTITIONS = {"source": "string", "run": "string", "batch_id": "long", "month": "integer"}
 
 DAY_PARTIAL = _struct(
-    date="date", event_type="string", repo_name="string", cnt="long", source="string", **_PARTITIONS
+    date="date", event_type="string", repo_name="string", cnt="long", **_PARTITIONS
 )
 DAY_MEMBER = _struct(
-    date="date", event_type="string", repo_name="string", actor_login="string", source="string", **_PARTITIONS
+    date="date", event_type="string", repo_name="string", actor_login="string", **_PARTITIONS
 )
 MINUTE_PARTIAL = _struct(minute="timestamp_ntz", event_type="string", cnt="long", **_PARTITIONS)

@@ -12,17 +12,15 @@ from tidemark.functions.time import yyyymm
 def write_rollup(rollup: DataFrame, path: str, sort_keys: tuple[str, ...]) -> None:
     """Replace ``path`` with the rollup, one folder per month of its first time column.
 
-    Ranges over (month, keys) give each task a contiguous run of keys, so months
-    stay in few files and every file covers a narrow key range. The other columns
-    end the range key: the very many members of one busy key can then be cut
-    into several ranges.
+    A rebalancing shuffle by month keeps months in few files and
+    is cut by size, so that the very many members of one busy key are written by several
+    tasks; rows are sorted by key inside each file. The input is read once.
     """
     time_key = "date" if "date" in rollup.columns else "minute"
     rows = rollup.withColumn("month", yyyymm(F.col(time_key)))
     keys = ["month", *sort_keys]
-    others = [name for name in rows.columns if name not in keys]
-    ranged = rows.repartitionByRange(*keys, *others).sortWithinPartitions(*keys)
-    ranged.write.mode("overwrite").partitionBy("month").parquet(path)
+    placed = rows.hint("rebalance", "month").sortWithinPartitions(*keys)
+    placed.write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def read_rollup(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -20,6 +20,30 @@ def run(writer: DataStreamWriter, checkpoint: str, continuous: bool) -> Streamin
     return writer.start()
 
 
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream that a micro-batch belongs to; it is kept in the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def ingest_all(values: DataFrame, path: str, rejects: str, checkpoint: str, continuous: bool = False) -> StreamingQuery:
+    """Events and rejects from one reading of the messages.
+
+    Each micro-batch replaces its own folder of either output, so a replayed one counts once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"run={run_of(batch)}/batch_id={batch_id}"
+        batch = batch.persist()
+        try:
+            events = decode_messages(batch).withColumn("event_date", F.to_date("timestamp"))
+            events.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/{folder}")
+            rejected_messages(batch).write.mode("overwrite").text(f"{rejects}/{folder}")
+        finally:
+            batch.unpersist()
+
+    return run(values.writeStream.foreachBatch(write), checkpoint, continuous)
+
+
 def ingest(values: DataFrame, path: str, checkpoint: str, continuous: bool = False) -> StreamingQuery:
     """Append decoded events, one folder per day, each message exactly once."""
     events = decode_messages(values).withColumn("event_date", F.to_date("timestamp"))

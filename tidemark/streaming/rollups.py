@@ -1,8 +1,10 @@
 """Rollups maintained from a stream.
 
-Each micro-batch writes its own partial rows under ``batch_id=N``, replacing that
-folder when the batch is replayed. Partials merge in any order, so late events
-need no watermark and no state is kept between batches.
+Each micro-batch writes its own partial rows under ``source=S/run=R/batch_id=N``, replacing
+that folder when the batch is replayed. The run of a stream is the id that its
+checkpoint holds, so a stream begun anew writes beside what is there. Partials
+merge in any order, so late events need no watermark and no state is kept between
+batches. :mod:`tidemark.sinks.state` reads and compacts the folders.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.time import yyyymm
-from tidemark.operators.rollups import day_members, rollup_day, rollup_minute
-from tidemark.streaming.ingest import run
+from tidemark.operators.rollups import counts_of, day_state, members_of, rollup_minute
+from tidemark.sinks.state import batch_folder
+from tidemark.streaming.ingest import run, run_of
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -26,34 +29,38 @@ def _write_partial(rows: DataFrame, time_key: str, folder: str) -> None:
     monthly.write.mode("overwrite").partitionBy("month").parquet(folder)
 
 
-def minute_writer(path: str) -> BatchWriter:
-    """Partial minute counts of one micro-batch."""
+def write_minute_batch(events: DataFrame, path: str, source: str, run_id: str, batch_id: int) -> None:
+    """Partial minute counts of one batch; also for batch jobs, a backfill for example."""
+    _write_partial(rollup_minute(events), "minute", batch_folder(path, source, run_id, batch_id))
+
+
+def minute_writer(path: str, source: str = "stream") -> BatchWriter:
+    """:func:`write_minute_batch` for a stream."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_partial(rollup_minute(batch), "minute", f"{path}/batch_id={batch_id}")
+        write_minute_batch(batch, path, source, run_of(batch), batch_id)
 
     return write
 
 
-def write_day_batch(events: DataFrame, path: str, source: str, batch_id: int) -> None:
-    """Partial day counts and members of one batch of one source.
+def write_day_batch(events: DataFrame, path: str, source: str, batch_id: int, run_id: str = "batch") -> None:
+    """Partial day counts and members of one batch of one source, from one aggregation of its events.
 
     Also for batch jobs: each copy into a serving table adds its batch.
     """
-    part = f"source={source}/batch_id={batch_id}"
-    _write_partial(rollup_day(events, source).drop("source"), "date", f"{path}/counts/{part}")
-    _write_partial(day_members(events, source).drop("source"), "date", f"{path}/members/{part}")
+    state = day_state(events).persist()
+    try:
+        _write_partial(counts_of(state), "date", batch_folder(f"{path}/counts", source, run_id, batch_id))
+        _write_partial(members_of(state), "date", batch_folder(f"{path}/members", source, run_id, batch_id))
+    finally:
+        state.unpersist()
 
 
 def day_writer(path: str, source: str) -> BatchWriter:
-    """:func:`write_day_batch` for a stream; the micro-batch is kept while both outputs are written."""
+    """:func:`write_day_batch` for a stream."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("created_at", "event_type", "repo_name", "actor_login").persist()
-        try:
-            write_day_batch(batch, path, source, batch_id)
-        finally:
-            batch.unpersist()
+        write_day_batch(batch, path, source, batch_id, run_of(batch))
 
     return write
 
