@@ -7,7 +7,7 @@ import pytest
 
 from helpers import content
 from tidemark.sources.items import generate_items, generate_items_copy, read_items
-from tidemark.sources.messages import decode_messages, kafka_messages, rejected_messages
+from tidemark.sources.messages import decode_messages, kafka_messages, kafka_options, rejected_messages
 
 D = dt.datetime
 
@@ -83,3 +83,14 @@ def test_item_scan(spark, tmp_path):
     (tmp_path / "items.ndjson").write_text(line + "\n")
     assert content(read_items(spark, str(tmp_path / "items.ndjson")), "*") == [
         ("id_4847", "Item 47", 4152595694, D(2025, 5, 18, 0, 33, 31))]
+
+
+def test_kafka_options_name_where_a_first_run_begins():
+    plain = kafka_options("broker:9092", "events")
+    assert plain == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "events", "startingOffsets": "earliest"}
+    assert kafka_options("b", "t", "latest", failOnDataLoss="false")["startingOffsets"] == "latest"
+
+
+def test_messages_need_a_date(spark):
+    values = spark.createDataFrame([('{"user_id":1,"ts":"12:30","event_type":"x"}',)], "value STRING")
+    assert decode_messages(values).count() == 0 and rejected_messages(values).count() == 1

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import Moment, day, moment, within
+from tidemark.functions.time import Moment, day, moment, start_of_hour, within
 from tidemark.schemas import RAW_EVENT
 from tidemark.sinks.tables import LakeTable, SliceReport
 from tidemark.sources.archive import ARCHIVE_NAME, archive_glob, landed_hours, read_archive, typed_events
@@ -28,21 +26,10 @@ class LoadReport:
 HOUR = dt.timedelta(hours=1)
 
 
-def _sound(present: list[dt.datetime]) -> Column:
-    """Rows that parsed and fall into an hour whose archive is there."""
-    hours = reduce(or_, (within(F.col("created_at"), first, last) for first, last in _runs(present)))
-    return F.col("_corrupt_record").isNull() & F.coalesce(hours, F.lit(False))
-
-
-def _runs(hours: list[dt.datetime]) -> list[tuple[dt.datetime, dt.datetime]]:
-    """Sorted hours as few [first, last) ranges."""
-    runs: list[tuple[dt.datetime, dt.datetime]] = []
-    for hour in hours:
-        if runs and runs[-1][1] == hour:
-            runs[-1] = (runs[-1][0], hour + HOUR)
-        else:
-            runs.append((hour, hour + HOUR))
-    return runs
+def _with_landed(events: DataFrame, present: list[dt.datetime]) -> DataFrame:
+    """Mark rows whose hour has its archive. The hours are joined as a small table: at most one row for each hour of the calendar."""
+    hours = events.sparkSession.createDataFrame([(hour, True) for hour in present], "_hour TIMESTAMP_NTZ, _landed BOOLEAN")
+    return events.withColumn("_hour", start_of_hour(F.col("created_at"))).join(F.broadcast(hours), "_hour", "left")
 
 
 def load_slice(
@@ -65,15 +52,15 @@ def load_slice(
     hours = int((end - start) / HOUR)
     absent = [h for h in (start + k * HOUR for k in range(hours)) if h not in there]
     around = read_archive(table.spark, archive_glob(landing, start - HOUR, end + HOUR, name), with_hour=True)
-    events = typed_events(around)
+    events = _with_landed(typed_events(around), present)
     own = F.coalesce(within(F.col("archive_hour"), start, end), F.lit(False))
-    sound = _sound(present)
-    rows = events.filter(own | (sound & F.coalesce(within(F.col("created_at"), start, end), F.lit(False))))
-    report = table.replace_slice(rows, start, end, by_hour=True, keep=sound, hours=present)
+    # landed hours are hours of the slice
+    sound = F.col("_corrupt_record").isNull() & F.coalesce(F.col("_landed"), F.lit(False))
+    report = table.replace_slice(events.filter(own | sound), start, end, by_hour=True, keep=sound, hours=present)
     # a line counts as corrupt by the columns that are parsed, so the rejects need all of them, whatever is selected later
     every = F.xxhash64(*RAW_EVENT.fieldNames()) >= F.lit(-(1 << 63))
-    rejects = events.filter(every & own & ~(sound & F.coalesce(within(F.col("created_at"), start, end), F.lit(False))))
-    return LoadReport(report, absent, rejects.drop("archive_hour"))
+    rejects = events.filter(every & own & ~sound).drop("archive_hour", "_hour", "_landed")
+    return LoadReport(report, absent, rejects)
 
 
 def load_hour(

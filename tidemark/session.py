@@ -10,6 +10,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete folders of any file system that Spark reaches, several at a time; absent ones are no error."""
     configuration, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs

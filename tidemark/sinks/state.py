@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.rollups import merge_partials, uncovered
-from tidemark.session import remove_paths
+from tidemark.session import path_exists, remove_paths
 from tidemark.sinks.rollups import read_rollup, write_rollup
 
 _COVERED = "source STRING, run STRING, upto BIGINT, generation INT"
@@ -37,13 +37,9 @@ class RollupState:
     schema: StructType
     keys: tuple[str, ...]
 
-    def _exists(self, path: str) -> bool:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
-
     def batches(self) -> DataFrame:
         """The rows of all batch folders, covered or not."""
-        if not self._exists(self.path):
+        if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
         return read_rollup(self.spark, self.path, self.schema)
 
@@ -52,7 +48,7 @@ class RollupState:
 
     def generation(self) -> int:
         """Number of the newest published generation, 0 before the first."""
-        if not self._exists(f"{self.path}_covered"):
+        if not path_exists(self.spark, f"{self.path}_covered"):
             return 0
         covered = self.spark.read.schema(_COVERED).parquet(f"{self.path}_covered")
         return covered.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]

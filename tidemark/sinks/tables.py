@@ -28,7 +28,7 @@ from tidemark.functions.time import Moment, moment, start_of_hour, within
 from tidemark.operators.events import partition_bounds, time_slice
 from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
-from tidemark.session import remove_paths
+from tidemark.session import path_exists, remove_paths
 
 # The name Spark gives to the partition of rows whose key is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -80,11 +80,13 @@ class PartitionedTable:
 
     def _holds_rows(self) -> bool:
         """Whether the location holds files of this layout."""
+        if not path_exists(self.spark, self.location):
+            return False
         try:
             found = self.spark.read.option("basePath", self.location).parquet(self.location)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return False  # a folder without files
             raise
         wanted = [*self.schema.fieldNames(), *self.partitions]
         if found.columns != wanted:

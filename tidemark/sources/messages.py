@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.time import parse_utc, trunc_millis
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+def kafka_options(servers: str, topic: str, starting_offsets: str = "earliest", **options: str) -> dict[str, str]:
+    """Options of the source. A first run begins at ``starting_offsets``; later ones go on from their checkpoint."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets, **options}
+
+
+def kafka_messages(
+    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", **options: str
+) -> DataFrame:
     """Message values of a topic. Needs the Kafka connector on the classpath."""
-    stream = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .options(**options)
-        .load()
-    )
+    stream = spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting_offsets, **options)).load()
     return stream.select(F.col("value").cast("string").alias("value"))
 
 

@@ -14,12 +14,14 @@ from tidemark.functions.payload import derive_columns
 from tidemark.functions.time import ntz
 from tidemark.operators.events import project_serving
 from tidemark.plans.load import load_range
-from tidemark.schemas import SERVING
+from tidemark.schemas import DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL, SERVING
 from tidemark.session import scratch_dir
+from tidemark.sinks.state import RollupState
 from tidemark.sinks.tables import LakeTable, ServingTable
 from tidemark.sources.archive import conform_to_lake
 from tidemark.sources.items import generate_items
-from tidemark.sources.messages import file_messages
+from tidemark.sources.messages import decode_messages, file_messages
+from tidemark.streaming.rollups import write_day_batch, write_minute_batch
 
 # Test event types and the archive types they stand for.
 TYPE_NAMES = {
@@ -131,12 +133,30 @@ def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_once(spark, sf_dir, "serving", build))
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
+def gappy_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The archives of the landing folder but for one hour in seven, which never arrived."""
+    return landing(spark, sf_dir, gaps=True)
+
+
+def gappy_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake loaded from the landing folder with gaps."""
+
+    def build() -> str:
+        table = empty_lake(spark, "gappy")
+        load_range(table, gappy_landing(spark, sf_dir), *day_span(spark, sf_dir), ARCHIVE_FOLDER)
+        return table.name
+
+    return spark.table(_once(spark, sf_dir, "gappy lake", build))
+
+
+def landing(spark: SparkSession, sf_dir: str, gaps: bool = False) -> str:
     """Gzip JSON archives of all events, one folder per UTC hour."""
 
     def build() -> str:
         path = scratch_dir(spark, "landing")
         rows = _lake_source(spark, sf_dir)
+        if gaps:
+            rows = rows.filter((F.day("created_at") * 24 + F.hour("created_at")) % 7 != 3)
         stamp = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         fields = F.struct("id", "type", stamp.alias("created_at"), "public", "actor", "repo", "org")
         line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substr(F.to_json(fields), F.lit(2)))
@@ -145,7 +165,44 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
         lines.hint("rebalance", "archive").write.partitionBy("archive").option("compression", "gzip").text(path)
         return path
 
-    return _once(spark, sf_dir, "landing", build)
+    return _once(spark, sf_dir, f"landing {gaps}", build)
+
+
+def day_states(spark: SparkSession, path: str) -> tuple[RollupState, RollupState]:
+    """The stored counts and members of a daily rollup."""
+    keys = ("event_type", "date", "repo_name")
+    return RollupState(spark, f"{path}/counts", DAY_PARTIAL, keys), RollupState(spark, f"{path}/members", DAY_MEMBER, keys)
+
+
+def day_counts(spark: SparkSession, sf_dir: str) -> RollupState:
+    """Stored daily counts of all events: two sources, three compacted batches and two later ones."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "days")
+        rows = serving(spark, sf_dir).withColumn("part", F.minute("created_at") % 5)
+        for part, source, batch_id in ((0, "historic", 0), (1, "historic", 1), (2, "rt", 4), (3, "historic", 2), (4, "rt", 5)):
+            write_day_batch(rows.filter(F.col("part") == part), path, source, batch_id)
+            if part == 2:
+                day_states(spark, path)[0].compact()
+        return path
+
+    return day_states(spark, _once(spark, sf_dir, "days", build))[0]
+
+
+def minute_counts(spark: SparkSession, sf_dir: str) -> RollupState:
+    """Stored minute counts of all readable messages: a stream in two batches, the first compacted."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "minute-counts")
+        rows = decode_messages(spark.read.text(message_files(spark, sf_dir)).select("value"))
+        for batch_id in (0, 1):
+            part = rows.filter(F.pmod(F.second("timestamp"), F.lit(2)) == batch_id)
+            write_minute_batch(part, path, "stream", "first", batch_id)
+            if not batch_id:
+                RollupState(spark, path, MINUTE_PARTIAL, MINUTE_KEYS).compact()
+        return path
+
+    return RollupState(spark, _once(spark, sf_dir, "minute counts", build), MINUTE_PARTIAL, MINUTE_KEYS)
 
 
 def day_span(spark: SparkSession, sf_dir: str) -> tuple:

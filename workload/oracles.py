@@ -50,7 +50,7 @@ message_text AS (
 minutes AS (
   SELECT date_trunc('minute', timestamp) AS minute, event_type, COUNT(*) AS count
   FROM messages GROUP BY ALL),
-draws AS (SELECT event_id, (event_id % 2147483648 * 2654435761) % 4294967296 AS r FROM events)
+draws AS (SELECT event_id, CAST(CAST(event_id % 4294967296 AS HUGEINT) * 2654435761 % 4294967296 AS BIGINT) AS r FROM events)
 """
 
 _HOUR_START = f"TIMESTAMP '{SLICE_DAY} {SLICE_HOUR:02d}:00:00'"
@@ -119,7 +119,7 @@ _SQL = {
     "copy_historic": _from_lake(_IN_RANGE),
     "copy_rt_range": _from_lake(_IN_RANGE),
     "copy_rt_incremental": _from_lake(
-        "created_at > (SELECT MAX(last_date) FROM ("
+        "date_trunc('milliseconds', created_at) > (SELECT MAX(last_date) FROM ("
         f"SELECT MAX(created_at) AS last_date FROM serving WHERE created_at <= TIMESTAMP '{SPLIT}' UNION ALL "
         f"SELECT MAX(created_at) FROM serving WHERE created_at >= TIMESTAMP '{SPLIT}' AND created_at < TIMESTAMP '2024-01-22 00:00:00' UNION ALL "
         f"SELECT TIMESTAMP '{NOW}' - INTERVAL 1 MONTH))"
@@ -154,7 +154,7 @@ _SQL = {
     "last_event_date_floor": "SELECT MAX(d) AS last_date FROM (SELECT MAX(created_at) AS d FROM serving UNION ALL SELECT TIMESTAMP '2024-03-31 10:00:00' - INTERVAL 1 MONTH)",
     "pending_hours": f"SELECT unnest(range(date_trunc('hour', last) + INTERVAL 1 HOUR, date_trunc('hour', TIMESTAMP '{NOW}'), INTERVAL 1 HOUR)) AS hour FROM (SELECT MAX(created_at) AS last FROM serving WHERE {_HISTORIC})",
     "pending_hours_range": "SELECT unnest(range(date_trunc('hour', MIN(ts)), date_trunc('hour', MAX(ts)), INTERVAL 1 HOUR)) AS hour FROM events",
-    "missing_hours": "WITH loaded AS (SELECT DISTINCT date_trunc('hour', created_at) AS hour FROM serving WHERE event_type = 'IssuesEvent') SELECT hour FROM (SELECT unnest(generate_series(MIN(hour), MAX(hour), INTERVAL 1 HOUR)) AS hour FROM loaded) WHERE hour NOT IN (SELECT hour FROM loaded)",
+    "missing_hours": "WITH loaded AS (SELECT DISTINCT date_trunc('hour', created_at) AS hour FROM serving WHERE (day(created_at) * 24 + hour(created_at)) % 7 <> 3) SELECT hour FROM (SELECT unnest(generate_series(MIN(hour), MAX(hour), INTERVAL 1 HOUR)) AS hour FROM loaded) WHERE hour NOT IN (SELECT hour FROM loaded)",
     "plan_loads": "SELECT hour, strftime(hour, '%Y-%m-%d') || '-' || hour(hour) || '.json.gz' AS archive FROM (SELECT unnest(range(date_trunc('hour', MIN(ts)), date_trunc('hour', MAX(ts)), INTERVAL 1 HOUR)) AS hour FROM events)",
     "scalar_battery": """SELECT event_id, CAST(ts AS DATE) AS date, date_trunc('minute', ts) AS minute, date_trunc('hour', ts) AS hour_start,
       date_trunc('milliseconds', ts) AS millis, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS yyyymm,
@@ -171,6 +171,9 @@ _SQL = {
     "load_day": "SELECT * FROM lake",
     "load_range": "SELECT * FROM lake",
     "load_pending": "SELECT * FROM lake",
+    "load_partial_landing": "SELECT * FROM lake",
+    "append_rt_twice": "SELECT CAST(created_at AS DATE) AS date, COUNT(*) AS rows, COUNT(*) AS count FROM serving GROUP BY ALL",
+    "backfill_minute_rollup": f"SELECT date_trunc('minute', timestamp) AS minute, event_type, COUNT(*) AS count FROM (SELECT * FROM messages UNION ALL {_BACKFILL}) GROUP BY ALL",
     "copy_to_rollup": f"SELECT CAST(created_at AS DATE) AS date, type AS event_type, repo_name, COUNT(*) AS count, COUNT(DISTINCT actor_login) AS actor_count FROM lake WHERE {_IN_RANGE} GROUP BY ALL",
     "compact_day": "SELECT date, event_type, repo_name, cnt AS count, actors AS actor_count FROM days",
     "load_report": "SELECT date_trunc('hour', created_at) AS archive_hour, COUNT(*) AS rows FROM lake GROUP BY ALL",

@@ -68,6 +68,11 @@ def _day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_day(a.serving(spark, sf_dir), "historic")
 
 
+def _stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily counts of two sources, one compacted, one in batches."""
+    return a.day_counts(spark, sf_dir).read()
+
+
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.day_members(a.serving(spark, sf_dir), "historic")
 
@@ -272,7 +277,7 @@ def rollup_day_actors(spark, sf_dir):
 
 @_query
 def merge_count(spark, sf_dir):
-    return rollups.merge_counts(_day_rollup(spark, sf_dir), "event_type", "repo_name")
+    return rollups.merge_counts(_stored_days(spark, sf_dir), "event_type", "repo_name")
 
 
 @_query
@@ -287,10 +292,7 @@ def merge_actors_by_day(spark, sf_dir):
 
 @_query
 def rollup_two_sources(spark, sf_dir):
-    historic, recent = _parts(spark, sf_dir)
-    partials = rollups.rollup_day(historic, "historic").unionByName(rollups.rollup_day(recent, "rt"))
-    members = rollups.day_members(historic, "historic").unionByName(rollups.day_members(recent, "rt"))
-    return rollups.merge_day(partials, members)
+    return rollups.merge_states(*map(rollups.day_state, _parts(spark, sf_dir)))
 
 
 @_query
@@ -309,14 +311,14 @@ def rollup_minute_count(spark, sf_dir):
 def write_rollup_day(spark, sf_dir):
     path = scratch_dir(spark, "rollup")
     write_rollup(_day_rollup(spark, sf_dir), path, ("event_type", "date", "repo_name"))
-    return read_rollup(spark, path, DAY_PARTIAL).drop("batch_id")
+    return read_rollup(spark, path, DAY_PARTIAL).drop("run", "batch_id")
 
 
 @_query
 def write_rollup_members(spark, sf_dir):
     path = scratch_dir(spark, "members")
     write_rollup(_members(spark, sf_dir), path, ("event_type", "date", "repo_name"))
-    return read_rollup(spark, path, DAY_MEMBER).drop("batch_id")
+    return read_rollup(spark, path, DAY_MEMBER).drop("run", "batch_id")
 
 
 # Parameterised reads
@@ -324,44 +326,44 @@ def write_rollup_members(spark, sf_dir):
 
 @_query
 def top_repos_by_type(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["event_type"])
+    return reads.top_repos(_stored_days(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["event_type"])
 
 
 @_query
 def top_repos_by_repo(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["repo_name"])
+    return reads.top_repos(_stored_days(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["repo_name"])
 
 
 @_query
 def top_repos_by_repo_type(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["repo_name", "event_type"], limit=25)
+    return reads.top_repos(_stored_days(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["repo_name", "event_type"], limit=25)
 
 
 @_query
 def top_repos_window(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["date"], limit=100)
+    return reads.top_repos(_stored_days(spark, sf_dir), FROM_DAY, TO_DAY, group_by=["date"], limit=100)
 
 
 @_query
 def top_repos_filtered(spark, sf_dir):
     return reads.top_repos(
-        _day_rollup(spark, sf_dir), FROM_DAY, TO_DAY, repo_names=REPOS, event_types=TYPES, group_by=["repo_name"]
+        _stored_days(spark, sf_dir), FROM_DAY, TO_DAY, repo_names=REPOS, event_types=TYPES, group_by=["repo_name"]
     )
 
 
 @_query
 def top_repos_total(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir), FROM_DAY, TO_DAY)
+    return reads.top_repos(_stored_days(spark, sf_dir), FROM_DAY, TO_DAY)
 
 
 @_query
 def top_repos_default_window(spark, sf_dir):
-    return reads.top_repos(_day_rollup(spark, sf_dir))
+    return reads.top_repos(_stored_days(spark, sf_dir))
 
 
 @_query
 def events_stats(spark, sf_dir):
-    return reads.events_stats(rollups.rollup_minute(_stream_events(spark, sf_dir)), FROM_TS, TO_TS)
+    return reads.events_stats(a.minute_counts(spark, sf_dir).read(), FROM_TS, TO_TS)
 
 
 @_query
@@ -396,13 +398,12 @@ def _span(spark, sf_dir):
 
 @_query
 def missing_hours(spark, sf_dir):
-    # hours without any issue event stand for hours that were never loaded
-    return hours.missing_hours(a.serving(spark, sf_dir).filter("event_type = 'IssuesEvent'"))
+    return hours.missing_hours(events.project_serving(a.gappy_lake(spark, sf_dir)))
 
 
 @_query
 def missing_hours_of_lake(spark, sf_dir):
-    return hours.missing_hours(a.shared_lake(spark, sf_dir).filter("type = 'IssuesEvent'"))
+    return hours.missing_hours(a.gappy_lake(spark, sf_dir))
 
 
 @_query
@@ -469,7 +470,7 @@ def replace_hour(spark, sf_dir):
     start = dt.datetime.fromisoformat(SLICE_DAY) + dt.timedelta(hours=SLICE_HOUR)
     # the new hour has one event type less and another action
     new = rows.filter("type <> 'PushEvent'").withColumn("action", F.lit("replaced"))
-    table.replace_slice(new, start, start + dt.timedelta(hours=1))
+    table.replace_from_table(new, start, start + dt.timedelta(hours=1))
     return _flat(table.read())
 
 
@@ -481,7 +482,7 @@ def replace_day(spark, sf_dir):
     start = dt.datetime.fromisoformat(SLICE_DAY)
     # the new day has no hour before noon
     new = rows.filter(F.hour("created_at") >= 12).withColumn("action", F.lit("replaced"))
-    table.replace_slice(new, start, start + dt.timedelta(days=1))
+    table.replace_from_table(new, start, start + dt.timedelta(days=1))
     return _flat(table.read())
 
 
@@ -509,14 +510,25 @@ def load_pending(spark, sf_dir):
     table = a.empty_lake(spark, "load_pending")
     first, _ = a.day_span(spark, sf_dir)
     load.load_range(table, a.landing(spark, sf_dir), first, FROM_DAY, a.ARCHIVE_FOLDER)
-    mark = reads.last_event_date(table.read(), table.read(), NOW)
+    mark = reads.last_event_date(table.read(), table.read().limit(0), NOW)
     load.load_pending(table, a.landing(spark, sf_dir), mark, NOW, a.ARCHIVE_FOLDER)
     return _flat(table.read())
 
 
 @_query
 def load_report(spark, sf_dir):
-    return load.rows_per_archive(_archive(spark, sf_dir, with_hour=True))
+    first, last = a.day_span(spark, sf_dir)
+    table = a.loaded_lake(spark, sf_dir, "load_report")
+    counts = table.hour_counts(f"{first} 00:00:00", f"{last + dt.timedelta(days=1)} 00:00:00")
+    return counts.select(F.col("hour").alias("archive_hour"), "rows")
+
+
+@_query
+def load_partial_landing(spark, sf_dir):
+    # the table was loaded whole; now a seventh of the archives has left the landing folder
+    table = a.loaded_lake(spark, sf_dir, "load_partial")
+    load.load_range(table, a.gappy_landing(spark, sf_dir), *a.day_span(spark, sf_dir), a.ARCHIVE_FOLDER)
+    return _flat(table.read())
 
 
 @_query
@@ -540,21 +552,47 @@ def copy_to_rollup(spark, sf_dir):
 
 @_query
 def compact_day(spark, sf_dir):
+    # two sources with unequal batch numbers, compacted twice with batches in between
     path = scratch_dir(spark, "compact_days")
-    rows = a.serving(spark, sf_dir)
-    # the same actors return in the second half, so member sets of the batches overlap
-    for batch_id, odd in enumerate((False, True)):
-        part = rows.filter((F.minute("created_at") % 2 == 1) == odd)
-        stream_rollups.write_day_batch(part, path, "historic", batch_id)
+    rows = a.serving(spark, sf_dir).withColumn("part", F.minute("created_at") % 5)
+    counts, members = a.day_states(spark, path)
+
+    def add(part, source, batch_id):
+        # the same actors return in every part, so member sets of the batches overlap
+        stream_rollups.write_day_batch(rows.filter(F.col("part") == part), path, source, batch_id)
+
+    for part, source, batch_id in ((0, "historic", 0), (1, "historic", 1), (2, "rt", 7)):
+        add(part, source, batch_id)
+    for state in (counts, members):
+        state.compact()
+    add(3, "historic", 2)
+    add(4, "rt", 8)
+    for state in (counts, members):
+        state.compact()
+    return rollups.merge_day(counts.read(), members.read())
+
+
+@_query
+def append_rt_twice(spark, sf_dir):
+    # copies append to both serving tables; the second recent copy finds nothing new
+    lake, path = a.shared_lake(spark, sf_dir), scratch_dir(spark, "appended")
+    historic = ServingTable(spark, a.new_name("historic"), scratch_dir(spark, "historic")).create()
+    recent = ServingTable(spark, a.new_name("recent"), scratch_dir(spark, "recent")).create()
+    copies.append_historic(lake, historic, path, "2023-12-31 00:00:00", SPLIT)
+    for _ in range(2):
+        copies.append_recent(lake, recent, historic.read(), path, NOW)
     counts = read_rollup(spark, f"{path}/counts", DAY_PARTIAL)
-    members = read_rollup(spark, f"{path}/members", DAY_MEMBER)
-    keys = ("event_type", "date", "repo_name")
-    write_rollup(rollups.compact(counts, (*DAY_KEYS, "source"), upto=1), f"{path}/merged_counts", keys)
-    write_rollup(rollups.compact_members(members, upto=1), f"{path}/merged_members", keys)
-    return rollups.merge_day(
-        rollups.with_live(read_rollup(spark, f"{path}/merged_counts", DAY_PARTIAL), counts),
-        rollups.with_live(read_rollup(spark, f"{path}/merged_members", DAY_MEMBER), members),
-    )
+    rows = historic.read().unionByName(recent.read()).groupBy(F.to_date("created_at").alias("date")).agg(F.count("*").alias("rows"))
+    return rows.join(rollups.merge_counts(counts, "date"), "date")
+
+
+@_query
+def backfill_minute_rollup(spark, sf_dir):
+    stored, minutes = scratch_dir(spark, "stored"), scratch_dir(spark, "minutes")
+    copies.append_backfill(a.stored_messages(spark, sf_dir), stored, minutes, FROM_TS, TO_TS)
+    stream = decode_messages(a.message_stream(spark, sf_dir))
+    stream_rollups.maintain(stream, stream_rollups.minute_writer(minutes), scratch_dir(spark, "checkpoint")).awaitTermination()
+    return rollups.merge_counts(read_rollup(spark, minutes, MINUTE_PARTIAL), *MINUTE_KEYS)
 
 
 def _merged_days(spark, path):
