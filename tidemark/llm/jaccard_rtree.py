@@ -305,12 +305,15 @@ def _cells(pages: DataFrame, classes: DataFrame, component: DataFrame) -> DataFr
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, by the intersection of their sets."""
+    """The pairs that link, by the intersection of their sets.
+
+    Nothing is grouped after the joins, so adaptive execution may split a hub's share of them.
+    """
     both = pairs.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("ib")), "b").join(
         sets.select(F.col("rep").alias("a"), F.col("items").alias("ia")), "a"
     )
     common = F.size(F.array_intersect("ia", "ib"))
-    return both.filter(common * (100 + percent) >= percent * (F.size("ia") + F.size("ib"))).select("a", "b").distinct()
+    return both.filter(common * (100 + percent) >= percent * (F.size("ia") + F.size("ib"))).select("a", "b")
 
 
 def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
