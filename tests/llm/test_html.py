@@ -71,3 +71,38 @@ def test_awkward_rows(spark):
     got = h.articles(frame).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "", 0), (2, "x", 1), (2, "x", 1)]
     assert h.articles(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>T</title><body><div><p>text", "text"),
+        ("<head><title>T</title><meta charset=x><div>text</div>", "text"),
+        ("<head><title>T</title>text", "text"),
+        ("<head><title>T</title><link rel=x><script>no</script></head><p>text", "text"),
+        ("<article class='post no-sidebar'>text</article>", "text"),
+        ("<article class='sidebar'>text</article>", "text"),
+        ("<div class='content has-sidebar'><p>text</div>", "text"),
+        ("<div class='widget'><p>the whole page</div>", "the whole page"),
+        ("<form><div>the whole page</div></form>", "the whole page"),
+        ("<main><h1>T</h1><form><p>the whole page</p></form></main>", "T the whole page"),
+        ("<article><h2 id='related-work'>Related work</h2>one<p id='notice-period'>two</p><p class='notice'>three</p></article>", "Related work one two three"),
+        ("<article><h2 class='related'>Related</h2>one<div class='x related'>links</div></article>", "Related one"),
+        ("<header>site</header><article><header>by A</header>one</article>", "by A one"),
+    ],
+)
+def test_lists_of_names_lose_no_article(page, text):
+    assert h.extract(page, {}) == text
+
+
+def test_tags_of_menus_are_counted(spark):
+    menu = "<ul>" + "<li><a href='/x'>one</a></li>" * 30 + "</ul>"
+    rows = [(i, "u", f"<nav>{menu}</nav><article><h1>T</h1><p>a few words</article>") for i in range(20)]
+    rows.append((99, "u", f"<div class='mn'>{menu}</div><div><div>the first part</div><div>the second part</div></div>"))
+    got = {r.page_id: r.text for r in h.articles(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == "T a few words" and got[99] == "the first part the second part"
+
+
+@pytest.mark.parametrize("unit", ["<form>", "<form><p>", "<head>", "<head><p>", "<article><form>x"])
+def test_long_uniform_forms_and_heads_take_linear_time(unit):
+    h.extract(unit * (120_000 // len(unit)), {})

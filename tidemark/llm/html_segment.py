@@ -2,15 +2,21 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative;
 one linear scan finds the contiguous region with the largest sum, and its text blocks are
-the article. Elements that are never article text (menus, adverts, sidebars, forms,
-scripts, reader comments and the like) score nothing and give no text, wherever they
-stand.
+the article. A fixed list is left out of the sum and of the text, wherever it stands:
+
+* ``NOISE``: what is not shown as text or controls the page, ``head`` up to the first element or text of the body,
+  and ``header`` outside of an article;
+* elements with a whole class, id or role word in ``NAMED``, but never ``UNNAMED`` (the page, articles, headings, paragraphs);
+  on a page that has no other text these words do not count;
+* ``form`` inside an article, unless it holds headings, paragraphs or an article. Other forms are plain boxes.
 
 The weights come from labelled pages: those whose own markup names the article
 (``article`` or ``main``). Over all of them, tags and words are counted inside and outside
 of it, by element; a tag weighs the log ratio of outside to inside, a word the log
-ratio of inside to outside for the element that holds it. Keys are known element names only,
-so the counts that reach the driver are few, whatever the pages.
+ratio of inside to outside for the element that holds it. Tags in menus and other left-out
+elements are counted too, as outside, so that links and lists weigh what they weigh in a menu that no list names;
+only words there are not, since they would speak against the plain box around them.
+Keys are known element names only, so the counts that reach the driver are few, whatever the pages.
 
 Character references are decoded, white space within a block becomes one space, blocks are
 joined by one space in page order. Defined results: null and empty html, and pages
@@ -42,14 +48,22 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math xmp".split())
 BOXES = frozenset("article main section div body td li ul ol dl table blockquote figure details center".split())
-NOISE = frozenset("nav aside footer form button select dialog menu head object canvas video audio map".split()) | RAW
-OTHER = frozenset("p h1 h2 h3 h4 h5 h6 pre hr br address header hgroup tr th tbody thead tfoot dt dd figcaption summary html".split())
+NOISE = frozenset("nav aside footer button select dialog menu head object canvas video audio map".split()) | RAW
+OTHER = frozenset("p h1 h2 h3 h4 h5 h6 pre hr br address header hgroup tr th tbody thead tfoot dt dd figcaption summary html form".split())
 NAMES = INLINE | VOID | BOXES | NOISE | OTHER
-_NOISE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav\w*|breadcrumbs?|footer|cookie\w*|consent|"
-    r"comments?|disqus|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|popup|modal|notice|"
-    r"widget|pager|pagination|masthead|toolbar)(?:$|[\s_-])",
-    re.I,
+#: Elements that may stand in an open ``head``; any other ends it.
+HEAD = frozenset("html head base link meta title style script noscript template".split())
+#: Elements that show that a form holds text.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 article main".split())
+#: Elements to which ``NAMED`` does not apply.
+UNNAMED = frozenset("html body hgroup".split()) | PROSE
+#: Whole words of class, id and role.
+NAMED = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising ad-slot ad-banner sponsor sponsors sponsored promo promos promotion "
+    "banner sidebar side-bar menu nav navbar nav-bar navigation breadcrumb breadcrumbs footer site-footer page-footer cookie cookies "
+    "cookie-banner cookie-notice cookie-consent consent comment comments comments-area comment-list comment-form disqus disqus_thread respond "
+    "share sharing share-buttons social social-share social-links related related-posts related-articles recommended recommendations "
+    "newsletter subscribe signup popup modal widget pager pagination masthead toolbar".split()
 )
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
 _ATTRIBUTES = re.compile(r"""(?:[^"'>]|"[^"]*"|'[^']*')*+>""")
@@ -98,21 +112,52 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = i + 1
 
 
-def _is_noise(name: str, attributes: str, inside: bool) -> bool:
-    if name in NOISE or (name == "header" and not inside):
-        return True
-    if name in ("html", "body") or "=" not in attributes:
+def _is_named(name: str, attributes: str) -> bool:
+    if name in UNNAMED or "=" not in attributes:
         return False
-    return any(_NOISE_NAME.search(next(filter(None, m.groups()), "")) for m in _LABEL.finditer(attributes))
+    return any(word in NAMED for m in _LABEL.finditer(attributes) for word in next(filter(None, m.groups()), "").lower().split())
+
+
+def _forms_with_text(found: list[tuple[str, str, str]]) -> set[int]:
+    """Positions of the forms that hold one of ``PROSE``."""
+    out, prose = set(), False
+    for i in range(len(found) - 1, -1, -1):
+        kind, name, _ = found[i]
+        if name == "form":
+            if kind == "open" and prose:
+                out.add(i)
+            elif kind == "close":
+                prose = False
+        elif kind == "open" and name in PROSE:
+            prose = True
+    return out
+
 
+def parts(page: str, named: bool = True) -> Iterator[tuple[str, str, bool, str]]:
+    """(kind, key, in the labelled article, text) of what counts: words with their box, tags with their name, breaks between blocks.
 
-def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:
-    """(kind, key, in the labelled article, text) of what counts: words with their box, tags with their name, breaks between blocks."""
+    Tags that are left out have the kind "side". Without ``named``, words of class, id and role leave nothing out.
+    """
+    found = list(tokens(page))
+    with_text = _forms_with_text(found)
     stack: list[tuple[str, bool, str]] = []  # open elements, whether they begin a part that is left out, their box
     names: Counter = Counter()  # of the open elements
     out = 0  # open elements that are left out
     inside = 0  # open article or main elements
-    for kind, name, value in tokens(page):
+
+    def close(depth: int) -> None:
+        nonlocal out, inside
+        for n, noise, _ in stack[depth:]:
+            names[n] -= 1
+            if n in ("article", "main") and not out:
+                inside -= 1
+            out -= noise
+        del stack[depth:]
+        inside = max(0, inside)
+
+    for i, (kind, name, value) in enumerate(found):
+        if names["head"] and (kind == "open" and name not in HEAD or kind == "text" and stack[-1][0] == "head" and value.strip()):
+            close(next(d for d, x in enumerate(stack) if x[0] == "head"))
         if kind == "text":
             if not out:
                 yield "word", stack[-1][2] if stack else "none", inside > 0, value
@@ -120,13 +165,17 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:
         key = name if name in NAMES else "unknown"
         block = name not in INLINE
         if kind == "open":
-            noise = _is_noise(name, value, inside > 0)
-            if name in ("article", "main") and not noise and out:
+            noise = (
+                name in NOISE
+                or (name == "header" and not inside)
+                or (name == "form" and inside > 0 and i not in with_text)
+                or (named and _is_named(name, value))
+            )
+            if name in ("article", "main") and out:
                 # an element left open before the article must not swallow it
                 if not names["article"] and not names["main"]:
                     stack, out = [(n, False, box) for n, _, box in stack], 0
-            if not out and not noise:
-                yield "tag", key, inside > 0, ""
+            yield ("side", key, False, "") if out or noise else ("tag", key, inside > 0, "")
             if block:
                 yield "break", "", inside > 0, ""
             if name not in VOID and not value.endswith("/"):
@@ -140,16 +189,9 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:
                     yield "break", "", inside > 0, ""
                 continue
             depth = next(d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name)
-            for n, noise, _ in stack[depth:]:
-                names[n] -= 1
-                if n in ("article", "main") and not out:
-                    inside -= 1
-                out -= noise
-            left_out = stack[depth][1] or out
-            del stack[depth:]
-            inside = max(0, inside)
-            if not left_out:
-                yield "tag", "/" + key, inside > 0, ""
+            noise = stack[depth][1]
+            close(depth)
+            yield ("side", "/" + key, False, "") if noise or out else ("tag", "/" + key, inside > 0, "")
             if block:
                 yield "break", "", inside > 0, ""
 
@@ -168,7 +210,11 @@ def weights(counts: dict[tuple[str, str], tuple[int, int]]) -> Weights:
 
 def extract(page: str, w: Weights) -> str:
     """The text of the best region."""
-    found = list(parts(page))
+    return _best(page, w, True) or _best(page, w, False)
+
+
+def _best(page: str, w: Weights, named: bool) -> str:
+    found = list(parts(page, named))
     best = score = 0.0
     start, span = 0, (0, 0)
     for i, (kind, key, _, text) in enumerate(found):
@@ -197,7 +243,7 @@ def learn(pages: DataFrame) -> Weights:
                     if any(inside for _, _, inside, _ in own):
                         for kind, key, inside, n in own:
                             if kind != "break":
-                                counts[kind, key, inside] += n
+                                counts["tag" if kind == "side" else kind, key, inside] += n
         if counts:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in zip(*((k, name, i, n) for (k, name, i), n in counts.items()))], names=["kind", "key", "inside", "n"]
