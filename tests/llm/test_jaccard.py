@@ -140,3 +140,14 @@ def test_one_large_group_of_copies(spark):
     frame = spark.range(3000).selectExpr("id as doc_id", f"case when id % 3 = 0 then '{text}' else concat('{text} ', id) end as text")
     got = j.join(frame.repartition(8)).collect()
     assert len(got) == 3000 and {r.component_id for r in got} == {0}
+
+
+def test_texts_of_one_id_share_a_component(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, one), (5, one), (5, two), (5, ""), (7, two + " more"), (8, three), (8, three + " and more"), (8, "other " + one[::-1]), (9, "")]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = {(r.doc_id, r.component_id) for r in j.join(frame).collect()}
+    assert got == set(expected(rows).items()) == {(1, 1), (5, 1), (7, 1), (8, 8), (9, 9)}
+    assert j.join(frame).count() == len(rows)
+    kept = sorted(map(tuple, j.keep_first(frame).collect()))
+    assert kept == [(1, one), (8, max((t for d, t in rows if d == 8), key=lambda t: (len(t), t))), (9, "")]

@@ -333,6 +333,15 @@ def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return map_arrow(chosen, task, "rep bigint, items array<bigint>").filter(F.size("items") > 0)
 
 
+def _one_document(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) that join the sets of one doc_id with several texts, each through the doc_id, which no rep of its sets exceeds."""
+    content = F.struct("one", "two")
+    several = named.groupBy("doc_id").agg(F.min(content).alias("x"), F.max(content).alias("y"))
+    again = named.select("doc_id", "one", "two").join(several.filter("x <> y").select("doc_id"), "doc_id", "left_semi")
+    again = again.join(classes.select("one", "two", "rep"), ["one", "two"])
+    return again.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+
+
 def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``doc_id, text``.
 
@@ -357,7 +366,7 @@ def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
         side.select(F.col("one").alias("center"), F.col("rep").alias("a"), F.col("size").alias("na"), F.col("counts").alias("ca")),
         "center",
     )
-    edges = written(_verified(_reachable(stars, percent), sets, percent), "edges")
+    edges = written(_verified(_reachable(stars, percent), sets, percent).unionByName(_one_document(named, classes)), "edges")
     component = written(components(edges), "component")
     for best_only in (True, False):
         cells = written(_cells(pages, classes, component), "cells")
@@ -369,17 +378,21 @@ def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
 
     ids = named.select("doc_id", "size", "one", "two").join(classes.select("one", "two", "rep"), ["one", "two"])
     ids = ids.join(component, F.col("rep") == F.col("node"), "left")
-    # several texts under one id share a component
     linked = ids.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    alone = found.filter("size = 0 or doc_id is null").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")
-    )
+    alone = found.filter("size = 0 or doc_id is null").select("doc_id", F.col("size").alias("n_shingles"))
+    alone = alone.join(linked.groupBy("doc_id").agg(F.min("component_id").alias("own")), "doc_id", "left")
+    alone = alone.select("doc_id", "n_shingles", F.coalesce("own", "doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
 def keep_first(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
-    """One row of each component, that of the smallest doc_id; rows with a null doc_id stay."""
+    """One row of each component, that of the smallest doc_id; rows with a null doc_id stay.
+
+    Of several rows of that doc_id, the one with the longest text stays, then the one with the largest text, then by a hash of all columns.
+    """
     groups = join(documents, percent, width).filter("doc_id = component_id").select("doc_id").distinct()
     named = documents.filter("doc_id is not null").join(groups, "doc_id", "left_semi")
     columns = documents.columns
-    return named.dropDuplicates(["doc_id"]).select(*columns).unionByName(documents.filter("doc_id is null"))
+    order = F.struct(F.length("text"), "text", F.xxhash64(*columns))
+    chosen = named.groupBy("doc_id").agg(F.max_by(F.struct(*columns), order).alias("row")).select("row.*")
+    return chosen.unionByName(documents.filter("doc_id is null"))
