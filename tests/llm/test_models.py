@@ -180,3 +180,15 @@ def test_toxicity_awkward_rows(awkward, none, labels):
     assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
     assert {r.score for r in toxic_chain.classify(awkward, labels.filter("toxic = 0")).collect()} == {0.0}
     assert toxic_chain.classify(none, labels).collect() == []
+
+
+def test_notices_do_not_depend_on_neighbours():
+    import pyarrow as pa
+
+    from tidemark.llm.text import blocks
+
+    texts = ["words\nall copyright by us", "Copyright 2020\nmore", "ends in copy", "right away", "", "privacy policy", "Privacy Policy\n", "all rights reserved"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    together, apart = ([lines_crf.figures(b).dup.tolist() for b in blocks(iter([batch]), step=step)] for step in (1 << 20, 1))
+    assert len(together) == 1 and together[0] == sum(apart, [])
+    assert together[0][:5] == [False, True, True, False, False]

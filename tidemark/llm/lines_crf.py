@@ -93,8 +93,9 @@ def figures(block: Block) -> Figures:
         at = raw.find(phrase)
         while at >= 0:
             k = int(np.searchsorted(ln.starts, at, side="right")) - 1
-            notice[k] = True
-            at = raw.find(phrase, int(ln.ends[k]) + 1 if ln.ends[k] >= at else at + 1)
+            whole = at + len(phrase) <= ln.ends[k]  # else it leads into the next text
+            notice[k] |= whole
+            at = raw.find(phrase, max(int(ln.ends[k]), at + 1) if whole else at + 1)
     place = np.arange(len(ln.doc)) - ln.per_doc[ln.doc]
     x = np.column_stack([
         np.ones(len(ln.doc)), upper / n_bytes, lower / n_bytes, _in_lines((data >= 48) & (data <= 57), ln) / n_bytes,
