@@ -93,3 +93,17 @@ def test_awkward_rows(awkward, none):
     assert len(rows) == awkward.count() and all(r.spans == "" for r in rows)
     assert s.redact(awkward).columns == awkward.columns
     assert s.detect(none).collect() == []
+
+
+@pytest.mark.parametrize("user", ["", "u", "u" * 200])
+@pytest.mark.parametrize("n", [1, 11, 400])
+def test_passwords_in_addresses_of_any_length(user, n):
+    value = "x9Kq2LmZ81pQ" * n
+    text = f"see amqp://{user}:{value}@host/x"
+    base, more = s.find(text)
+    assert base == [] and [text[a:b] for _, a, b in more] == [f"://{user}:{value}"]
+
+
+@pytest.mark.parametrize("unit", ["://", "://a:b", "://:", ":", "a:", "://a:b@"])
+def test_long_uniform_addresses_take_linear_time(unit):
+    s.added_spans(unit * (100_000 // len(unit)), [])

@@ -41,7 +41,8 @@ _CONTEXT = re.compile(
     r"(?:[\"']?\x20{0,4}(?::=|=>|->|[:=])\x20{0,4}|\x20is\x20)[\"'`]?([^\s\"'`<>,;]{6,})",
     re.IGNORECASE | re.ASCII,
 )
-_ADDRESS = re.compile(r"://[^\s/:@]{1,64}:([^\s/@]{3,128})@")
+# of any length and with or without a user; neither part holds a slash, so no character is tried from two addresses
+_ADDRESS = re.compile(r"://[^\s/:@]*+:([^\s/@]++)@")
 _MARKS = (b"password", b"passwd", b"passphrase", b"passcode", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"login", b"://")
 
 # Words that guessers try first, from common to rare.
