@@ -120,3 +120,11 @@ def test_blocks_are_independent_of_their_size(cases):
             (b.longs("doc_id")[x], *rest) for b in blocks(iter([batch]), step=step) for x, *rest in own.hits(b, index, 80)
         ])
     assert seen[0] == seen[1]
+
+
+def test_short_items_drop_only_documents_as_short(spark):
+    items = [(1, "Paris"), (2, "yes it is"), (3, "one two three four five")]
+    rows = [(1, "Paris is a town in France"), (2, "paris!"), (3, "Yes, it is."), (4, "oh yes it is so"), (5, "a one two three four five b"), (6, "it is")]
+    documents, benchmark = spark.createDataFrame(rows, DOC), spark.createDataFrame(items, ITEM)
+    assert {(r.doc_id, r.item_id) for r in d.find(documents, benchmark).collect()} >= {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)}
+    assert sorted(r.doc_id for r in d.clean(documents, benchmark).collect()) == [1, 4, 6]

@@ -16,6 +16,9 @@ the weight that the threshold asks for cannot hit and get no fingerprint.
 The items are a query set: they go to every task in blocks of at most
 ``ITEMS`` items, one pass over the documents each. Documents are never shuffled.
 
+``find`` reports every hit. ``clean`` drops documents by items of ``WIDTH`` words or more; a
+shorter item is a name or phrase that clean documents may hold, so it drops only documents with no more words than it has.
+
 Defined results: null, empty and wordless texts and items never hit; equal items
 each report their hits; repeated documents repeat theirs; of equally similar windows
 the first is reported; an empty table on either side gives no hits. Columns other
@@ -211,14 +214,17 @@ _HIT = "doc_id bigint, item_id bigint, start_word bigint, bits int, similarity d
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents without a hit."""
+    """The documents without a hit, but for hits of items shorter than ``WIDTH`` words in longer documents."""
     for items in item_blocks(benchmark):
 
         def task(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             index = items.index()
             for block in blocks(batches):
                 keep = np.ones(block.size, dtype=bool)
-                keep[[d for d, *_ in items.hits(block, index, percent)]] = False
+                hits = items.hits(block, index, percent)
+                if hits:
+                    words = np.diff(_tokens(block)[2])
+                    keep[[d for d, i, *_ in hits if items.words[i] >= WIDTH or words[d] <= items.words[i]]] = False
                 yield block.batch.filter(pa.array(keep))
 
         documents = map_arrow(documents, task, documents.schema)
