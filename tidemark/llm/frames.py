@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_dir
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application."""
     context = spark.sparkContext
     if getattr(context, "_tidemark_shipped", False):
@@ -32,7 +32,7 @@ def _ship(spark: SparkSession) -> None:
 
 def map_arrow(frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the tasks."""
-    _ship(frame.sparkSession)
+    ship(frame.sparkSession)
     return frame.mapInArrow(task, schema)
 
 
