@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam_simhash, html_segment, jaccard_rtree, langid_gru, lines_crf, pack_vector, pii_weak, quality_pu, secrets_guess, toxic_chain
+from tidemark.llm import conversation_trie, decontam_simhash, dedup_chunks, html_segment, jaccard_rtree, langid_gru, lines_crf, merkle_manifest, pack_vector, pii_weak, quality_pu, secrets_guess, toxic_chain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,5 +62,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam_simhash.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=80)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_chunks.deduplicate(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(conversation_trie.forked(_table(spark, sf_dir, "conversations")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_pii, op3_line_rules, op4_main_text, op5_packing, op6_ngram_jaccard, op7_toxicity, op8_secrets, op9_language, op10_decontaminate)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_quality, op2_pii, op3_line_rules, op4_main_text, op5_packing, op6_ngram_jaccard, op7_toxicity,
+            op8_secrets, op9_language, op10_decontaminate, op11_exact_dedup, op12_conversation_trie, op13_merkle_manifest,
+        )
+    }
