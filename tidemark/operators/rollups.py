@@ -37,8 +37,26 @@ def counts_of(state: DataFrame) -> DataFrame:
 
 
 def members_of(state: DataFrame) -> DataFrame:
-    """Members of a :func:`day_state`; it has each of them once."""
-    return state.filter(F.col("actor_login").isNotNull()).select(*DAY_KEYS, "actor_login")
+    """Members of a :func:`day_state`, each once, with its events; these make a set of members additive."""
+    return state.filter(F.col("actor_login").isNotNull()).select(*DAY_KEYS, "actor_login", "cnt")
+
+
+def difference(new: DataFrame, old: DataFrame) -> DataFrame:
+    """What a state of :func:`day_state`, or partial counts, must gain to become ``new`` instead of ``old``."""
+    keys = [name for name in new.columns if name != "cnt"]
+    less = old.select(*keys, (-F.col("cnt")).alias("cnt"))
+    return new.unionByName(less).groupBy(*keys).agg(F.sum("cnt").alias("cnt")).filter("cnt <> 0")
+
+
+def present(members: DataFrame) -> DataFrame:
+    """Members without those taken back; rows from before members had a count say that they are there."""
+    if "cnt" not in members.columns:
+        return members
+    return members.groupBy(*DAY_KEYS, "actor_login").agg(_total().alias("cnt")).filter("cnt > 0").drop("cnt")
+
+
+def _total() -> Column:
+    return F.sum(F.coalesce("cnt", F.lit(1)))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
@@ -70,12 +88,12 @@ def rollup_minute(events: DataFrame) -> DataFrame:
 
 def merge_counts(partials: DataFrame, *by: str) -> DataFrame:
     """Add partial counts up to any coarser grain."""
-    return partials.groupBy(*by).agg(F.sum("cnt").alias("count"))
+    return partials.groupBy(*by).agg(F.sum("cnt").alias("count")).filter("count <> 0")
 
 
 def merge_actors(members: DataFrame, *by: str) -> DataFrame:
     """Exact distinct actors at any coarser grain; member sets overlap, so they are united, not summed."""
-    return members.groupBy(*by).agg(F.count_distinct("actor_login").alias("actor_count"))
+    return present(members).groupBy(*by).agg(F.count_distinct("actor_login").alias("actor_count"))
 
 
 def merge_day(partials: DataFrame, members: DataFrame) -> DataFrame:
@@ -86,12 +104,12 @@ def merge_day(partials: DataFrame, members: DataFrame) -> DataFrame:
     Rollups written before member sets were kept have counts only.
     """
     both = partials.select(*DAY_KEYS, "cnt", F.lit(None).cast("string").alias("actor_login")).unionByName(
-        members.select(*DAY_KEYS, F.lit(None).cast("bigint").alias("cnt"), "actor_login")
+        present(members).select(*DAY_KEYS, F.lit(None).cast("bigint").alias("cnt"), "actor_login")
     )
     merged = both.groupBy(*DAY_KEYS).agg(
         F.sum("cnt").alias("count"), F.count_distinct("actor_login").alias("actor_count")
     )
-    return merged.filter(F.col("count").isNotNull())
+    return merged.filter("count <> 0")
 
 
 def _settled(state: DataFrame, upto: int) -> DataFrame:
@@ -104,10 +122,8 @@ def _streams(state: DataFrame) -> list[str]:
 
 
 def merge_partials(state: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One partial row per key: counts add up, members are united."""
-    if "cnt" in state.columns:
-        return state.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
-    return state.select(*keys).distinct()
+    """One partial row per key, counts of events added up; what adds up to nothing goes."""
+    return state.groupBy(*keys).agg(_total().alias("cnt")).filter("cnt <> 0")
 
 
 def compact(partials: DataFrame, keys: tuple[str, ...], upto: int) -> DataFrame:

@@ -53,7 +53,8 @@ SERVING = _struct(
 )
 
 # Mergeable partial state. A count is additive; an exact distinct count is not,
-# so its state is the set of members, one row each.
+# so its state is the set of members, one row each. Members carry their number of
+# events, so that a member can be taken back; files from before that have none.
 DAY_KEYS = ("date", "event_type", "repo_name")
 MINUTE_KEYS = ("minute", "event_type")
 
@@ -63,6 +64,6 @@ DAY_PARTIAL = _struct(
     date="date", event_type="string", repo_name="string", cnt="long", **_PARTITIONS
 )
 DAY_MEMBER = _struct(
-    date="date", event_type="string", repo_name="string", actor_login="string", **_PARTITIONS
+    date="date", event_type="string", repo_name="string", actor_login="string", cnt="long", **_PARTITIONS
 )
 MINUTE_PARTIAL = _struct(minute="timestamp_ntz", event_type="string", cnt="long", **_PARTITIONS)

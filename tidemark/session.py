@@ -27,6 +27,48 @@ def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(remove, paths))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as listings name it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Qualified paths that match a pattern, with the seconds of their last change; none if nothing does."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [(f.getPath().toString(), f.getModificationTime() / 1000) for f in found or ()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file appear whole, by one rename; False if there is one of that name already."""
+    hadoop, configuration = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(qualified(spark, path))
+    system = target.getFileSystem(configuration)
+    draft = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    stream = system.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    keep = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)  # fail rather than overwrite
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), configuration).rename(draft, target, keep)
+    except Exception as error:
+        system.delete(draft, False)
+        if "FileAlreadyExists" in str(error):
+            return False
+        raise
+    return True
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path for intermediate tables and stream checkpoints.
 
