@@ -12,9 +12,9 @@ from tidemark.functions.time import ntz
 from tidemark.operators.events import time_slice
 from tidemark.operators.hours import missing_hours
 from tidemark.operators.retention import retain_one_month, retention_floor
-from tidemark.plans.load import load_day, load_hour, load_pending, load_range
+from tidemark.plans.load import load_day, load_hour, load_missing, load_pending, load_range
 from tidemark.sinks.tables import cluster_by_time
-from tidemark.sources.archive import conform_to_lake
+from tidemark.sources.archive import conform_to_lake, read_archive
 
 D = dt.datetime
 DAY = "2024-03-05"
@@ -130,7 +130,7 @@ def test_load_writes_without_a_shuffle(spark, tmp_path):
     load_range(table, str(landing), "2024-03-05", "2024-03-06")
     folders = list(Path(table.location).glob("event_date=*/event_hour=*"))
     assert len(folders) == 48
-    assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in folders)
+    assert all(len(list(folder.glob("*/*.parquet"))) == 1 for folder in folders)
 
 
 def test_rows_without_time_do_not_disturb_replacement(spark, filled):
@@ -167,7 +167,7 @@ def test_hot_hour_is_split_and_each_file_sorted(spark, tmp_path):
     few = many.limit(3).withColumn("created_at", ntz("2024-03-09 01:00:00"))
     report = table.replace_slice(conform_to_lake(many.union(few)), "2024-03-01", "2024-04-01")
     assert report.written == n + 3
-    files = list(Path(table.location).glob("event_date=2024-03-05/event_hour=7/*.parquet"))
+    files = list(Path(table.location).glob("event_date=2024-03-05/event_hour=7/*/*.parquet"))
     assert len(files) > 1
     for file in files:
         types = [r["type"] for r in spark.read.parquet(str(file)).select("type").collect()]
@@ -210,15 +210,16 @@ def test_loads_in_any_order_and_size_give_one_table(spark, tmp_path):
     assert content(pieces.read(), "id", "action", "event_date", "event_hour") == want
 
 
-def test_rows_outside_the_hour_go_to_the_rejects(spark, tmp_path):
+def test_lines_without_time_or_form_go_to_the_rejects(spark, tmp_path):
     landing = tmp_path / "landing"
     outside = event("2024-03-05T08:00:00Z")
     write_archive(landing, "2024-03-05-7", [event("2024-03-05T07:00:00Z"), outside, event("?"), "{broken"])
     table = lake(spark, tmp_path)
     report = load_hour(table, str(landing), DAY, 7)
-    assert (report.slice.written, report.slice.outside) == (1, 3)
-    assert report.rejects.count() == 3
-    assert (outside["id"],) in content(report.rejects, "id")
+    assert (report.slice.written, report.slice.outside) == (2, 2)
+    assert report.rejects.count() == 2
+    assert outside["id"] in ids(table)  # a row of the archive, wherever it lies
+    assert content(table.ledger().read(), "hour", "rows", "rejects") == [(D(2024, 3, 5, 7), 2, 2)]
 
 
 def test_catching_up_loads_only_pending_hours(spark, tmp_path):
@@ -309,20 +310,118 @@ def test_edge_rows_are_in_day_and_hour_loads(spark, tmp_path):
     write_archive(landing, "2024-03-05-0", [event("2024-03-05T00:30:00Z")])
     whole, hourly = lake(spark, tmp_path), lake(spark, tmp_path)
     load_day(whole, str(landing), DAY)
-    assert len(ids(whole)) == 6
+    assert len(ids(whole)) == 5
     for hour in (8, 7, 0):
         load_hour(hourly, str(landing), DAY, hour)
     assert ids(hourly) == ids(whole)
+    # the row of the next day comes with its own archive
+    for table in (whole, hourly):
+        load_hour(table, str(landing), "2024-03-04", 23)
+        assert len(ids(table)) == 6
 
 
-def test_edge_rows_of_an_absent_hour_do_not_replace_it(spark, tmp_path):
+def test_rows_of_an_absent_hour_do_not_replace_it(spark, tmp_path):
     landing = tmp_path / "landing"
     write_archive(landing, "2024-03-05-7", [event("2024-03-05T07:10:00Z"), event("2024-03-05T08:00:00Z")])
     table = lake(spark, tmp_path)
     table.append(rows(spark, ("old", f"{DAY} 08:30:00", "T")))
     report = load_day(table, str(landing), DAY)
-    assert "old" in ids(table) and len(ids(table)) == 2
-    assert (report.slice.outside, report.rejects.count()) == (1, 1)
+    assert "old" in ids(table) and len(ids(table)) == 3
+    assert (report.slice.outside, report.rejects.count()) == (0, 0)
+
+
+FAR = {
+    "2024-03-05-7": ("2024-03-05T07:10:00Z", "2024-03-05T07:20:00Z"),
+    "2024-03-05-10": ("2024-03-05T10:10:00Z", "2024-03-05T07:30:00Z", "2024-03-05T23:59:59Z"),
+    "2024-03-05-23": ("2024-03-05T23:10:00Z", "2024-03-06T00:00:01Z", "2024-02-01T12:00:00Z"),
+    "2024-03-06-0": ("2024-03-06T00:10:00Z", "2024-03-05T07:45:00Z"),
+}
+
+
+def test_rows_any_distance_from_their_archive_survive_every_load(spark, tmp_path):
+    """Range, day and hour loads agree in any order and repetition; no row vanishes."""
+    landing = tmp_path / "landing"
+    for stem, stamps in FAR.items():
+        write_archive(landing, stem, [event(s) for s in stamps])
+    whole, pieces = lake(spark, tmp_path), lake(spark, tmp_path)
+    load_range(whole, str(landing), "2024-03-05", "2024-03-06")
+    want = content(whole.read(), "id", "created_at", "archive")
+    assert len(want) == 10
+    load_day(pieces, str(landing), DAY)
+    for date, hour in ((DAY, 7), ("2024-03-06", 0), (DAY, 10), (DAY, 7), (DAY, 23)):
+        assert load_hour(pieces, str(landing), date, hour).slice.emptied == []
+    assert content(pieces.read(), "id", "created_at", "archive") == want
+    load_hour(whole, str(landing), DAY, 7)
+    load_day(whole, str(landing), DAY)
+    assert content(whole.read(), "id", "created_at", "archive") == want
+
+
+def test_an_archive_that_changed_replaces_its_rows_wherever_they_were(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for stem, stamps in FAR.items():
+        write_archive(landing, stem, [event(s) for s in stamps])
+    table = lake(spark, tmp_path)
+    load_range(table, str(landing), "2024-03-05", "2024-03-06")
+    write_archive(landing, "2024-03-05-10", [event("2024-03-05T10:40:00Z")])
+    report = load_hour(table, str(landing), DAY, 10)
+    left = content(table.read().filter("archive = '2024-03-05-10'"), "created_at")
+    assert left == [(D(2024, 3, 5, 10, 40),)] and len(ids(table)) == 8
+    # its rows at 07:30 and 23:59 went, those of other archives in these hours stayed
+    assert D(2024, 3, 5, 7) in report.slice.emptied and table.slice_count(f"{DAY} 07:00:00", f"{DAY} 08:00:00") == 3
+    assert content(table.ledger().history().groupBy("hour").count(), "count") == [(1,), (1,), (1,), (2,)]
+    assert (D(2024, 3, 5, 10), 1, 0) in content(table.ledger().read(), "hour", "rows", "rejects")
+
+
+def test_an_hour_load_reads_one_archive(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    _land_two_days(landing)
+    read = []
+    monkeypatch.setattr("tidemark.plans.load.read_archive", lambda s, paths, with_hour: read.extend(paths) or read_archive(s, paths, with_hour))
+    load_hour(lake(spark, tmp_path), str(landing), DAY, 7)
+    assert [p.rsplit("/", 1)[1] for p in read] == ["2024-03-05-7.json.gz"]
+
+
+def test_late_archives_are_found_by_the_ledger(spark, tmp_path):
+    """An archive that lands after later ones were loaded is loaded by the next catch-up, a failed load again."""
+    landing = tmp_path / "landing"
+    table = lake(spark, tmp_path)
+    assert load_missing(table, str(landing), f"{DAY} 03:00:00", f"{DAY} 08:30:00") is None
+    for hour in (5, 7):
+        write_archive(landing, f"2024-03-05-{hour}", [event(f"2024-03-05T{hour:02d}:10:00Z")])
+    report = load_missing(table, str(landing), f"{DAY} 03:00:00", f"{DAY} 08:30:00")
+    assert report.slice.hours == [D(2024, 3, 5, 5), D(2024, 3, 5, 7)] and report.absent == []
+    write_archive(landing, "2024-03-05-6", [event("2024-03-05T06:10:00Z")])
+    write_archive(landing, "2024-03-05-8", [event("2024-03-05T08:10:00Z")])  # the running hour
+    assert load_missing(table, str(landing), f"{DAY} 03:00:00", f"{DAY} 08:30:00").slice.hours == [D(2024, 3, 5, 6)]
+    assert load_missing(table, str(landing), f"{DAY} 03:00:00", f"{DAY} 08:30:00") is None
+    assert len(ids(table)) == 3
+
+
+def test_a_load_that_fails_before_the_ledger_counts_as_not_done(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    write_archive(landing, "2024-03-05-6", [event("2024-03-05T06:10:00Z")])
+    table = lake(spark, tmp_path)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tidemark.sinks.ledger.LoadLedger.record", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_hour(table, str(landing), DAY, 6)
+    assert table.ledger().read().isEmpty()
+    load_missing(table, str(landing), f"{DAY} 03:00:00", f"{DAY} 08:30:00")
+    assert len(ids(table)) == 1 and table.ledger().read().count() == 1
+
+
+def test_a_slice_replaces_rows_of_all_archives(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for stem, stamps in FAR.items():
+        write_archive(landing, stem, [event(s) for s in stamps])
+    table = lake(spark, tmp_path)
+    load_range(table, str(landing), "2024-03-05", "2024-03-06")
+    table.replace_slice(rows(spark, ("x", f"{DAY} 07:30:00", "T")), f"{DAY} 07:00:00", f"{DAY} 08:00:00")
+    assert table.slice_count(f"{DAY} 07:00:00", f"{DAY} 08:00:00") == 1 and len(ids(table)) == 7
 
 
 def test_lines_with_a_field_of_the_wrong_type_are_rejected(spark, tmp_path):

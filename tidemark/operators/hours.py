@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, ntz, start_of_hour
@@ -37,13 +37,17 @@ def _hour_of(events: DataFrame) -> Column:
 def missing_hours(events: DataFrame) -> DataFrame:
     """Hours between the first and last loaded one that hold no event.
 
-    Events shrink to their distinct hours in one pass; only those, 8,760 rows
-    for a year, are then put in order to find the gaps.
+    Events shrink to their distinct hours, and these are taken out of the calendar between the first and the last by
+    an anti join; no hour needs its neighbours.
     """
-    loaded = events.select(_hour_of(events).alias("hour")).distinct()
-    after = F.lead("hour").over(Window.orderBy("hour"))
-    gaps = loaded.select((F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("start"), after.alias("end"))
-    return pending_hours_range(gaps)
+    loaded = events.select(_hour_of(events).alias("hour")).filter("hour IS NOT NULL").distinct()
+    bounds = loaded.agg(F.min("hour").alias("start"), F.max("hour").alias("end"))
+    return unloaded_hours(pending_hours_range(bounds), loaded)
+
+
+def unloaded_hours(calendar: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The hours of ``calendar`` that are not among the ``hour`` of ``loaded``."""
+    return calendar.join(loaded.select("hour"), "hour", "left_anti")
 
 
 def plan_loads(hours: DataFrame, name: str = ARCHIVE_NAME) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import Moment, day, moment, start_of_hour, within
+from tidemark.functions.time import Moment, day, moment
+from tidemark.operators.hours import pending_hours_range, unloaded_hours
 from tidemark.schemas import RAW_EVENT
 from tidemark.sinks.tables import LakeTable, SliceReport
-from tidemark.sources.archive import ARCHIVE_NAME, archive_glob, landed_hours, read_archive, typed_events
+from tidemark.sources.archive import ARCHIVE_NAME, archive_paths, landed_hours, read_archive, typed_events
 
 
 @dataclass(frozen=True)
@@ -26,41 +28,35 @@ class LoadReport:
 HOUR = dt.timedelta(hours=1)
 
 
-def _with_landed(events: DataFrame, present: list[dt.datetime]) -> DataFrame:
-    """Mark rows whose hour has its archive. The hours are joined as a small table: at most one row for each hour of the calendar."""
-    hours = events.sparkSession.createDataFrame([(hour, True) for hour in present], "_hour TIMESTAMP_NTZ, _landed BOOLEAN")
-    return events.withColumn("_hour", start_of_hour(F.col("created_at"))).join(F.broadcast(hours), "_hour", "left")
+def load_archives(table: LakeTable, landing: str, hours: Sequence[dt.datetime], name: str = ARCHIVE_NAME) -> LoadReport:
+    """Replace what the lake holds of the archives of some hours with what has landed of them.
+
+    An archive is read by one task, which writes what it read; nothing is shuffled. A row
+    belongs to the archive that it came in, however far from the archive's hour it lies, so loads by hour, day and range
+    agree, in any order, and rows of other archives stay. An archive that has not landed is reported and keeps
+    what the table has. Fails when not one has landed.
+
+    Lines that do not parse, or have no usable time, are the rejects. The ledger gets a row for each archive, last,
+    so that a load that failed counts as not done.
+    """
+    present = landed_hours(table.spark, archive_paths(landing, hours, name))
+    absent = sorted(set(hours) - set(present))
+    events = typed_events(read_archive(table.spark, archive_paths(landing, present, name), with_hour=True))
+    sound = F.col("_corrupt_record").isNull() & F.col("created_at").isNotNull()
+    report = table.replace_archives(events, present, sound)
+    # a line counts as corrupt by the columns that are parsed, so the rejects need all of them, whatever is selected later
+    every = F.xxhash64(*RAW_EVENT.fieldNames()) >= F.lit(-(1 << 63))
+    rejects = events.filter(every & ~sound)
+    table.ledger().record(present, table.archive_counts(present), rejects if report.outside else None)
+    return LoadReport(report, absent, rejects.drop("archive_hour"))
 
 
 def load_slice(
     table: LakeTable, landing: str, start: Moment, end: Moment, name: str = ARCHIVE_NAME
 ) -> LoadReport:
-    """Replace [start, end) of the lake with the archives of those hours.
-
-    An archive holds one hour and so does a partition: each task writes what it
-    read, nothing is shuffled. The archives next to the slice are read too, for rows at
-    their edge that belong to it, so loads by hour, day and range agree. An hour whose
-    archive has not landed is reported and keeps what the table has. Fails when not
-    one archive of the slice has landed.
-
-    Rows of the slice's archives that lie outside the slice, in an absent hour, or that do
-    not parse are the rejects.
-    """
+    """:func:`load_archives` for the hours of [start, end)."""
     start, end = moment(start), moment(end)
-    present = landed_hours(table.spark, archive_glob(landing, start, end, name))
-    there = set(present)
-    hours = int((end - start) / HOUR)
-    absent = [h for h in (start + k * HOUR for k in range(hours)) if h not in there]
-    around = read_archive(table.spark, archive_glob(landing, start - HOUR, end + HOUR, name), with_hour=True)
-    events = _with_landed(typed_events(around), present)
-    own = F.coalesce(within(F.col("archive_hour"), start, end), F.lit(False))
-    # landed hours are hours of the slice
-    sound = F.col("_corrupt_record").isNull() & F.coalesce(F.col("_landed"), F.lit(False))
-    report = table.replace_slice(events.filter(own | sound), start, end, by_hour=True, keep=sound, hours=present)
-    # a line counts as corrupt by the columns that are parsed, so the rejects need all of them, whatever is selected later
-    every = F.xxhash64(*RAW_EVENT.fieldNames()) >= F.lit(-(1 << 63))
-    rejects = events.filter(every & own & ~sound).drop("archive_hour", "_hour", "_landed")
-    return LoadReport(report, absent, rejects)
+    return load_archives(table, landing, [start + k * HOUR for k in range(int((end - start) / HOUR))], name)
 
 
 def load_hour(
@@ -92,7 +88,7 @@ def load_pending(
 ) -> LoadReport | None:
     """Catch up: all hours after the one holding ``last_date`` and before the running one, as one job.
 
-    The mark moves past hours that had not landed; the report names them, to be loaded later.
+    The mark moves past hours that had not landed; the report names them, and :func:`load_missing` finds them later.
     """
     last = high_water.select("last_date").first()[0]
     start = last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
@@ -100,6 +96,21 @@ def load_pending(
     return load_slice(table, landing, start, end, name) if start < end else None
 
 
+def load_missing(
+    table: LakeTable, landing: str, since: Moment, now: Moment, name: str = ARCHIVE_NAME
+) -> LoadReport | None:
+    """Catch up by the ledger: all archives from ``since`` to the running hour that were never loaded and have landed.
+
+    Finds archives that land after later ones were loaded, which a mark has passed. None if there is nothing to do.
+    """
+    calendar = table.spark.createDataFrame([(moment(since), moment(now))], "start TIMESTAMP_NTZ, end TIMESTAMP_NTZ")
+    missing = unloaded_hours(pending_hours_range(calendar), table.ledger().read())
+    hours = [row["hour"] for row in missing.orderBy("hour").collect()]  # of the calendar, 8,760 a year
+    if not hours or not (present := landed_hours(table.spark, archive_paths(landing, hours, name), strict=False)):
+        return None
+    return load_archives(table, landing, present, name)
+
+
 def rows_per_archive(events: DataFrame) -> DataFrame:
-    """Rows read from each archive hour; a scan of the archives, see :meth:`LakeTable.hour_counts` for what was loaded."""
+    """Rows read from each archive hour; a scan of the archives, see :meth:`LakeTable.archive_counts` for what was loaded."""
     return events.groupBy("archive_hour").agg(F.count("*").alias("rows"))

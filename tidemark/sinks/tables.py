@@ -1,10 +1,12 @@
 """Partitioned catalog tables with repeatable slice replacement.
 
-The lake is partitioned by date and hour: the unit in which archives arrive and
-are replaced. Replacing an hour therefore writes that hour and reads nothing
-back, no event type can leave stale rows behind, and a busy type does not become
+The lake is partitioned by date and hour of the event and by the archive that the row came from. An
+archive is the unit in which rows arrive and are replaced: replacing one writes its
+partitions and reads nothing back, wherever in time its rows lie, and leaves the rows
+of other archives alone. No event type can leave stale rows behind, and a busy type does not become
 one busy partition. Rows are sorted by type inside each file, so a type filter
-still skips row groups.
+still skips row groups. The serving table is partitioned by date and by the run that copied the rows, so that
+a run that is repeated replaces its own.
 
 Overwriting replaces only the partitions that receive rows. That mode is an
 option of the table itself: as an option of a write Spark ignores it for catalog
@@ -19,16 +21,18 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
-from tidemark.functions.time import Moment, moment, start_of_hour, within
+from tidemark.functions.time import Moment, moment, within
 from tidemark.operators.events import partition_bounds, time_slice
 from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
 from tidemark.session import path_exists, remove_paths
+from tidemark.sinks.ledger import LoadLedger
 
 # The name Spark gives to the partition of rows whose key is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -103,12 +107,12 @@ class PartitionedTable:
         )
 
     def _spec(self, values: dict[str, str]) -> str:
-        kinds = {name: kind for name, (kind, _) in self.partitions.items()}
-        return ", ".join(f"{k} = DATE '{v}'" if kinds[k] == "DATE" else f"{k} = {v}" for k, v in values.items())
+        literal = {"DATE": "DATE '{}'", "STRING": "'{}'", "INT": "{}"}
+        return ", ".join(f"{k} = {literal[self.partitions[k][0]].format(v)}" for k, v in values.items())
 
-    def partition_values(self, **leading: str) -> list[dict[str, str]]:
-        """Partition keys from the catalog, below the given leading ones; touches no data."""
-        within_spec = f" PARTITION ({self._spec(leading)})" if leading else ""
+    def partition_values(self, **given: str) -> list[dict[str, str]]:
+        """Partition keys from the catalog that have the given values; touches no data."""
+        within_spec = f" PARTITION ({self._spec(given)})" if given else ""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name}{within_spec}").collect()
         return [dict(part.split("=", 1) for part in row.partition.split("/")) for row in listed]
 
@@ -129,15 +133,37 @@ class PartitionedTable:
         self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
 
 
+def _archive_of(hour: str) -> str:
+    """Name of the archive of an hour; no function here depends on the session zone."""
+    return f"concat(cast(to_date({hour}) AS STRING), '-', lpad(hour({hour}), 2, '0'))"
+
+
+def archive_key(hour: dt.datetime) -> str:
+    return f"{hour:%Y-%m-%d-%H}"
+
+
 class LakeTable(PartitionedTable):
-    """Typed archive events, replaceable hour by hour."""
+    """Typed archive events, replaceable by archive or by slices of time.
+
+    Rows that do not come from an archive count as of the archive of their own hour.
+    """
 
     schema = LAKE
     partitions = {
         "event_date": ("DATE", "to_date(created_at)"),
         "event_hour": ("INT", "hour(created_at)"),
+        "archive": ("STRING", _archive_of("created_at")),
     }
 
+    def _partitioned(self, rows: DataFrame) -> DataFrame:
+        """Rows in table order with their partition columns; ``archive_hour``, where rows have it, says which archive."""
+        if "archive_hour" not in rows.columns:
+            return super()._partitioned(rows)
+        wider = StructType([*self.schema, StructField("archive_hour", TimestampNTZType())])
+        expressions = {name: F.expr(expression) for name, (_, expression) in self.partitions.items()}
+        expressions["archive"] = F.expr(_archive_of("archive_hour"))
+        return rows.to(wider).withColumns(expressions).drop("archive_hour")
+
     def _placed(self, rows: DataFrame, by_hour: bool = False) -> DataFrame:
         rows = self._partitioned(rows)
         # rebalance lets adaptive execution split a busy hour over several
@@ -158,66 +184,81 @@ class LakeTable(PartitionedTable):
     def slice_count(self, start: Moment, end: Moment) -> int:
         return time_slice(self.read(), start, end).count()
 
-    def loaded_hours(self, start: Moment, end: Moment) -> set[dt.datetime]:
-        """Hours of [start, end) for which a partition exists."""
+    def _parts(self, start: Moment, end: Moment) -> list[dict[str, str]]:
+        """The partitions of [start, end)."""
         start, end = moment(start), moment(end)
         last = end - dt.timedelta(hours=1)
         one_day = {"event_date": start.date().isoformat()} if start.date() == last.date() else {}
-        hours = {
-            dt.datetime.fromisoformat(p["event_date"]) + dt.timedelta(hours=int(p["event_hour"]))
-            for p in self.partition_values(**one_day)
-            if p["event_date"] != NULL_PARTITION
-        }
-        return {hour for hour in hours if start <= hour < end}
-
-    def replace_slice(
-        self,
-        rows: DataFrame,
-        start: Moment,
-        end: Moment,
-        by_hour: bool = False,
-        keep: Column | None = None,
-        hours: Collection[dt.datetime] | None = None,
-    ) -> SliceReport:
+        parts = [p for p in self.partition_values(**one_day) if p["event_date"] != NULL_PARTITION]
+        return [p for p in parts if start <= _hour_of(p) < end]
+
+    def _archive_parts(self, archives: Collection[dt.datetime]) -> list[dict[str, str]]:
+        """The partitions that rows of these archives are in."""
+        keys = {archive_key(hour) for hour in archives}
+        if len(keys) <= 24:
+            return [part for key in sorted(keys) for part in self.partition_values(archive=key)]
+        return [part for part in self.partition_values() if part["archive"] in keys]
+
+    def loaded_hours(self, start: Moment, end: Moment) -> set[dt.datetime]:
+        """Hours of [start, end) for which a partition exists."""
+        return {_hour_of(part) for part in self._parts(start, end)}
+
+    def _replace(self, rows: DataFrame, keep: Column, stale: list[dict[str, str]], by_hour: bool) -> SliceReport:
+        """Overwrite the partitions that the kept rows fall into, then drop the stale ones that got none."""
+        self._check_overwrite_mode()
+        keep = F.coalesce(keep, F.lit(False))
+        read, wrote = Observation(), Observation()
+        counted = rows.observe(read, F.count_if(~keep).alias("outside")).filter(keep)
+        # a part is a folder that the catalog then holds, so the driver sees no more of them than there are partitions
+        part = F.struct(*(F.col(name).cast("string").alias(name) for name in self.partitions))
+        placed = self._placed(counted, by_hour).observe(wrote, F.count("*").alias("rows"), F.collect_set(part).alias("parts"))
+        self._sorted(placed).write.mode("overwrite").insertInto(self.name)
+        written = _observed(wrote, rows, rows=0, parts=[])
+        parts = [row.asDict() for row in written["parts"]]
+        emptied = [part for part in stale if part not in parts]
+        self.drop_partitions(emptied)
+        filled = {_hour_of(part) for part in parts}
+        return SliceReport(
+            written["rows"], _observed(read, rows, outside=0)["outside"], sorted(filled), sorted({_hour_of(part) for part in emptied} - filled)
+        )
+
+    def replace_slice(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
         """Make ``rows`` the whole content of [start, end), in one pass over them.
 
         Both bounds are full hours. Rows outside the slice are counted and left
         out. Old rows stay in place until the new ones are complete; running the
         call again, also after a failure half-way, gives the same table.
-
-        ``by_hour`` says that each input task holds few hours, as when reading
-        hourly archives; the rows are then written without a shuffle. ``keep`` is a further
-        condition on rows; those it fails count as outside. With ``hours``
-        only those hours are emptied when they receive no row: an hour that was not
-        read keeps what it has.
         """
         start, end = moment(start), moment(end)
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
             raise ValueError("a slice starts and ends on a full hour")
-        self._check_overwrite_mode()
-        inside = F.coalesce(within(F.col("created_at"), start, end), F.lit(False))
-        if keep is not None:
-            inside &= F.coalesce(keep, F.lit(False))
-        read, wrote = Observation(), Observation()
-        counted = rows.observe(read, F.count_if(~inside).alias("outside")).filter(inside)
-        placed = self._placed(counted, by_hour).observe(
-            wrote,
-            F.count("*").alias("rows"),
-            F.collect_set(start_of_hour(F.col("created_at"))).alias("hours"),
-        )
-        stale = self.loaded_hours(start, end)
-        if hours is not None:
-            stale &= set(hours)
-        self._sorted(placed).write.mode("overwrite").insertInto(self.name)
-        filled = sorted(wrote.get["hours"])
-        emptied = sorted(stale.difference(filled))
-        self.drop_partitions([{"event_date": f"{h:%Y-%m-%d}", "event_hour": str(h.hour)} for h in emptied])
-        return SliceReport(wrote.get["rows"], read.get["outside"], filled, emptied)
+        return self._replace(rows, within(F.col("created_at"), start, end), self._parts(start, end), by_hour=False)
+
+    def replace_archives(self, rows: DataFrame, archives: Collection[dt.datetime], keep: Column) -> SliceReport:
+        """Make ``rows`` all that the table holds of some archives, wherever in time the rows lie.
+
+        Rows have ``archive_hour`` and come from few archives in each task, as when reading the files; they
+        are written without a shuffle. Those for which ``keep`` fails are counted and left out. Like
+        :meth:`replace_slice` it may be repeated.
+        """
+        return self._replace(rows, keep, self._archive_parts(archives), by_hour=True)
 
     def replace_from_table(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
         """:meth:`replace_slice` from a stored table: the slice reaches its scan, so only that is read."""
         return self.replace_slice(time_slice(rows, start, end), start, end)
 
+    def ledger(self) -> LoadLedger:
+        """The record of the archives loaded into this table, kept beside it."""
+        return LoadLedger(self.spark, f"{self._described()['Location'].rstrip('/')}_ledger")
+
+    def archive_counts(self, archives: Collection[dt.datetime]) -> DataFrame:
+        """``hour, rows`` that the table holds of each archive, from row counts of files; no column is read."""
+        name = F.col("archive")
+        date, hour = F.substring(name, 1, 10), F.substring(name, 12, 2)
+        rows = self.read().filter(name.isin([archive_key(h) for h in archives]))
+        own = date.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=hour.cast("int"))
+        return rows.groupBy(own.alias("hour")).agg(F.count("*").alias("rows"))
+
     def hour_counts(self, start: Moment, end: Moment) -> DataFrame:
         """``hour, rows`` of the slice, from partition columns and row counts of files; no column is read."""
         rows = self.read().filter(reduce(and_, partition_bounds(self.read(), start, end)))
@@ -225,24 +266,57 @@ class LakeTable(PartitionedTable):
         return rows.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
 
 
+def _observed(observation: Observation, frame: DataFrame, /, **nothing) -> dict:
+    """The metrics; those of ``nothing`` for rows that the optimizer knows to be none, which it does not observe."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        if frame.isEmpty():
+            return nothing
+        raise
+
+
+def _hour_of(part: dict[str, str]) -> dt.datetime:
+    return dt.datetime.fromisoformat(part["event_date"]) + dt.timedelta(hours=int(part["event_hour"]))
+
+
 class ServingTable(PartitionedTable):
-    """Slim event rows, clustered by time."""
+    """Slim event rows, clustered by time; each belongs to the run that copied it."""
 
     schema = SERVING
-    partitions = {"event_date": ("DATE", "to_date(created_at)")}
+    partitions = {"event_date": ("DATE", "to_date(created_at)"), "run": ("STRING", "'append'")}
+
+    def read(self) -> DataFrame:
+        return super().read().drop("run")
+
+    def run_rows(self, run: str) -> DataFrame:
+        """What a run has copied; opens only its folders."""
+        return super().read().filter(F.col("run") == run).drop("run")
+
+    def _placed(self, rows: DataFrame, run: str) -> DataFrame:
+        """Sorted files; a busy day is cut over several tasks, whatever the shuffle partition count is."""
+        placed = self._partitioned(rows).withColumn("run", F.lit(run)).hint("rebalance", "event_date")
+        return placed.sortWithinPartitions("event_date", "created_at")
 
     def append(self, rows: DataFrame) -> None:
-        """Write sorted files; a busy day is cut over several tasks, whatever the shuffle partition count is."""
-        placed = self._partitioned(rows).hint("rebalance", "event_date")
-        placed.sortWithinPartitions("event_date", "created_at").write.insertInto(self.name)
+        """Add rows that no run will want to replace."""
+        self._placed(rows, "append").write.insertInto(self.name)
+
+    def replace_run(self, rows: DataFrame, run: str) -> None:
+        """Make ``rows`` all that the table holds of a run; may be repeated, also after a failure half-way."""
+        before = self.partition_values(run=run)
+        wrote = Observation()
+        dates = F.collect_set(F.to_date("created_at").cast("string")).alias("dates")
+        self._placed(rows.observe(wrote, dates), run).write.mode("overwrite").insertInto(self.name)
+        dates = _observed(wrote, rows, dates=[])["dates"]
+        self.drop_partitions([part for part in before if part["event_date"] not in dates])
 
     def drop_expired(self, as_of: Moment) -> list[str]:
         """Drop whole days past the one-month retention; rollups built from them stay."""
         floor = retention_floor(as_of).isoformat()
-        dates = {p["event_date"] for p in self.partition_values()} - {NULL_PARTITION}
-        expired = sorted(date for date in dates if date < floor)
-        self.drop_partitions([{"event_date": date} for date in expired])
-        return expired
+        expired = [p for p in self.partition_values() if p["event_date"] != NULL_PARTITION and p["event_date"] < floor]
+        self.drop_partitions(expired)
+        return sorted({part["event_date"] for part in expired})
 
 
 def cluster_by_time(rows: DataFrame, *leading: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.payload import derive_columns
 from tidemark.functions.time import Moment, moment, parse_utc
 from tidemark.schemas import LAKE, RAW_EVENT
+from tidemark.session import list_paths
 
 # The archive name (hour without leading zero) and its pattern.
 ARCHIVE_NAME = "{stem}.json.gz"
@@ -49,14 +51,30 @@ def archive_glob(landing: str, start: Moment, end: Moment, name: str = ARCHIVE_N
     return f"{landing.rstrip('/')}/{pattern}"
 
 
+def archive_paths(landing: str, hours: Sequence[dt.datetime], name: str = ARCHIVE_NAME) -> list[str]:
+    """Path patterns for the archives of some hours: one for each stretch of them without a gap."""
+    ordered, paths, first = sorted(set(hours)), [], 0
+    for i, hour in enumerate(ordered):
+        if i + 1 == len(ordered) or ordered[i + 1] != hour + dt.timedelta(hours=1):
+            paths.append(archive_glob(landing, ordered[first], hour + dt.timedelta(hours=1), name))
+            first = i + 1
+    return paths
+
+
 def _archive_hour(path: Column) -> Column:
     date, hour = (F.regexp_extract(path, _STEM_PATTERN, i) for i in (1, 2))
     return F.concat(date, F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":00:00")).try_cast("timestamp_ntz")
 
 
-def landed_hours(spark: SparkSession, paths: str | list[str]) -> list[dt.datetime]:
-    """Hours whose archive is there, from the listing alone; one row per hour of the calendar at most."""
-    files = spark.read.format("binaryFile").load(paths).select(_archive_hour(F.col("path")).alias("hour"))
+def landed_hours(spark: SparkSession, paths: list[str], strict: bool = True) -> list[dt.datetime]:
+    """Hours whose archive is there, from the listing alone; one row per hour of the calendar at most.
+
+    Fails when there is none, unless not ``strict``.
+    """
+    there = [path for path in paths if list_paths(spark, path)]
+    if not there and not strict:
+        return []
+    files = spark.read.format("binaryFile").load(there or paths).select(_archive_hour(F.col("path")).alias("hour"))
     return sorted(row["hour"] for row in files.distinct().collect() if row["hour"] is not None)
 
 
