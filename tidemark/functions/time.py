@@ -27,15 +27,18 @@ def ntz(value: Moment) -> Column:
     return F.lit(moment(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-_ZONE = r"(?:\s*(?:Z|UTC|GMT)|\s*([+-])(\d{1,2})(?::?(\d{2}))?)$"
+_ZONE = r"(?:\s*(?:Z|UTC|GMT)|\s*(?:UTC|GMT)?([+-])(\d{1,2})(?::?(\d{2}))?)$"
+#: A zone by name, which the text alone does not turn into an offset.
+_NAMED = r":\d{1,2}(?:\.\d*)?\s*\[?[A-Za-z]"
 _DATE_FIRST = r"^\s*[+-]?\d{4,6}-\d"
 
 
 def parse_utc(text: Column) -> Column:
-    """Timestamp text to UTC wall-clock time; NULL when it does not parse or has no date.
+    """Timestamp text to UTC wall-clock time; NULL when it does not parse, has no date, or names a zone.
 
     The offset is taken from the text, so the session zone plays no part. Text
-    without one is UTC already.
+    without one is UTC already. ``Z``, ``UTC`` and ``GMT`` are offsets; other names, as ``PST`` or ``Europe/Paris``,
+    would be dropped by the cast and are refused.
     """
     timed = text.rlike(_DATE_FIRST) & text.rlike(r"\d:")  # a bare date ends in what looks like an offset
     local = F.when(timed, F.regexp_replace(text, _ZONE, "")).when(text.rlike(_DATE_FIRST), text)
@@ -43,7 +46,7 @@ def parse_utc(text: Column) -> Column:
     hours = F.regexp_extract(text, _ZONE, 2).try_cast("int")
     minutes = F.coalesce(F.regexp_extract(text, _ZONE, 3).try_cast("int"), F.lit(0))
     offset = F.make_dt_interval(hours=hours, mins=minutes)
-    parsed = local.try_cast("timestamp_ntz")
+    parsed = F.when(~local.rlike(_NAMED), local).try_cast("timestamp_ntz")
     return F.when(sign == "+", parsed - offset).when(sign == "-", parsed + offset).otherwise(parsed)
 
 
