@@ -390,5 +390,5 @@ def test_recent_copies_chain_into_tables_and_rollups(spark, tmp_path):
     for _ in range(2):
         append_recent(lake, recent, historic.read(), path, "2024-01-04")
     assert (historic.read().count(), recent.read().count()) == (1, 2)
-    counts = read_rollup(spark, f"{path}/counts", DAY_PARTIAL)
+    counts = RollupState(spark, f"{path}/counts", DAY_PARTIAL, DAY_KEYS).read()
     assert content(rollups.merge_counts(counts, "source"), "source", "count") == [("historic", 1), ("rt", 2)]

@@ -1,0 +1,336 @@
+"""Rollup state: snapshots, tiers, and copies that count once whatever happens."""
+
+import datetime as dt
+import itertools
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import content, serving
+from tidemark.operators import rollups
+from tidemark.plans import copies
+from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL
+from tidemark.session import list_paths
+from tidemark.sinks import state as state_module
+from tidemark.sinks.state import RollupState
+from tidemark.streaming.rollups import write_batch, write_day_batch
+
+D = dt.datetime
+KEYS = ("event_type", "date", "repo_name")
+SCHEMA = "created_at TIMESTAMP_NTZ, event_type STRING, repo_name STRING, actor_login STRING"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def counts_state(spark, path):
+    return RollupState(spark, f"{path}/counts", DAY_PARTIAL, KEYS)
+
+
+def members_state(spark, path):
+    return RollupState(spark, f"{path}/members", DAY_MEMBER, KEYS)
+
+
+def write(spark, state, batch_id, months=(1,), n=3, source="rt", run="a"):
+    """n keys with one event each in every month given."""
+    rows = [(dt.date(2024, m, 1), "T", f"r{k}", 1) for m in months for k in range(n)]
+    partial = spark.createDataFrame(rows, "date DATE, event_type STRING, repo_name STRING, cnt BIGINT")
+    write_batch(partial, "date", state.path, source, run, batch_id)
+
+
+def total(frame):
+    return frame.agg(F.sum("cnt")).first()[0]
+
+
+STEPS = ("manifest", "_versions", "_rows", "_live_rows", "_merged_rows")
+
+
+@pytest.mark.parametrize("place", range(10))
+def test_a_compaction_between_any_two_steps_of_a_read_changes_nothing(spark, tmp_path, monkeypatch, place):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    write(spark, state, 0)
+    if place % 2:
+        state.compact()
+        write(spark, state, 1)
+    want = 3 + 3 * (place % 2)
+    steps, busy = itertools.count(), []
+
+    def stepped(name):
+        original = getattr(RollupState, name)
+
+        def call(self, *args):
+            if not busy and next(steps) == place // 2:
+                busy.append(True)
+                write(spark, state, 5, n=0)
+                state.compact()
+                state.compact()
+            return original(self, *args)
+
+        monkeypatch.setattr(RollupState, name, call)
+
+    for name in STEPS:
+        stepped(name)
+    read = state.read()
+    assert busy and total(read) == want
+    monkeypatch.undo()
+    state.compact()
+    state.compact()
+    assert total(read) == want  # a frame made before compactions still finds its files
+    assert total(state.read()) == want
+
+
+def test_batches_that_are_being_written_or_replayed_disturb_no_reader(spark, tmp_path):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    write(spark, state, 0)
+    before = state.read()
+    write(spark, state, 0, n=5)  # a replay is a version of its own
+    half = tmp_path / "s/source=rt/run=a/batch_id=1/version=0/month=202401"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_text("not yet a file")  # no success file yet
+    assert (total(before), total(state.read())) == (3, 5)
+    state.compact()
+    assert (total(before), total(state.read())) == (3, 5)
+    write(spark, state, 0, n=7)  # a replay of a merged batch stays covered, and goes with the next compaction
+    assert total(state.read()) == 5
+    state.compact(grace=0)
+    assert total(state.read()) == 5 and not list((tmp_path / "s/source=rt/run=a/batch_id=0").glob("version=*"))
+
+
+def test_folders_go_when_the_grace_period_is_over(spark, tmp_path, monkeypatch):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    clock = [1_000_000.0]
+    monkeypatch.setattr(state_module.time, "time", lambda: clock[0])
+    for batch in range(3):
+        write(spark, state, batch)
+    state.compact()
+    folders = lambda: len(list((tmp_path / "s").glob("source=*/run=*/batch_id=*/version=*")))
+    assert folders() == 3
+    clock[0] += state_module.GRACE / 2
+    state.remove_merged()
+    assert folders() == 3
+    clock[0] += state_module.GRACE
+    state.compact()
+    assert folders() == 0 and total(state.read()) == 9
+    assert state.manifest().retired == []
+
+
+def test_of_two_compactions_at_once_one_fails(spark, tmp_path, monkeypatch):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    write(spark, state, 0)
+    original, inner = state_module.write_rollup, []
+
+    def slow(*args):
+        original(*args)
+        if not inner:
+            inner.append(True)
+            state.compact()
+
+    monkeypatch.setattr(state_module, "write_rollup", slow)
+    with pytest.raises(RuntimeError, match="another compaction"):
+        state.compact()
+    assert state.generation() == 1 and total(state.read()) == 3
+    assert len(list((tmp_path / "s_merged").glob("generation=*"))) == 1
+
+
+def test_months_without_new_rows_keep_their_files(spark, tmp_path):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    write(spark, state, 0, months=(1, 2, 3))
+    state.compact(grace=0)
+    before = state.manifest().months
+    write(spark, state, 1, months=(2,))
+    state.compact(grace=0)
+    after = state.manifest().months
+    assert after["202401"] == before["202401"] and after["202403"] == before["202403"]
+    assert after["202402"] != before["202402"]
+    assert all(Path(f.removeprefix("file:")).is_dir() for folders in after.values() for f, _ in folders)
+    assert total(state.read()) == 12
+    pruned = state.read().filter("month = 202402")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan.split("PartitionFilters: [")[1].split("]")[0] and total(pruned) == 6
+
+
+def test_small_batches_do_not_rewrite_a_large_month(spark, tmp_path):
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    write(spark, state, 0, n=400)
+    state.compact(grace=0)
+    (large,) = state.manifest().months["202401"]
+    for batch in range(1, 9):
+        write(spark, state, batch, n=4)
+        state.compact(grace=0)
+        folders = state.manifest().months["202401"]
+        assert large in folders and len(folders) <= 3
+    assert total(state.read()) == 432
+    write(spark, state, 9, n=200)  # as large as the month: all become one
+    state.compact(grace=0)
+    assert len(state.manifest().months["202401"]) == 1 and total(state.read()) == 632
+
+
+def copied(spark, n, start=0):
+    rows = [(D(2024, 1, 1 + k % 20, k % 24), "T", f"r{k % 3}", f"u{k % 7}") for k in range(start, start + n)]
+    return frame(spark, rows).withColumn("action", F.lit(None).cast("string"))
+
+
+def check(spark, table, path, distinct=True):
+    """The rollup says of the table what the table holds."""
+    rows = table.read()
+    merged = rollups.merge_day(counts_state(spark, path).read(), members_state(spark, path).read())
+    want = rows.groupBy(F.to_date("created_at").alias("date"), "event_type", "repo_name").agg(
+        F.count("*").alias("count"), F.count_distinct("actor_login").alias("actor_count")
+    )
+    columns = (*DAY_KEYS, "count", "actor_count")
+    assert content(merged, *columns) == content(want, *columns)
+
+
+def test_a_copy_may_be_repeated(spark, tmp_path):
+    table, path = serving(spark, tmp_path), str(tmp_path / "days")
+    for n in (50, 50, 20, 60):  # the same rows, fewer, more
+        copies.append_copy(copied(spark, n), table, path, "historic", "x")
+        assert table.read().count() == n
+        check(spark, table, path)
+        counts_state(spark, path).compact(grace=0)
+        check(spark, table, path)
+        members_state(spark, path).compact(grace=0)
+        check(spark, table, path)
+    copies.append_copy(copied(spark, 30, start=40), table, path, "rt", "y")
+    copies.append_copy(copied(spark, 0), table, path, "historic", "x")
+    assert table.read().count() == 30
+    check(spark, table, path)
+
+
+FAILURES = (
+    "tidemark.plans.copies._taken_back",
+    "tidemark.sinks.tables.ServingTable.replace_run",
+    "tidemark.plans.copies.write_day_state",
+    "tidemark.plans.copies.remove_paths",
+)
+
+
+@pytest.mark.parametrize("late", [False, True])
+@pytest.mark.parametrize("place", FAILURES)
+def test_a_copy_that_fails_may_be_repeated_after_compactions(spark, tmp_path, monkeypatch, place, late):
+    """Fails before or after a step; compactions run; the source gains rows; the retry gives one answer."""
+    table, path = serving(spark, tmp_path), str(tmp_path / "days")
+    copies.append_copy(copied(spark, 10), table, path, "rt", "first")
+    copies.append_copy(copied(spark, 25, start=5), table, path, "rt", "x")
+    module, name = place.rsplit(".", 1)
+    owner = copies if module == "tidemark.plans.copies" else state_table()
+    original = getattr(owner, name)
+
+    def lost(*args):
+        if late:
+            original(*args)
+        raise RuntimeError("lost")
+
+    for _ in range(2):
+        with monkeypatch.context() as patch:
+            patch.setattr(owner, name, lost)
+            with pytest.raises(RuntimeError, match="lost"):
+                copies.append_copy(copied(spark, 30, start=5), table, path, "rt", "x")
+        for state in (counts_state(spark, path), members_state(spark, path)):
+            state.compact(grace=0)
+    copies.append_copy(copied(spark, 33, start=5), table, path, "rt", "x")
+    check(spark, table, path)
+    for state in (counts_state(spark, path), members_state(spark, path)):
+        state.compact(grace=0)
+    check(spark, table, path)
+    assert table.read().count() == 43
+    assert not list_paths(spark, f"{path}/*_open/source=*/run=*")
+
+
+def state_table():
+    from tidemark.sinks.tables import ServingTable
+
+    return ServingTable
+
+
+def test_what_manifests_hold_does_not_grow_with_copies(spark, tmp_path):
+    path, table = str(tmp_path / "days"), serving(spark, tmp_path)
+    sizes = []
+    for k in range(6):
+        copies.append_copy(copied(spark, 5, start=k), table, path, "rt", f"r{k}")
+        state = counts_state(spark, path)
+        state.compact(grace=0)
+        state.compact(grace=0)
+        manifest = state.manifest()
+        sizes.append((len(manifest.upto), len(manifest.retired), sum(map(len, manifest.months.values())) <= 3))
+    assert set(sizes) == {(0, 0, True)}
+    assert total(counts_state(spark, path).read()) == table.read().count()
+
+
+def test_a_thousand_runs_leave_one_folder_a_month(spark, tmp_path):
+    """Batches of a thousand copies, as their files would be: one compaction, no row of coverage for any of them."""
+    state = RollupState(spark, str(tmp_path / "s"), DAY_PARTIAL, KEYS)
+    many = spark.range(1000).selectExpr(
+        "DATE'2024-01-01' AS date", "'T' AS event_type", "concat('r', id % 5) AS repo_name", "CAST(1 AS BIGINT) AS cnt",
+        "202401 AS month", "'rt' AS source", "concat('once-', id) AS run", "7 AS batch_id", "0 AS version",
+    )
+    many.write.partitionBy("source", "run", "batch_id", "version", "month").parquet(str(tmp_path / "s"))
+    for folder in (tmp_path / "s").glob("source=*/run=*/batch_id=*/version=*"):
+        (folder / "_SUCCESS").touch()
+    assert len(state.snapshot().live) == 1000
+    state.compact(grace=0)
+    state.compact(grace=0)
+    manifest = state.manifest()
+    assert (manifest.upto, manifest.retired, len(manifest.months["202401"])) == ([], [], 1)
+    assert total(state.read()) == 1000
+
+
+def test_a_backfill_may_be_repeated_and_changed(spark, tmp_path):
+    events, minutes = str(tmp_path / "events"), str(tmp_path / "minutes")
+    state = RollupState(spark, minutes, MINUTE_PARTIAL, MINUTE_KEYS)
+    for n in (10, 10, 4, 12):
+        rows = [(k, D(2024, 1, 1, 0, k % 4), "T") for k in range(n)]
+        stored = spark.createDataFrame(rows, "user_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING")
+        copies.append_backfill(stored, events, minutes, "2024-01-01", "2024-01-02")
+        assert spark.read.parquet(events).count() == n == total(state.read())
+        state.compact(grace=0)
+        assert total(state.read()) == n
+
+
+def test_a_recent_copy_that_failed_is_finished_under_its_own_mark(spark, tmp_path, monkeypatch):
+    """Part of a failed copy may be in the table already; the retry must not take it for the newest row."""
+    lake_schema = "type STRING, created_at TIMESTAMP_NTZ, action STRING, actor STRUCT<login: STRING>, repo STRUCT<name: STRING>"
+    lake = lambda n: spark.createDataFrame([("T", D(2024, 1, 2, h), None, ("u",), ("r",)) for h in range(n)], lake_schema)
+    historic, recent, path = serving(spark, tmp_path), serving(spark, tmp_path), str(tmp_path / "days")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(copies, "write_day_state", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            copies.append_recent(lake(5), recent, historic.read(), path, "2024-01-03")
+    first = copies.append_recent(lake(8), recent, historic.read(), path, "2024-01-03")
+    assert first == D(2023, 12, 3) and recent.read().count() == 8
+    check(spark, recent, path)
+    assert copies.append_recent(lake(9), recent, historic.read(), path, "2024-01-03") == D(2024, 1, 2, 7)
+    assert recent.read().count() == 9
+    check(spark, recent, path)
+
+
+def test_members_from_before_they_had_counts(spark, tmp_path):
+    """Old member files have no counts: their members are there, and stay when newer events of them are taken back."""
+    state = members_state(spark, str(tmp_path))
+    old = [(dt.date(2024, 1, 1), "T", "r", a) for a in ("u", "v")]
+    write_batch(spark.createDataFrame(old, "date DATE, event_type STRING, repo_name STRING, actor_login STRING"), "date", state.path, "rt", "old", 0)
+    new = [(*old[0], 2), (dt.date(2024, 1, 1), "T", "r", "w", 1)]
+    schema = "date DATE, event_type STRING, repo_name STRING, actor_login STRING, cnt BIGINT"
+    write_batch(spark.createDataFrame(new, schema), "date", state.path, "rt", "new", 0)
+    assert content(rollups.merge_actors(state.read(), "event_type"), "actor_count") == [(3,)]
+    state.compact()
+    back = [(*r[:-1], -r[-1]) for r in new]
+    write_batch(spark.createDataFrame(back, schema), "date", state.path, "rt", "new", 1)
+    assert content(rollups.merge_actors(state.read(), "event_type"), "actor_count") == [(2,)]
+
+
+def test_day_batches_of_streams_are_covered_by_number(spark, tmp_path):
+    path = str(tmp_path / "days")
+    for batch in range(4):
+        write_day_batch(copied(spark, 5).drop("action"), path, "rt", batch, "a")
+    state = counts_state(spark, path)
+    state.compact()
+    assert state.manifest().upto == [("rt", "a", 3)]
+    write_day_batch(copied(spark, 5).drop("action"), path, "rt", 3, "a")
+    assert total(state.read()) == 20

@@ -12,7 +12,7 @@ from tidemark.operators.rollups import merge_counts, merge_day, rollup_minute
 from tidemark.plans.copies import backfill
 from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL
 from tidemark.session import scratch_dir
-from tidemark.sinks.rollups import read_rollup
+from tidemark.sinks.state import RollupState
 from tidemark.sources.messages import decode_messages, file_messages
 from tidemark.streaming.ingest import ingest, ingest_all, store_rejects
 from tidemark.streaming.rollups import day_writer, maintain, minute_writer
@@ -32,7 +32,8 @@ def _land(folder, name, *texts):
 def _run_minutes(spark, folder, path, checkpoint, writer=None):
     events = decode_messages(file_messages(spark, str(folder), max_files_per_trigger=1))
     maintain(events, writer or minute_writer(path), checkpoint).awaitTermination()
-    return content(merge_counts(read_rollup(spark, path, MINUTE_PARTIAL), *MINUTE_KEYS), *MINUTE_KEYS, "count")
+    state = RollupState(spark, path, MINUTE_PARTIAL, MINUTE_KEYS)
+    return content(merge_counts(state.read(), *MINUTE_KEYS), *MINUTE_KEYS, "count")
 
 
 def _batch_answer(spark, folder):
@@ -114,9 +115,8 @@ def test_day_rollup_of_two_sources(spark, tmp_path):
     for name in ("historic", "rt"):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
         maintain(stream, day_writer(path, name), scratch_dir(spark, "c")).awaitTermination()
-    merged = merge_day(
-        read_rollup(spark, f"{path}/counts", DAY_PARTIAL), read_rollup(spark, f"{path}/members", DAY_MEMBER)
-    )
+    parts = (("counts", DAY_PARTIAL), ("members", DAY_MEMBER))
+    merged = merge_day(*(RollupState(spark, f"{path}/{name}", schema, DAY_KEYS).read() for name, schema in parts))
     assert content(merged, *DAY_KEYS, "count", "actor_count") == [
         (dt.date(2024, 1, 1), "T", "r", 4, 1), (dt.date(2024, 1, 2), "T", "r", 2, 1)]
 

@@ -5,6 +5,7 @@ Everything is derived by Spark from the whole table, so it grows with it.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,7 +131,7 @@ def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
         table.append(serving_rows(spark, sf_dir))
         return table.name
 
-    return spark.table(_once(spark, sf_dir, "serving", build))
+    return ServingTable(spark, _once(spark, sf_dir, "serving", build)).read()
 
 
 def gappy_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -149,23 +150,30 @@ def gappy_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_once(spark, sf_dir, "gappy lake", build))
 
 
-def landing(spark: SparkSession, sf_dir: str, gaps: bool = False) -> str:
+def distant_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The archives of all events; some rows are in one that is up to a day before or after their hour."""
+    return landing(spark, sf_dir, distant=True)
+
+
+def landing(spark: SparkSession, sf_dir: str, gaps: bool = False, distant: bool = False) -> str:
     """Gzip JSON archives of all events, one folder per UTC hour."""
 
     def build() -> str:
         path = scratch_dir(spark, "landing")
         rows = _lake_source(spark, sf_dir)
+        shift = F.when(F.col("id").cast("bigint") % 97 == 0, F.col("id").cast("bigint") % 49 - 24).otherwise(0) if distant else F.lit(0)
+        hour = F.col("created_at") + F.make_dt_interval(hours=shift.cast("int"))
         if gaps:
             rows = rows.filter((F.day("created_at") * 24 + F.hour("created_at")) % 7 != 3)
         stamp = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         fields = F.struct("id", "type", stamp.alias("created_at"), "public", "actor", "repo", "org")
         line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substr(F.to_json(fields), F.lit(2)))
-        stem = F.concat(F.date_format("created_at", "yyyy-MM-dd"), F.lit("-"), _text(F.hour("created_at")))
+        stem = F.concat(F.date_format(hour, "yyyy-MM-dd"), F.lit("-"), _text(F.hour(hour)))
         lines = rows.select(line.alias("value"), F.concat(stem, F.lit(".json.gz")).alias("archive"))
         lines.hint("rebalance", "archive").write.partitionBy("archive").option("compression", "gzip").text(path)
         return path
 
-    return _once(spark, sf_dir, f"landing {gaps}", build)
+    return _once(spark, sf_dir, f"landing {gaps} {distant}", build)
 
 
 def day_states(spark: SparkSession, path: str) -> tuple[RollupState, RollupState]:
@@ -174,6 +182,10 @@ def day_states(spark: SparkSession, path: str) -> tuple[RollupState, RollupState
     return RollupState(spark, f"{path}/counts", DAY_PARTIAL, keys), RollupState(spark, f"{path}/members", DAY_MEMBER, keys)
 
 
+def minute_state(spark: SparkSession, path: str) -> RollupState:
+    return RollupState(spark, path, MINUTE_PARTIAL, MINUTE_KEYS)
+
+
 def day_counts(spark: SparkSession, sf_dir: str) -> RollupState:
     """Stored daily counts of all events: two sources, three compacted batches and two later ones."""
 
@@ -199,17 +211,18 @@ def minute_counts(spark: SparkSession, sf_dir: str) -> RollupState:
             part = rows.filter(F.pmod(F.second("timestamp"), F.lit(2)) == batch_id)
             write_minute_batch(part, path, "stream", "first", batch_id)
             if not batch_id:
-                RollupState(spark, path, MINUTE_PARTIAL, MINUTE_KEYS).compact()
+                minute_state(spark, path).compact()
         return path
 
-    return RollupState(spark, _once(spark, sf_dir, "minute counts", build), MINUTE_PARTIAL, MINUTE_KEYS)
+    return minute_state(spark, _once(spark, sf_dir, "minute counts", build))
 
 
-def day_span(spark: SparkSession, sf_dir: str) -> tuple:
-    """First and last date of the events."""
+def day_span(spark: SparkSession, sf_dir: str, wider: int = 0) -> tuple:
+    """First and last date of the events, or some days more either side."""
     dates = F.to_date("ts")
     row = events_table(spark, sf_dir).agg(F.min(dates).alias("first"), F.max(dates).alias("last")).first()
-    return row["first"], row["last"]
+    more = dt.timedelta(days=wider)
+    return row["first"] - more, row["last"] + more
 
 
 def new_name(label: str) -> str:

@@ -187,6 +187,14 @@ _SQL = {
 }
 
 
+_SQL["load_distant_edge"] = _SQL["load_missing"] = "SELECT * FROM lake"
+_SQL["load_ledger"] = "SELECT date_trunc('hour', created_at) AS archive_hour, COUNT(*) AS rows, CAST(0 AS BIGINT) AS rejects FROM lake GROUP BY ALL"
+_UPTO = ", ".join(f"COUNT(*) FILTER (minute(created_at) % 4 <= {i}) AS upto_{i}" for i in range(4))
+_SQL["compact_while_reading"] = f"""SELECT * FROM (SELECT event_type, COUNT(*) AS count, {_UPTO} FROM serving GROUP BY event_type)
+  JOIN (SELECT event_type, CAST(SUM(actors) AS BIGINT) AS actor_days FROM days GROUP BY event_type) USING (event_type)"""
+_COPIED = f"""SELECT CAST(created_at AS DATE) AS date, type AS event_type, COUNT(*) AS rows, COUNT(*) AS count,
+  COUNT(DISTINCT actor_login) AS actor_count FROM lake WHERE {_IN_RANGE} GROUP BY ALL"""
+_SQL["append_historic_twice"] = _SQL["append_retry_after_compaction"] = _COPIED
 _SQL["missing_hours_of_lake"] = _SQL["missing_hours"]
 
 

@@ -318,7 +318,7 @@ def write_rollup_day(spark, sf_dir):
 def write_rollup_members(spark, sf_dir):
     path = scratch_dir(spark, "members")
     write_rollup(_members(spark, sf_dir), path, ("event_type", "date", "repo_name"))
-    return read_rollup(spark, path, DAY_MEMBER).drop("run", "batch_id")
+    return read_rollup(spark, path, DAY_MEMBER).drop("run", "batch_id", "cnt")
 
 
 # Parameterised reads
@@ -531,6 +531,92 @@ def load_partial_landing(spark, sf_dir):
     return _flat(table.read())
 
 
+@_query
+def load_distant_edge(spark, sf_dir):
+    # one row in 97 comes in the archive of another hour, up to a day away; hour loads follow the range load
+    table = a.empty_lake(spark, "load_distant")
+    landing = a.distant_landing(spark, sf_dir)
+    load.load_range(table, landing, *a.day_span(spark, sf_dir, wider=1), a.ARCHIVE_FOLDER)
+    for hour in (SLICE_HOUR, SLICE_HOUR + 3):
+        load.load_hour(table, landing, SLICE_DAY, hour, a.ARCHIVE_FOLDER)
+    return _flat(table.read())
+
+
+@_query
+def load_missing(spark, sf_dir):
+    # a seventh of the archives lands late, after a catch-up has passed them
+    table = a.empty_lake(spark, "load_missing")
+    first, last = a.day_span(spark, sf_dir)
+    until = f"{last + dt.timedelta(days=1)} 00:00:00"
+    for landing in (a.gappy_landing(spark, sf_dir), a.landing(spark, sf_dir)):
+        load.load_missing(table, landing, f"{first} 00:00:00", until, a.ARCHIVE_FOLDER)
+    return _flat(table.read())
+
+
+@_query
+def load_ledger(spark, sf_dir):
+    table = a.loaded_lake(spark, sf_dir, "load_ledger")
+    return table.ledger().read().select(F.col("hour").alias("archive_hour"), "rows", "rejects")
+
+
+@_query
+def compact_while_reading(spark, sf_dir):
+    # frames made before, between and after compactions, all computed in the end
+    path = scratch_dir(spark, "compact_reading")
+    rows = a.serving(spark, sf_dir).withColumn("part", F.minute("created_at") % 4)
+    counts, members = a.day_states(spark, path)
+    frames = []
+    for part in range(4):
+        stream_rollups.write_day_batch(rows.filter(F.col("part") == part), path, "historic", part)
+        frames.append((counts.read(), members.read()))
+        if part < 3:
+            counts.compact()
+            members.compact()
+    # the last frame is of all parts; each earlier one still finds its files
+    whole = rollups.merge_day(*frames[-1])
+    seen = [rollups.merge_counts(f, "event_type").select("event_type", F.col("count").alias(f"upto_{i}")) for i, (f, _) in enumerate(frames)]
+    totals = whole.groupBy("event_type").agg(F.sum("count").alias("count"), F.sum("actor_count").alias("actor_days"))
+    for frame in seen:
+        totals = totals.join(frame, "event_type")
+    return totals
+
+
+@_query
+def append_historic_twice(spark, sf_dir):
+    # the range is copied, merged, copied again, and merged again
+    lake, path = a.shared_lake(spark, sf_dir), scratch_dir(spark, "twice")
+    table = ServingTable(spark, a.new_name("twice"), scratch_dir(spark, "twice")).create()
+    for _ in range(2):
+        copies.append_historic(lake, table, path, FROM_TS, TO_TS)
+        for state in a.day_states(spark, path):
+            state.compact()
+    return _table_and_rollup(spark, table, path)
+
+
+@_query
+def append_retry_after_compaction(spark, sf_dir):
+    # a copy fails once its rows are in the table; states are merged; rows arrive; the copy is repeated
+    lake, path = a.shared_lake(spark, sf_dir), scratch_dir(spark, "retry")
+    table = ServingTable(spark, a.new_name("retry"), scratch_dir(spark, "retry")).create()
+    copies.append_historic(lake, table, path, FROM_TS, SPLIT)
+    early = copies.copy_historic(lake, SPLIT, TO_TS).filter(F.minute("created_at") < 40)
+    copies.begin_copy(early, table, path, "historic", "late")
+    for state in a.day_states(spark, path):
+        state.compact()
+    copies.append_copy(copies.copy_historic(lake, SPLIT, TO_TS), table, path, "historic", "late")
+    for state in a.day_states(spark, path):
+        state.compact()
+    return _table_and_rollup(spark, table, path)
+
+
+def _table_and_rollup(spark, table, path):
+    """Rows of the table and events and actors of its rollup, day by day and type by type."""
+    rows = table.read().groupBy(F.to_date("created_at").alias("date"), "event_type").agg(F.count("*").alias("rows"))
+    counts, members = (state.read() for state in a.day_states(spark, path))
+    merged = rollups.merge_counts(counts, "date", "event_type").join(rollups.merge_actors(members, "date", "event_type"), ["date", "event_type"])
+    return rows.join(merged, ["date", "event_type"])
+
+
 @_query
 def compact_minute(spark, sf_dir):
     partials = _streamed_minutes(spark, sf_dir, stream_rollups.minute_writer)
@@ -581,7 +667,7 @@ def append_rt_twice(spark, sf_dir):
     copies.append_historic(lake, historic, path, "2023-12-31 00:00:00", SPLIT)
     for _ in range(2):
         copies.append_recent(lake, recent, historic.read(), path, NOW)
-    counts = read_rollup(spark, f"{path}/counts", DAY_PARTIAL)
+    counts = a.day_states(spark, path)[0].read()
     rows = historic.read().unionByName(recent.read()).groupBy(F.to_date("created_at").alias("date")).agg(F.count("*").alias("rows"))
     return rows.join(rollups.merge_counts(counts, "date"), "date")
 
@@ -592,13 +678,11 @@ def backfill_minute_rollup(spark, sf_dir):
     copies.append_backfill(a.stored_messages(spark, sf_dir), stored, minutes, FROM_TS, TO_TS)
     stream = decode_messages(a.message_stream(spark, sf_dir))
     stream_rollups.maintain(stream, stream_rollups.minute_writer(minutes), scratch_dir(spark, "checkpoint")).awaitTermination()
-    return rollups.merge_counts(read_rollup(spark, minutes, MINUTE_PARTIAL), *MINUTE_KEYS)
+    return rollups.merge_counts(a.minute_state(spark, minutes).read(), *MINUTE_KEYS)
 
 
 def _merged_days(spark, path):
-    return rollups.merge_day(
-        read_rollup(spark, f"{path}/counts", DAY_PARTIAL), read_rollup(spark, f"{path}/members", DAY_MEMBER)
-    )
+    return rollups.merge_day(*(state.read() for state in a.day_states(spark, path)))
 
 
 # Streams
@@ -608,7 +692,7 @@ def _streamed_minutes(spark, sf_dir, writer):
     path = scratch_dir(spark, "minutes")
     stream = decode_messages(a.message_stream(spark, sf_dir))
     stream_rollups.maintain(stream, writer(path), scratch_dir(spark, "checkpoint")).awaitTermination()
-    return read_rollup(spark, path, MINUTE_PARTIAL)
+    return a.minute_state(spark, path).batches()
 
 
 def _twice(path):
