@@ -1,0 +1,100 @@
+"""Bitmaps of actors against sets."""
+
+import datetime as dt
+from collections import defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from helpers import content
+from tidemark.operators.bitmaps import ActorDictionary, actor_bitmaps, count_actors, member_bitmaps, merge_bitmaps
+from tidemark.operators.rollups import day_members, merge_actors
+
+SCHEMA = "event_type STRING, day INT, actor_login STRING"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def sets(rows, *places):
+    out = defaultdict(set)
+    for row in rows:
+        if row[2] is not None:
+            out[tuple(row[p] for p in places)].add(row[2])
+    return sorted(((*k, len(v)) for k, v in out.items()), key=repr)
+
+
+ROWS = st.lists(st.tuples(st.sampled_from("ab"), st.integers(1, 3), st.sampled_from(["u", "v", "w", None])), max_size=30)
+
+
+@given(first=ROWS, second=ROWS)
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_united_parts_equal_the_whole(spark, tmp_path_factory, first, second):
+    dictionary = ActorDictionary(spark, str(tmp_path_factory.mktemp("d") / "actors"))
+    states = []
+    for rows in (first, second):  # the dictionary grows between the parts
+        dictionary.extend(frame(spark, rows))
+        states.append(actor_bitmaps(frame(spark, rows), dictionary.read(), "event_type", "day"))
+    both = states[0].unionByName(states[1])
+    assert content(count_actors(both, "event_type"), "event_type", "actor_count") == sets(first + second, 0)
+    merged = merge_bitmaps(both, "event_type", "day")
+    assert content(count_actors(merged, "event_type", "day"), "event_type", "day", "actor_count") == sets(first + second, 0, 1)
+
+
+def test_numbers_are_kept_and_unique(spark, tmp_path):
+    dictionary = ActorDictionary(spark, str(tmp_path / "actors"))
+    before = {}
+    for n in (50, 50, 90_000):
+        dictionary.extend(spark.range(n).repartition(7).select(F.concat(F.lit("u"), "id").alias("actor_login")))
+        now = {r.actor_login: r.number for r in dictionary.read().collect()}
+        assert len(now) == n == len(set(now.values())) and before.items() <= now.items()
+        before = now
+
+
+def test_an_extension_that_failed_counts_for_nothing(spark, tmp_path):
+    dictionary = ActorDictionary(spark, str(tmp_path / "actors"))
+    (tmp_path / "actors/extension=0").mkdir(parents=True)
+    (tmp_path / "actors/extension=0/part-0.parquet").write_text("half")
+    assert dictionary.read().isEmpty()
+    dictionary.extend(spark.createDataFrame([("u",), (None,)], "actor_login STRING"))
+    assert content(dictionary.read(), "actor_login", "number") == [("u", 0)]
+
+
+@pytest.fixture
+def hot(spark):
+    """One type has two thirds of the events and 60,000 actors; one actor has half of them."""
+    return spark.range(90_000).select(
+        F.lit(dt.datetime(2024, 1, 1, 5)).cast("timestamp_ntz").alias("created_at"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("event_type"),
+        F.lit("r").alias("repo_name"),
+        F.when(F.col("id") % 2 == 0, "bot").otherwise(F.concat(F.lit("u"), "id")).alias("actor_login"),
+    )
+
+
+def test_a_hot_key_and_a_hot_actor(spark, tmp_path, hot):
+    dictionary = ActorDictionary(spark, str(tmp_path / "actors"))
+    dictionary.extend(hot)
+    state = actor_bitmaps(hot, dictionary.read(), "event_type")
+    assert content(count_actors(state, "event_type"), "event_type", "actor_count") == [("cold", 15_001), ("hot", 30_001)]
+    members = day_members(hot, "rt")
+    state = member_bitmaps(members, dictionary.read(), "event_type")
+    assert content(count_actors(state, "event_type"), "actor_count") == content(merge_actors(members, "event_type"), "actor_count")
+
+
+def test_bitmaps_of_coarse_keys_are_smaller_than_members(spark, tmp_path, hot):
+    dictionary = ActorDictionary(spark, str(tmp_path / "actors"))
+    dictionary.extend(hot)
+    members, bitmaps = str(tmp_path / "members"), str(tmp_path / "bitmaps")
+    day_members(hot, "rt").coalesce(1).write.parquet(members)
+    actor_bitmaps(hot, dictionary.read(), "event_type").coalesce(1).write.parquet(bitmaps)
+    size = lambda path: sum(f.stat().st_size for f in (tmp_path / path).glob("*.parquet"))
+    assert 3 * size("bitmaps") < size("members")
+
+
+def test_tasks_unite_before_the_shuffle(spark, tmp_path):
+    empty = spark.createDataFrame([], "event_type STRING, bucket BIGINT, bits BINARY")
+    plan = merge_bitmaps(empty, "event_type")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_or_agg" in plan

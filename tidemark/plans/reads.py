@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.time import Moment, day, moment, ntz
 from tidemark.operators.rollups import merge_counts
 from tidemark.schemas import DAY_KEYS, MINUTE_KEYS
+from tidemark.sinks.hierarchy import CoarseRollup
 
 # Default window and row limit of the top report.
 DEFAULT_START = dt.date(2025, 4, 12)
@@ -39,18 +40,40 @@ def top_repos(
     Without ``group_by`` the answer is the grand total, 0 for an empty range.
     Equal counts are ordered by the grouping columns.
     """
-    unknown = [name for name in group_by if name not in DAY_KEYS]
-    if unknown:
-        raise ValueError(f"cannot group by {unknown}; choose from {list(DAY_KEYS)}")
+    _check_columns(group_by, DAY_KEYS)
     start, end = day(start_date), day(end_date)
     conditions = [F.col("date").between(start, end)]
     if "month" in rollup.columns:
         conditions.append(_months(start, end))
-    if repo_names is not None:
-        conditions.append(F.col("repo_name").isin(list(repo_names)))
-    if event_types is not None:
-        conditions.append(F.col("event_type").isin(list(event_types)))
-    rows = rollup.filter(reduce(and_, conditions))
+    return _report(rollup.filter(reduce(and_, conditions)), repo_names, event_types, group_by, limit)
+
+
+def top_repos_coarse(
+    rollup: CoarseRollup,
+    start_date: dt.date | str = DEFAULT_START,
+    end_date: dt.date | str = DEFAULT_END,
+    repo_names: Sequence[str] | None = None,
+    event_types: Sequence[str] | None = None,
+    group_by: Sequence[str] = (),
+    limit: int = DEFAULT_LIMIT,
+) -> DataFrame:
+    """:func:`top_repos` from year and month partials, with days at the edges only; it cannot group by date."""
+    _check_columns(group_by, [name for name in DAY_KEYS if name != "date"])
+    return _report(rollup.rows(start_date, end_date), repo_names, event_types, group_by, limit)
+
+
+def _check_columns(group_by: Sequence[str], known: Sequence[str]) -> None:
+    unknown = [name for name in group_by if name not in known]
+    if unknown:
+        raise ValueError(f"cannot group by {unknown}; choose from {list(known)}")
+
+
+def _report(
+    rows: DataFrame, repo_names: Sequence[str] | None, event_types: Sequence[str] | None, group_by: Sequence[str], limit: int
+) -> DataFrame:
+    for name, values in (("repo_name", repo_names), ("event_type", event_types)):
+        if values is not None:
+            rows = rows.filter(F.col(name).isin(list(values)))
     if not group_by:
         total = rows.agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("count"))
         return total.limit(limit)

@@ -168,8 +168,15 @@ class RollupState:
         The folders are fixed when the frame is made.
         """
         now = self.snapshot()
-        merged = [folder for folders in now.manifest.months.values() for folder, _ in folders]
-        return self._merged_rows(merged).unionByName(self._live_rows(now.live))
+        return self.merged(now, now.manifest.months).unionByName(self.unmerged(now))
+
+    def merged(self, snapshot: Snapshot, months: Iterable[str]) -> DataFrame:
+        """The merged rows of some months; opens only their folders."""
+        return self._merged_rows(folder for month in months for folder, _ in snapshot.manifest.months.get(month, []))
+
+    def unmerged(self, snapshot: Snapshot) -> DataFrame:
+        """The rows of the batches after a generation."""
+        return self._live_rows(snapshot.live)
 
     def _month_rows(self, rows: DataFrame) -> dict[str, int]:
         """Rows per month, from the file footers."""

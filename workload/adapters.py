@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.payload import derive_columns
 from tidemark.functions.time import ntz
+from tidemark.operators.bitmaps import ActorDictionary, actor_bitmaps
 from tidemark.operators.events import project_serving
 from tidemark.plans.load import load_range
 from tidemark.schemas import DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL, SERVING
 from tidemark.session import scratch_dir
+from tidemark.sinks.hierarchy import CoarseRollup
 from tidemark.sinks.state import RollupState
 from tidemark.sinks.tables import LakeTable, ServingTable
 from tidemark.sources.archive import conform_to_lake
@@ -201,6 +203,41 @@ def day_counts(spark: SparkSession, sf_dir: str) -> RollupState:
     return day_states(spark, _once(spark, sf_dir, "days", build))[0]
 
 
+def coarse_days(spark: SparkSession, sf_dir: str) -> CoarseRollup:
+    """Month and year partials of all events' daily counts, and one batch more that they do not have."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "coarse")
+        rows = serving(spark, sf_dir).withColumn("part", F.minute("created_at") % 3)
+        state = day_states(spark, path)[0]
+        for part in range(3):
+            write_day_batch(rows.filter(F.col("part") == part), path, "historic", part)
+            if part < 2:
+                state.compact()
+                CoarseRollup(spark, state).refresh()
+        return path
+
+    return CoarseRollup(spark, day_states(spark, _once(spark, sf_dir, "coarse", build))[0])
+
+
+def stored_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of the actors of each date and type, made in two parts between which the dictionary grew."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "bitmaps")
+        dictionary = ActorDictionary(spark, f"{path}/actors")
+        rows = serving(spark, sf_dir).withColumn("date", F.to_date("created_at"))
+        for part in range(2):
+            own = rows.filter(F.minute("created_at") % 2 == part)
+            dictionary.extend(own)
+            state = actor_bitmaps(own, dictionary.read(), "date", "event_type")
+            state.write.parquet(f"{path}/state/part={part}")
+        return path
+
+    schema = "date DATE, event_type STRING, bucket BIGINT, bits BINARY"
+    return spark.read.schema(schema).parquet(f"{_once(spark, sf_dir, 'bitmaps', build)}/state").drop("part")
+
+
 def minute_counts(spark: SparkSession, sf_dir: str) -> RollupState:
     """Stored minute counts of all readable messages: a stream in two batches, the first compacted."""
 

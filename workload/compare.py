@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import duckdb
 from pyspark.sql import SparkSession
 
@@ -23,9 +25,12 @@ def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str:
-    frame = queries()[name](spark, sf_dir)
-    relation = con.sql(oracle_sql()[name])
+def compare(
+    spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str, made: Mapping = None, sql: Mapping = None
+) -> str:
+    """Run a query and its statement, of this folder unless others are given, and say how they differ."""
+    frame = (made or queries())[name](spark, sf_dir)
+    relation = con.sql((sql or oracle_sql())[name])
     want_types = {c: str(t) for c, t in zip(relation.columns, relation.types)}
     got_types = {c: KINDS.get(t, t) for c, t in frame.dtypes}
     if got_types != want_types:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import AS_OF, FROM_DAY, FROM_TS, NOW, REPOS, SLICE_DAY, SLICE_HOUR, SPLIT, TO_DAY, TO_TS, TYPES
+from workload.queries import AS_OF, COARSE_FROM, COARSE_TO, FROM_DAY, FROM_TS, NOW, REPOS, SLICE_DAY, SLICE_HOUR, SPLIT, TO_DAY, TO_TS, TYPES
 
 _BASE = """
 base AS (
@@ -195,6 +195,11 @@ _SQL["compact_while_reading"] = f"""SELECT * FROM (SELECT event_type, COUNT(*) A
 _COPIED = f"""SELECT CAST(created_at AS DATE) AS date, type AS event_type, COUNT(*) AS rows, COUNT(*) AS count,
   COUNT(DISTINCT actor_login) AS actor_count FROM lake WHERE {_IN_RANGE} GROUP BY ALL"""
 _SQL["append_historic_twice"] = _SQL["append_retry_after_compaction"] = _COPIED
+_SQL["merge_actors_bitmap"] = _SQL["merge_actors_by_type"]
+_SQL["merge_actors_bitmap_by_day"] = _SQL["merge_actors_by_day"]
+_SQL["top_repos_coarse"] = f"""SELECT repo_name, CAST(SUM(cnt) AS BIGINT) AS count FROM days
+  WHERE date BETWEEN DATE '{COARSE_FROM}' AND DATE '{COARSE_TO}' GROUP BY repo_name ORDER BY count DESC, repo_name LIMIT 50"""
+_SQL["top_repos_coarse_total"] = f"SELECT CAST(coalesce(SUM(cnt), 0) AS BIGINT) AS count FROM days WHERE event_type IN {_in(TYPES)}"
 _SQL["missing_hours_of_lake"] = _SQL["missing_hours"]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import time as t
-from tidemark.operators import events, hours, retention, rollups
+from tidemark.operators import bitmaps, events, hours, retention, rollups
 from tidemark.plans import copies, load, reads
 from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL, SERVING
 from tidemark.session import scratch_dir
@@ -29,6 +29,7 @@ _REGISTRY: dict[str, Query] = {}
 # Parameters of the queries; the SQL counterparts use the same.
 FROM_TS, TO_TS = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
 FROM_DAY, TO_DAY = "2024-01-08", "2024-01-24"
+COARSE_FROM, COARSE_TO = "2023-12-20", "2024-02-10"
 SLICE_DAY, SLICE_HOUR = "2024-01-10", 7
 AS_OF = "2024-02-15 06:00:00"
 NOW = "2024-01-31 12:30:00"
@@ -361,6 +362,27 @@ def top_repos_default_window(spark, sf_dir):
     return reads.top_repos(_stored_days(spark, sf_dir))
 
 
+@_query
+def top_repos_coarse(spark, sf_dir):
+    # month partials with days at both ends; the last month has a batch that came after the refresh
+    return reads.top_repos_coarse(a.coarse_days(spark, sf_dir), COARSE_FROM, COARSE_TO, group_by=["repo_name"], limit=50)
+
+
+@_query
+def top_repos_coarse_total(spark, sf_dir):
+    return reads.top_repos_coarse(a.coarse_days(spark, sf_dir), "2023-01-01", "2025-12-31", event_types=TYPES)
+
+
+@_query
+def merge_actors_bitmap(spark, sf_dir):
+    return bitmaps.count_actors(a.stored_bitmaps(spark, sf_dir), "event_type")
+
+
+@_query
+def merge_actors_bitmap_by_day(spark, sf_dir):
+    return bitmaps.count_actors(a.stored_bitmaps(spark, sf_dir), "date", "event_type")
+
+
 @_query
 def events_stats(spark, sf_dir):
     return reads.events_stats(a.minute_counts(spark, sf_dir).read(), FROM_TS, TO_TS)
