@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import content, event, write_archive
 from tidemark.schemas import LAKE
+from tidemark.functions.payload import derive_columns, derive_from_variant, with_variant
 from tidemark.sources.archive import archive_glob, archive_stems, conform_to_lake, read_archive, typed_events
 
 HOUR = "2024-03-05-7"
@@ -119,3 +120,16 @@ def test_stems_cover_each_hour_once(first, hours):
 def test_glob_of_one_and_of_several():
     assert archive_glob("/in/", "2024-01-01", "2024-01-02") == "/in/2024-01-01-*.json.gz"
     assert archive_glob("/in", "2024-01-01", "2024-01-03") == "/in/{2024-01-01-*.json.gz,2024-01-02-*.json.gz}"
+
+
+def test_fields_from_a_parsed_payload_equal_those_from_text(spark):
+    payloads = [
+        '{"action":"opened","ref":"r","ref_type":"tag","number":7}', '{"action":null,"number":"12"}', '{"number":"x","ref":5}',
+        '{"number":3000000000}', "{}", "not json", None, '{"action":"é \\"q\\"","nested":{"action":"no"}}',
+    ]
+    kinds = ("PushEvent", "IssuesEvent", "CreateEvent", "WatchEvent", "ForkEvent")
+    rows = spark.createDataFrame([(k, p) for k in kinds for p in payloads], "type STRING, payload STRING")
+    columns = ("type", "payload", "action", "ref", "ref_type", "number")
+    from_text = content(derive_columns(rows), *columns)
+    assert content(derive_from_variant(with_variant(rows)), *columns) == from_text
+    assert with_variant(rows).filter("payload_variant IS NULL").select("payload").distinct().count() == 2

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import content, serving
+from helpers import content, serving, session_conf
 from tidemark.operators import rollups
 from tidemark.operators.events import between, default_empty, project_serving
 from tidemark.plans.copies import append_historic, append_recent, backfill, copy_days, copy_historic, copy_rt
@@ -164,6 +164,35 @@ def test_members_of_one_key_are_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "members").glob("month=202401/*.parquet"))) > 1
 
 
+def _scanned(frame):
+    """Rows that the scan handed on, after the row groups that it skipped."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_reads_of_one_repository_skip_row_groups(spark, tmp_path):
+    """Every row group spans all names; too many for a dictionary, so only the filter can tell which has a repository."""
+    many = spark.range(240_000).selectExpr(
+        "DATE'2024-01-01' AS date", "concat('T', id % 8) AS event_type", "concat('some/longer-name-', id * 7919 % 240007) AS repo_name", "id AS cnt"
+    )
+    path = str(tmp_path / "rollup")
+    with session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64m"):
+        write_rollup(many, path, ("event_type", "date", "repo_name"))
+    stored = read_rollup(spark, path, DAY_PARTIAL)
+    total = _scanned(stored.filter("cnt >= 0"))
+    assert total == 240_000
+    (there,) = many.filter("id = 77777").select("repo_name").first()
+    one = stored.filter(F.col("repo_name").isin([there]))
+    assert [r["cnt"] for r in one.collect()] == [77777]
+    absent = stored.filter(F.col("repo_name").isin(["some/longer-name-1x", "some/longer-name-2x"]))
+    assert absent.collect() == [] and _scanned(absent) == 0
+    # without filters the same read goes through all rows
+    plain = str(tmp_path / "plain")
+    many.coalesce(1).write.option("parquet.bloom.filter.enabled", "false").parquet(plain)
+    assert _scanned(spark.read.parquet(plain).filter(F.col("repo_name").isin(["some/longer-name-1x"]))) == 240_000
+
+
 def test_top_needs_no_full_sort(rollup):
     plan = top_repos(rollup, group_by=["repo_name"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -29,3 +29,20 @@ def derive_columns(events: DataFrame) -> DataFrame:
     }
     derived["number"] = derived["number"].try_cast("int")
     return parsed.withColumns(derived).drop(*(f"_{name}" for name in PAYLOAD_FIELDS))
+
+
+def with_variant(events: DataFrame) -> DataFrame:
+    """Add ``payload_variant``: the payload parsed once and kept, so that later reads parse nothing; the text stays as it is.
+
+    Text that is no JSON, or names a field twice, has a null one.
+    """
+    return events.withColumn("payload_variant", F.try_parse_json("payload"))
+
+
+def derive_from_variant(events: DataFrame) -> DataFrame:
+    """The columns of :func:`derive_columns`, from ``payload_variant``."""
+    kinds = {name: "int" if name == "number" else "string" for name in PAYLOAD_FIELDS}
+    return events.withColumns({
+        name: F.when(F.col("type").isin(*types), F.try_variant_get("payload_variant", f"$.{name}", kinds[name]))
+        for name, types in PAYLOAD_FIELDS.items()
+    })

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import day
 from tidemark.session import list_paths, publish_text, qualified, read_text
+from tidemark.sinks.rollups import bloom_options
 from tidemark.sinks.state import RollupState, Snapshot
 
 _ROWS = "event_type STRING, repo_name STRING, source STRING, cnt BIGINT"
@@ -97,7 +98,8 @@ class CoarseRollup:
     def _write(self, rows: DataFrame, unit: str) -> dict[str, str]:
         """Write partials by ``unit``; the folder of each of its values."""
         folder = qualified(self.spark, f"{self.path}/{unit}/refresh={uuid.uuid4().hex[:12]}")
-        rows.hint("rebalance", unit).sortWithinPartitions(unit, "event_type", "repo_name").write.partitionBy(unit).parquet(folder)
+        placed = rows.hint("rebalance", unit).sortWithinPartitions(unit, "event_type", "repo_name")
+        placed.write.options(**bloom_options(rows)).partitionBy(unit).parquet(folder)
         return {path.rsplit("=", 1)[1]: path for path, _ in list_paths(self.spark, f"{folder}/{unit}=*")}
 
     def _read(self, folders: Iterable[str]) -> DataFrame:

@@ -200,6 +200,9 @@ _SQL["merge_actors_bitmap_by_day"] = _SQL["merge_actors_by_day"]
 _SQL["top_repos_coarse"] = f"""SELECT repo_name, CAST(SUM(cnt) AS BIGINT) AS count FROM days
   WHERE date BETWEEN DATE '{COARSE_FROM}' AND DATE '{COARSE_TO}' GROUP BY repo_name ORDER BY count DESC, repo_name LIMIT 50"""
 _SQL["top_repos_coarse_total"] = f"SELECT CAST(coalesce(SUM(cnt), 0) AS BIGINT) AS count FROM days WHERE event_type IN {_in(TYPES)}"
+_SQL["rollup_evolved_stored"] = f"""SELECT date, event_type, repo_name, cnt AS count,
+  CASE WHEN date >= DATE '{FROM_DAY}' THEN actors ELSE 0 END AS actor_count FROM days"""
+_SQL["derive_from_variant"] = "SELECT id, type, action, ref, ref_type, number FROM lake"
 _SQL["missing_hours_of_lake"] = _SQL["missing_hours"]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import time as t
+from tidemark.functions.payload import derive_from_variant as derive_from_variant_columns, with_variant
 from tidemark.operators import bitmaps, events, hours, retention, rollups
 from tidemark.plans import copies, load, reads
 from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL, SERVING
@@ -180,6 +181,15 @@ def derive_number(spark, sf_dir):
     return _typed(spark, sf_dir).select("id", "type", "number")
 
 
+@_query
+def derive_from_variant(spark, sf_dir):
+    # the payload is stored parsed, and fields are read from what is stored
+    path = scratch_dir(spark, "variant")
+    with_variant(_archive(spark, sf_dir).select("id", "type", "payload")).drop("payload").write.parquet(path)
+    stored = spark.read.schema("id STRING, type STRING, payload_variant VARIANT").parquet(path)
+    return derive_from_variant_columns(stored).drop("payload_variant")
+
+
 @_query
 def payload_as_json(spark, sf_dir):
     return _archive(spark, sf_dir).select("id", "payload")
@@ -303,6 +313,23 @@ def rollup_evolved(spark, sf_dir):
     return rollups.merge_day(_day_rollup(spark, sf_dir), members)
 
 
+@_query
+def rollup_evolved_stored(spark, sf_dir):
+    # three ages of one stored state: counts only, members without their events, members with them; merged in between
+    path, rows = scratch_dir(spark, "evolved"), a.serving(spark, sf_dir)
+    counts, members = a.day_states(spark, path)
+    date = F.to_date("created_at")
+    ages = [rows.filter(date < FROM_DAY), rows.filter(date.between(FROM_DAY, SPLIT[:10])), rows.filter(date > SPLIT[:10])]
+    for batch_id, age in enumerate(ages[:2]):
+        stream_rollups.write_batch(rollups.rollup_day(age, "rt").drop("source"), "date", f"{path}/counts", "rt", "a", batch_id)
+        counts.compact()
+    old = rollups.day_members(ages[1], "rt").drop("source")
+    stream_rollups.write_batch(old, "date", f"{path}/members", "rt", "a", 1)
+    stream_rollups.write_day_batch(ages[2], path, "rt", 2, "a")
+    members.compact()
+    return rollups.merge_day(counts.read(), members.read())
+
+
 @_query
 def rollup_minute_count(spark, sf_dir):
     return rollups.rollup_minute(_stream_events(spark, sf_dir))
