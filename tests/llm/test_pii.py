@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -88,3 +89,34 @@ def test_awkward_rows(awkward, none):
     assert len(rows) == awkward.count() and all(r.spans == "" for r in rows)
     assert {r.base_sha256 for r in rows} == {hashlib.sha256(b"").hexdigest()}
     assert p.detect(none).collect() == []
+
+
+def test_parts_of_any_length():
+    """A part with more digits than int() takes is no error; leading zeros count for nothing."""
+    text = f"a 1.2.3.{'0' * 5000}1 b 1.2.3.{'9' * 5000} c"
+    assert p.base_spans(text)[0] == ("ip", 2, 2 + 6 + 5001)
+    assert sum(k == "ip" for k, _, _ in p.base_spans(text)) == 1
+
+
+def test_taken_equals_a_scan():
+    rng = random.Random(5)
+    for _ in range(300):
+        several = [("ip", a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        taken, free = spans.Taken(several), []
+        for _ in range(20):
+            a = rng.randint(0, 70)
+            span = ("card", a, a + rng.randint(1, 6))
+            meets = any(span[1] < e and s < span[2] for _, s, e in several + free)
+            assert taken.meets(span) == meets
+            if not meets:
+                free.append(span)
+                taken.add(span)
+
+
+def test_many_matches_in_a_long_text_take_linear_time():
+    """Twenty thousand spans and as many candidates that they cover."""
+    find = p.finder(p.Model(p.np.full((2, 5, 3), 0.5), 0.5, p.np.full(15, 1.0)))
+    text = "10.0.0.1 a@b.co 4111 1111 1111 1111 9807915762804490 " * 10_000
+    start = time.monotonic()
+    base, more = find(text)
+    assert len(base) >= 20_000 and time.monotonic() - start < 20

@@ -97,7 +97,8 @@ def _emails(text: str) -> list[Span]:
 def base_spans(text: str) -> list[Span]:
     found = _emails(text) if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]  # a part may have more digits than int() takes
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             found.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -151,7 +152,8 @@ def _votes(text: str, span: Span, strict: bool) -> tuple[int, ...]:
 def judged(text: str) -> list[tuple[Span, tuple[int, ...]]]:
     """All candidates with their votes; base spans first."""
     base = base_spans(text)
-    rest = [c for c in candidates(text) if not spans.overlaps(c, base)]
+    taken = spans.Taken(base)
+    rest = [c for c in candidates(text) if not taken.meets(c)]
     return [(s, _votes(text, s, True)) for s in base] + [(s, _votes(text, s, False)) for s in rest]
 
 
@@ -220,12 +222,13 @@ def fit(documents: DataFrame) -> Model:
 
 def finder(model: Model, accept: float = ACCEPT) -> spans.Find:
     def find(text: str) -> tuple[list[Span], list[Span]]:
-        base, more = [], []
+        base, more, taken = [], [], spans.Taken()
         for span, votes in judged(text):
             if votes[0] == 1:
                 base.append(span)
-            elif model.probability(span[0], votes) >= accept and not spans.overlaps(span, more):
+            elif model.probability(span[0], votes) >= accept and not taken.meets(span):
                 more.append(span)
+                taken.add(span)
         return base, more
 
     return find

@@ -144,12 +144,14 @@ def base_spans(text: str) -> list[Span]:
 def added_spans(text: str, base: list[Span], cost: float = COST) -> list[Span]:
     """Values in credential contexts that are hard to guess; the span of the whole context and value."""
     found: list[Span] = []
+    given, taken = spans.Taken(base), spans.Taken()
     for pattern in (_CONTEXT, _ADDRESS):
         for m in pattern.finditer(text):
             span = ("assign", m.start(), m.end(1))
             value = m[1].rstrip(".)]}!?:")
-            if value and not spans.overlaps(span, base) and not spans.overlaps(span, found) and guess_cost(value) >= cost:
+            if value and not given.meets(span) and not taken.meets(span) and guess_cost(value) >= cost:
                 found.append((span[0], span[1], m.start(1) + len(value)))
+                taken.add(found[-1])
     return found
 
 

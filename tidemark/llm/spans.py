@@ -6,6 +6,7 @@ A span is ``(kind, start, end)`` in code points, end exclusive.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -28,8 +29,28 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def overlaps(span: Span, others: Sequence[Span]) -> bool:
-    return any(span[1] < e and s < span[2] for _, s, e in others)
+class Taken:
+    """The characters that some spans cover, as stretches in order, so that looking one up is a binary search."""
+
+    def __init__(self, spans: Sequence[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda x: x[1]):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, span: Span) -> bool:
+        at = bisect_left(self.starts, span[2]) - 1
+        return at >= 0 and span[1] < self.ends[at]
+
+    def add(self, span: Span) -> None:
+        """One more span, which must meet none."""
+        at = bisect_left(self.starts, span[1])
+        self.starts.insert(at, span[1])
+        self.ends.insert(at, span[2])
 
 
 def replaced(text: str, spans: Sequence[Span]) -> str:
