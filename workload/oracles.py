@@ -203,6 +203,8 @@ _SQL["top_repos_coarse_total"] = f"SELECT CAST(coalesce(SUM(cnt), 0) AS BIGINT)
 _SQL["rollup_evolved_stored"] = f"""SELECT date, event_type, repo_name, cnt AS count,
   CASE WHEN date >= DATE '{FROM_DAY}' THEN actors ELSE 0 END AS actor_count FROM days"""
 _SQL["derive_from_variant"] = "SELECT id, type, action, ref, ref_type, number FROM lake"
+_SQL["stream_ingest_all"] = """SELECT user_id, timestamp, event_type, NULL::VARCHAR AS value FROM messages
+  UNION ALL SELECT NULL, NULL, NULL, value FROM message_text WHERE user_id IN (11, 13)"""
 _SQL["missing_hours_of_lake"] = _SQL["missing_hours"]
 
 

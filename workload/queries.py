@@ -20,7 +20,7 @@ from tidemark.sources.archive import read_archive, typed_events
 from tidemark.sources.items import generate_items, generate_items_copy, read_items
 from tidemark.sources.messages import decode_messages, rejected_messages
 from tidemark.streaming import rollups as stream_rollups
-from tidemark.streaming.ingest import ingest, run, store_rejects
+from tidemark.streaming.ingest import ingest, ingest_all, run, store_rejects
 from workload import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -769,6 +769,15 @@ def stream_rejects(spark, sf_dir):
     return spark.read.text(path)
 
 
+@_query
+def stream_ingest_all(spark, sf_dir):
+    # events and rejects from one reading of the topic
+    path, rejects = scratch_dir(spark, "ingest"), scratch_dir(spark, "rejects")
+    ingest_all(a.message_stream(spark, sf_dir), path, rejects, scratch_dir(spark, "checkpoint")).awaitTermination()
+    taken = spark.read.parquet(path).select("user_id", "timestamp", "event_type", F.lit(None).cast("string").alias("value"))
+    return taken.unionByName(spark.read.text(rejects).select("value"), allowMissingColumns=True)
+
+
 @_query
 def stream_minute_rollup(spark, sf_dir):
     partials = _streamed_minutes(spark, sf_dir, stream_rollups.minute_writer)
