@@ -43,7 +43,7 @@ def test_awkward_rows(spark, awkward, none):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     assert set(queries()) | {"pipeline"} <= set(entry.queries()) and set(oracle_sql()) <= set(queries())
 
 
