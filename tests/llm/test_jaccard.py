@@ -9,6 +9,10 @@ import pytest
 
 from tidemark.llm import jaccard_rtree as j
 
+
+def sentence(start, n):
+    return " ".join(f"w{(start + i) % 19}x{start * 100 + i}" for i in range(n))
+
 SCHEMA = "doc_id bigint, text string"
 
 
@@ -73,8 +77,9 @@ def test_components_equal_all_pairs(spark, mixed, percent):
 
 
 def test_addresses_meet_for_every_linked_pair():
-    """The exact rule itself, on sets at the edge of the threshold."""
+    """The exact rule itself, on sets at the edge of the threshold, whatever the contents are taken to be frequent."""
     rng = np.random.default_rng(2)
+    level = rng.integers(0, 60, 1 << j.COUNTER_BITS).astype(np.uint64)
     for n in [5, 9, 31, 32, 33, 40, 63, 64, 65, 100, 127, 128, 200, 511, 513, 1000]:
         for _ in range(20):
             a = rng.integers(0, 2**63, n, dtype=np.uint64)
@@ -88,7 +93,7 @@ def test_addresses_meet_for_every_linked_pair():
             assert common >= j.least_overlap(np.int64(len(a)), np.int64(len(b)), 80)
             assert not j._few_groups(a, 80) or not j._few_groups(b, 80)
             none = frozenset()
-            assert len(np.intersect1d(j._addresses(a, 80, none), j._addresses(b, 80, none)))
+            assert len(np.intersect1d(j._addresses(a, 80, none, level), j._addresses(b, 80, none, level)))
 
 
 def test_sets_with_few_groups_meet_by_single_shingles():
@@ -97,7 +102,8 @@ def test_sets_with_few_groups_meet_by_single_shingles():
     b.sort()
     few = j._few_groups(a, 80)
     assert few and j._few_groups(b, 80)
-    assert len(np.intersect1d(j._addresses(a, 80, frozenset(few)), j._addresses(b, 80, frozenset(few))))
+    level = np.zeros(1 << j.COUNTER_BITS, dtype=np.uint64)
+    assert len(np.intersect1d(j._addresses(a, 80, frozenset(few), level), j._addresses(b, 80, frozenset(few), level)))
 
 
 def test_tree_finds_what_brute_force_finds():
@@ -151,3 +157,34 @@ def test_texts_of_one_id_share_a_component(spark):
     assert j.join(frame).count() == len(rows)
     kept = sorted(map(tuple, j.keep_first(frame).collect()))
     assert kept == [(1, one), (8, max((t for d, t in rows if d == 8), key=lambda t: (len(t), t))), (9, "")]
+
+
+def test_a_shared_passage_addresses_no_document_that_has_rarer_words(spark):
+    """Pages of a passage would grow with the number of documents that hold it; there are none."""
+    passage = sentence(900, 60)
+    sizes = []
+    for n in (200, 400):
+        rows = [(i, f"{sentence(i * 7 + 1000, 150 + i % 50)} {passage}") for i in range(n)]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        made = j.points(frame, 80, 5).cache()
+        levels = j.frequency_levels(made.filter("row is not null"))
+        found = j.addresses(frame, 80, 5, frozenset(), levels)
+        pages = j._pages(found, j._shared(found))
+        sizes.append(pages.agg({"n": "max"}).first()[0] or 0)
+    assert max(sizes) <= 20, sizes
+
+
+def test_pages_with_very_many_rows_have_a_name(spark):
+    """What names the members of a page is added up without overflow."""
+    found = spark.range(200_000).selectExpr("id % 2 as page", "id * 7919 as one")
+    pages = j._pages(found, j._shared(found))
+    assert pages.select("members").distinct().count() == 2 and pages.agg({"n": "min"}).first()[0] == 100_000
+
+
+def test_the_filter_lets_all_shared_pages_through(spark):
+    pages = spark.range(50_000).selectExpr("xxhash64(id) as page").repartition(5)
+    shared = j.shared_filter(pages)
+    own = np.array([r.page for r in pages.collect()], dtype=np.int64).view(np.uint64)
+    assert j._let_through(shared, own).all()
+    other = np.random.default_rng(1).integers(0, 2**63, 50_000, dtype=np.uint64)
+    assert j._let_through(shared, other).mean() < 0.01

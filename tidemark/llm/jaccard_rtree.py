@@ -3,16 +3,18 @@
 Method. The distinct shingles of a document are hashed into groups. The group
 counts are the document's point; since the overlap of two sets is at most the sum
 of the coordinate minima of their points, an R-tree over points, whose nodes keep
-coordinate maxima, finds all pairs that can reach the threshold, and these
-are verified on the sets themselves.
+coordinate maxima, finds all pairs that can reach the threshold. What is left is bounded
+once more in the same way with sixteen times as many coordinates, and verified on the sets themselves.
 
 One tree over everything cannot prune well in many dimensions, so the points are
 first dealt to pages by an exact rule on the same kind of groups. Two sets of
 sizes a and b that link differ in at most ``D = (a + b)(100 - t)/(100 + t)`` shingles.
 Split into more groups than that, they agree on the whole content of some group,
-and on one among the first ``D + 1`` of each document in a common order (largest
-contents first, so that pages rest on several shingles at once). Those contents
-are the page addresses. The number of groups follows the size class of the
+and on one among the first ``D + 1`` of each document in a common order. Those contents
+are the page addresses. Any order will do that is the same for all documents; here rare contents come
+first, so that a passage that many documents share addresses none of them as long as they have rarer
+content, and of equally rare ones the largest. How frequent a content is is counted
+over all documents, in a table of fixed size by its hash. The number of groups follows the size class of the
 smaller document; a document is addressed in each class where it can meet a
 partner (at most two). Where a document's shingles fall into too few groups for
 the rule, all documents of that class are also addressed by single shingles.
@@ -40,13 +42,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import components, map_arrow, written
+from tidemark.llm.frames import components, map_arrow, ship, written
 from tidemark.llm.text import Block, blocks, mix, sequence_hash, words
 
-#: Coordinates of a point.
-GROUPS = 64
+#: Coordinates of a point, and of the finer one that decides on pairs which the tree finds.
+GROUPS, FINE = 64, 1024
 #: Size classes below this one (sets under 32 shingles) use a group for each shingle.
 FIRST_CLASS = 5
+#: Counters of contents, as a power of two, and counters that a task hands on in a row.
+COUNTER_BITS, COUNTER_ROW = 20, 4096
+#: Bits of the filter of pages that several sets have, as a power of two.
+FILTER_BITS = 26
 #: Points of a page block, and of a tree node.
 BLOCK, FANOUT = 512, 16
 
@@ -99,32 +105,66 @@ def _few_groups(items: np.ndarray, percent: int) -> list[int]:
     ]
 
 
-def _addresses(items: np.ndarray, percent: int, single: frozenset[int]) -> np.ndarray:
-    """The pages of a set."""
+def _contents(items: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and number of shingles of each group of a class that holds any."""
+    group = items.view(np.int64) & ((1 << c) - 1)
+    count = np.bincount(group, minlength=1 << c)
+    content = np.zeros(1 << c, dtype=np.uint64)
+    np.add.at(content, group, items)
+    used = np.flatnonzero(count)
+    return _salted(content[used], 2 * c), count[used]
+
+
+def _salted(values: np.ndarray, salt: int) -> np.ndarray:
+    return mix(values + np.uint64(0x9E3779B97F4A7C15 * (salt + 1) % (1 << 64)))
+
+
+def _keys(items: np.ndarray, c: int, single: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of what a set can be addressed by in a class, and their numbers of shingles."""
+    if not single:
+        return _contents(items, c)
+    return _salted(items, 2 * c + 1), np.ones(len(items), dtype=np.int64)
+
+
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNTER_BITS)).view(np.int64)
+
+
+def _addresses(items: np.ndarray, percent: int, single: frozenset[int], level: np.ndarray) -> np.ndarray:
+    """The pages of a set; ``level`` says how frequent the contents of a counter are."""
     take = most_differences(len(items), percent) + 1
     out = []
     for c in size_classes(len(items), percent):
-        if c >= FIRST_CLASS:
-            group = items.view(np.int64) & ((1 << c) - 1)
-            count = np.bincount(group, minlength=1 << c)
-            content = np.zeros(1 << c, dtype=np.uint64)
-            np.add.at(content, group, items)
-            used = np.flatnonzero(count)
-            rank = np.uint64(255) - np.minimum(count[used], 255).astype(np.uint64)
-            keys = (rank << np.uint64(56)) | (mix(content[used]) >> np.uint64(8))
-            out.append((keys, 2 * c))
-        if c < FIRST_CLASS or c in single:
-            out.append((mix(items), 2 * c + 1))
-    firsts = [(np.partition(k, take - 1)[:take] if len(k) > take else k, salt) for k, salt in out]
-    return np.concatenate([mix(k + np.uint64(0x9E3779B97F4A7C15 * (salt + 1) % (1 << 64))) for k, salt in firsts])
+        for alone in (False, True):
+            if (alone and (c < FIRST_CLASS or c in single)) or (not alone and c >= FIRST_CLASS):
+                hashes, count = _keys(items, c, alone)
+                if len(hashes) > take:
+                    rank = np.uint64(255) - np.minimum(count, 255).astype(np.uint64)
+                    order = (level[_counter(hashes)] << np.uint64(56)) | (rank << np.uint64(48)) | (hashes >> np.uint64(16))
+                    hashes = hashes[np.argpartition(order, take - 1)[:take]]
+                out.append(hashes)
+    return np.concatenate(out)
+
+
+_POINT = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("size", pa.int64()), ("one", pa.int64()), ("two", pa.int64()),
+        ("counts", pa.binary()), ("few", pa.list_(pa.int32())), ("row", pa.int32()), ("frequency", pa.binary()),
+    ]
+)
 
 
 def points(documents: DataFrame, percent: int, width: int) -> DataFrame:
-    """doc_id, size, two halves of the set's identity, group counts, and classes to address by single shingles."""
+    """doc_id, size, two halves of the set's identity, group counts, and classes to address by single shingles.
+
+    Further rows have ``row``, and in ``frequency`` a piece of a task's counters: how many distinct sets of the task have a
+    content.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency, seen = np.zeros(1 << COUNTER_BITS, dtype="<i8"), set()
         for block in blocks(batches):
-            size, one, two, counts, few = [], [], [], [], []
+            size, one, two, counts, few, slots = [], [], [], [], [], []
             for items in shingle_sets(block, width):
                 size.append(len(items))
                 ids = _set_ids(items)
@@ -132,34 +172,61 @@ def points(documents: DataFrame, percent: int, width: int) -> DataFrame:
                 two.append(ids[1])
                 counts.append(np.bincount((items >> np.uint64(58)).view(np.int64), minlength=GROUPS).astype("<u4").tobytes())
                 few.append(_few_groups(items, percent))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.batch.column("doc_id").cast(pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
-                    pa.array(np.array(two, dtype=np.uint64).view(np.int64)),
-                    pa.array(counts, pa.binary()),
-                    pa.array(few, pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "size", "one", "two", "counts", "few"],
-            )
-
-    schema = "doc_id bigint, size bigint, one bigint, two bigint, counts binary, few array<int>"
+                if len(items) and ids not in seen:
+                    seen.add(ids)
+                    slots += [_counter(_keys(items, c, c < FIRST_CLASS)[0]) for c in size_classes(len(items), percent)]
+            if slots:
+                frequency += np.bincount(np.concatenate(slots), minlength=1 << COUNTER_BITS)
+            columns = [
+                block.batch.column("doc_id").cast(pa.int64()), size, np.array(one, dtype=np.uint64).view(np.int64),
+                np.array(two, dtype=np.uint64).view(np.int64), counts, few, [None] * block.size, [None] * block.size,
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POINT.types)], schema=_POINT)
+        if seen:
+            pieces = [piece.tobytes() for piece in frequency.reshape(-1, COUNTER_ROW)]
+            none = [None] * len(pieces)
+            columns = [none, none, none, none, none, none, range(len(pieces)), pieces]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POINT.types)], schema=_POINT)
+
+    schema = "doc_id bigint, size bigint, one bigint, two bigint, counts binary, few array<int>, row int, frequency binary"
     return map_arrow(documents.select("doc_id", "text"), task, schema)
 
 
-def addresses(documents: DataFrame, percent: int, width: int, single: frozenset[int]) -> DataFrame:
-    """(page, one) for each set, once in a task: copies within a task add no rows."""
+def frequency_levels(pieces: DataFrame) -> np.ndarray:
+    """How frequent the contents of each counter are over all tasks: twice the logarithm of their number, to the base 2.
+
+    The counters are of fixed size, whatever there is to count, and so is what reaches the driver: 8 MB.
+    """
+
+    def added(group: pa.Table) -> pa.Table:
+        total = np.zeros(COUNTER_ROW, dtype="<i8")
+        for piece in group["frequency"].to_pylist():
+            total += np.frombuffer(piece, dtype="<i8")
+        return pa.table({"row": group["row"].slice(0, 1), "frequency": pa.array([total.tobytes()], pa.binary())})
+
+    frequency = np.zeros((1 << COUNTER_BITS) // COUNTER_ROW * COUNTER_ROW, dtype="<i8").reshape(-1, COUNTER_ROW)
+    ship(pieces.sparkSession)
+    for row in pieces.select("row", "frequency").groupBy("row").applyInArrow(added, "row int, frequency binary").collect():
+        frequency[row["row"]] = np.frombuffer(row["frequency"], dtype="<i8")
+    return (2 * np.log2(1 + frequency.reshape(-1))).astype(np.uint8)
+
+
+def addresses(
+    documents: DataFrame, percent: int, width: int, single: frozenset[int], levels: np.ndarray, shared: np.ndarray | None = None
+) -> DataFrame:
+    """(page, one) for each set, once in a task: copies within a task add no rows. With a filter only pages that it lets through."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
+        level = levels.astype(np.uint64)
         for block in blocks(batches):
             pages, ones, sizes = [], [], []
             for items in shingle_sets(block, width):
                 if not len(items) or (ids := _set_ids(items)) in seen:
                     continue
                 seen.add(ids)
-                pages.append(_addresses(items, percent, single))
+                own = _addresses(items, percent, single, level)
+                pages.append(own if shared is None else own[_let_through(shared, own)])
                 ones.append(ids[0])
                 sizes.append(len(pages[-1]))
             if pages:
@@ -171,23 +238,91 @@ def addresses(documents: DataFrame, percent: int, width: int, single: frozenset[
     return map_arrow(documents.filter("doc_id is not null").select("text"), task, "page bigint, one bigint")
 
 
-def _pages(found: DataFrame) -> DataFrame:
-    """(members, n, center, one): pages with several sets; pages with the same members are one."""
-    page = F.expr
-    inside = found.select(
-        "one",
-        page("min(one) over (partition by page)").alias("center"),
-        page("max(one) over (partition by page)").alias("last"),
-        page("count(*) over (partition by page)").alias("n"),
-        page("sum(cast(xxhash64(one) >> 8 as bigint)) over (partition by page)").alias("members"),
-    ).filter("center <> last")
-    return inside.select("members", "n", "center", "one").distinct()
+def _places(pages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte and bit of each page in the filter; pages are hashes."""
+    at = pages & np.uint64((1 << FILTER_BITS) - 1)
+    return (at >> np.uint64(3)).view(np.int64), (np.uint64(1) << (at & np.uint64(7))).astype(np.uint8)
+
+
+def _let_through(shared: np.ndarray, pages: np.ndarray) -> np.ndarray:
+    byte, bit = _places(pages)
+    return (shared[byte] & bit) != 0
+
+
+def shared_filter(pages: DataFrame) -> np.ndarray:
+    """A bit for each page of the frame by its hash: 8 MB, whatever their number.
+
+    Where there are so many pages that most bits are set, more addresses go through that no other set has; none is held back.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+        for batch in batches:
+            byte, bit = _places(batch.column("page").to_numpy().view(np.uint64))
+            np.bitwise_or.at(bits, byte, bit)
+        pieces = bits.reshape(-1, COUNTER_ROW * 8)
+        used = np.flatnonzero(pieces.any(axis=1))
+        if len(used):
+            columns = [pa.array(used, pa.int32()), pa.array([pieces[i].tobytes() for i in used], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "bits"])
+
+    def united(group: pa.Table) -> pa.Table:
+        total = np.zeros(COUNTER_ROW * 8, dtype=np.uint8)
+        for piece in group["bits"].to_pylist():
+            total |= np.frombuffer(piece, dtype=np.uint8)
+        return pa.table({"row": group["row"].slice(0, 1), "bits": pa.array([total.tobytes()], pa.binary())})
+
+    rows = map_arrow(pages.select("page"), task, "row int, bits binary").groupBy("row").applyInArrow(united, "row int, bits binary")
+    out = np.zeros((1 << (FILTER_BITS - 3)) // (COUNTER_ROW * 8) * COUNTER_ROW * 8, dtype=np.uint8).reshape(-1, COUNTER_ROW * 8)
+    for row in rows.collect():
+        out[row["row"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _shared(found: DataFrame) -> DataFrame:
+    """(page, center) of the pages that several sets have. Tasks make these aggregates in part, so a page meets in no task as a whole."""
+    ends = found.groupBy("page").agg(F.min("one").alias("center"), F.max("one").alias("last"))
+    return ends.filter("center <> last").select("page", "center")
+
+
+def _pages(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """(members, n, center, one): pages with several sets; pages with the same members are one.
+
+    ``found`` are the addresses that the filter of the shared pages lets through. A page is known by aggregates, and its rows find it by
+    a join that adaptive execution can split.
+    """
+    rows = written(found.join(shared, "page"), "addressed")
+    low, high = F.col("h").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("h", 32)
+    known = rows.withColumn("h", F.xxhash64("one")).groupBy("page").agg(
+        F.count("*").alias("n"), F.sum(low).alias("x"), F.sum(high).alias("y")
+    )
+    known = known.select("page", F.xxhash64("x", "y").alias("members"), "n")
+    return rows.join(known, "page").select("members", "n", "center", "one").distinct()
 
 
 def _counts(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
 
 
+def _fine(items: np.ndarray) -> bytes:
+    """The counts of the finer groups, in as few bytes as the largest needs."""
+    counts = np.bincount((items >> np.uint64(54)).view(np.int64), minlength=FINE)
+    return counts.astype("<u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _fine_counts(column: pa.Array) -> np.ndarray:
+    out = np.empty((len(column), FINE), dtype=np.int32)
+    for i, raw in enumerate(column.to_pylist()):
+        out[i] = np.frombuffer(raw, dtype=f"<u{len(raw) // FINE}")
+    return out
+
+
+def _bounds(fine: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The sum of coordinate minima of each pair of rows."""
+    steps = [slice(i, i + 2048) for i in range(0, len(q), 2048)]
+    return np.concatenate([np.empty(0, np.int64), *(np.minimum(fine[q[s]], fine[p[s]]).sum(axis=1) for s in steps)])
+
+
 def _reachable(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of points whose coordinate minima sum to the overlap needed."""
 
@@ -250,12 +385,16 @@ def _tree_pairs(cells: DataFrame, percent: int, best_only: bool) -> DataFrame:
     def join(cell: pa.Table) -> pa.RecordBatch:
         rep, comp = cell["rep"].to_numpy(), cell["comp"].to_numpy()
         sizes, block = cell["size"].to_numpy(), cell["block"].to_numpy()
-        counts = _counts(cell["counts"].combine_chunks())
+        fine = _fine_counts(cell["fine"].combine_chunks())
+        counts = fine.reshape(len(fine), GROUPS, -1).sum(axis=2)
         i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         q, p, bound = Tree(counts[right], sizes[right]).search(counts[left], sizes[left], percent)
         q, p = left[q], right[p]
         good = (comp[q] != comp[p]) & ((rep[q] < rep[p]) | (i != j))
+        q, p = q[good], p[good]
+        bound = _bounds(fine, q, p)
+        good = bound >= least_overlap(sizes[q], sizes[p], percent)
         q, p, bound = q[good], p[good], bound[good]
         if best_only and len(q):
             share = bound / least_overlap(sizes[q], sizes[p], percent)
@@ -287,23 +426,32 @@ def _tree_pairs(cells: DataFrame, percent: int, best_only: bool) -> DataFrame:
     return map_arrow(cells.repartition(*keys).sortWithinPartitions(*keys), task, _EDGE).distinct()
 
 
-def _cells(pages: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
-    """Rows of the pages that hold several components, dealt to pairs of blocks."""
-    state = classes.select("one", "rep").join(component, F.col("rep") == F.col("node"), "left")
-    state = state.select("one", F.coalesce("component", "rep").alias("comp"))
+def _open_pages(pages: DataFrame, state: DataFrame) -> DataFrame:
+    """(members, n) of the pages that hold several components."""
     marked = pages.select("members", "n", "one").join(state, "one")
-    open_ = marked.groupBy("members", "n").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-    rows = pages.select("members", "n", "one").join(open_.select("members", "n"), ["members", "n"], "left_semi")
-    rows = rows.join(classes.select("one", "rep", "size", "counts"), "one").join(state, "one")
+    return marked.groupBy("members", "n").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("members", "n")
+
+
+def _cells(pages: DataFrame, open_: DataFrame, sets: DataFrame, classes: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows of the open pages, dealt to pairs of blocks."""
+    rows = pages.select("members", "n", "one").join(open_, ["members", "n"], "left_semi")
+    known = classes.select("one", "rep", "size").join(state, "one").join(sets.select("rep", "fine"), "rep")
+    rows = rows.join(known, "one")
     blocks_ = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("one"), blocks_).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
     return rows.select(
         "members", "n", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "rep", "comp", "size", "counts",
+        "block", "rep", "comp", "size", "fine",
     )
 
 
+def _components_of(classes: DataFrame, component: DataFrame) -> DataFrame:
+    """(one, comp) of every set."""
+    state = classes.select("one", "rep").join(component, F.col("rep") == F.col("node"), "left")
+    return state.select("one", F.coalesce("component", "rep").alias("comp"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by the intersection of their sets.
 
@@ -317,7 +465,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """rep, items: the shingle hashes of the documents named."""
+    """rep, items, fine: the shingle hashes of the documents named, and the counts of their finer groups."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -325,12 +473,16 @@ def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int32)
             values = np.concatenate(items).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [block.batch.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
-                names=["rep", "items"],
+                [
+                    block.batch.column("doc_id").cast(pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
+                    pa.array([_fine(x) for x in items], pa.binary()),
+                ],
+                names=["rep", "items", "fine"],
             )
 
     chosen = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
-    return map_arrow(chosen, task, "rep bigint, items array<bigint>").filter(F.size("items") > 0)
+    return map_arrow(chosen, task, "rep bigint, items array<bigint>, fine binary").filter(F.size("items") > 0)
 
 
 def _one_document(named: DataFrame, classes: DataFrame) -> DataFrame:
@@ -348,13 +500,17 @@ def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     Documents link where ``100 * |intersection| >= percent * |union|`` of their sets of
     ``width``-word shingles; component_id is the smallest doc_id that links reach.
     """
-    found = written(points(documents, percent, width), "points")
+    made = written(points(documents, percent, width), "points")
+    found, pieces = made.filter("row is null"), made.filter("row is not null")
     named = found.filter("size > 0 and doc_id is not null")
     classes = written(
         named.groupBy("one", "two", "size").agg(F.min("doc_id").alias("rep"), F.min("counts").alias("counts")), "classes"
     )
     single = frozenset(r[0] for r in found.select(F.explode("few")).distinct().collect())
-    pages = written(_pages(addresses(documents, percent, width, single)), "pages")
+    levels = frequency_levels(pieces)
+    shared = written(_shared(addresses(documents, percent, width, single, levels)), "shared")
+    again = addresses(documents, percent, width, single, levels, shared_filter(shared))
+    pages = written(_pages(again, shared), "pages")
 
     near = classes.join(pages.select("one").distinct(), "one", "left_semi")
     sets = written(_sets(documents, near.select("rep").distinct(), width), "sets")
@@ -369,9 +525,11 @@ def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     edges = written(_verified(_reachable(stars, percent), sets, percent).unionByName(_one_document(named, classes)), "edges")
     component = written(components(edges), "component")
     for best_only in (True, False):
-        cells = written(_cells(pages, classes, component), "cells")
-        if cells.isEmpty():
+        state = _components_of(classes, component)
+        open_ = written(_open_pages(pages, state), "open")
+        if open_.isEmpty():
             break
+        cells = _cells(pages, open_, sets, classes, state)
         more = _verified(_tree_pairs(cells, percent, best_only), sets, percent)
         edges = written(edges.unionByName(more), "edges")
         component = written(components(edges), "component")
