@@ -31,6 +31,8 @@ _ZONE = r"(?:\s*(?:Z|UTC|GMT)|\s*(?:UTC|GMT)?([+-])(\d{1,2})(?::?(\d{2}))?)$"
 #: A zone by name, which the text alone does not turn into an offset.
 _NAMED = r":\d{1,2}(?:\.\d*)?\s*\[?[A-Za-z]"
 _DATE_FIRST = r"^\s*[+-]?\d{4,6}-\d"
+#: Text whose cast is the answer: date and time, in UTC by ``Z`` or by default.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?Z?\z"
 
 
 def parse_utc(text: Column) -> Column:
@@ -38,7 +40,7 @@ def parse_utc(text: Column) -> Column:
 
     The offset is taken from the text, so the session zone plays no part. Text
     without one is UTC already. ``Z``, ``UTC`` and ``GMT`` are offsets; other names, as ``PST`` or ``Europe/Paris``,
-    would be dropped by the cast and are refused.
+    would be dropped by the cast and are refused. Plain text takes one match and one cast; only other text is taken apart.
     """
     timed = text.rlike(_DATE_FIRST) & text.rlike(r"\d:")  # a bare date ends in what looks like an offset
     local = F.when(timed, F.regexp_replace(text, _ZONE, "")).when(text.rlike(_DATE_FIRST), text)
@@ -47,7 +49,8 @@ def parse_utc(text: Column) -> Column:
     minutes = F.coalesce(F.regexp_extract(text, _ZONE, 3).try_cast("int"), F.lit(0))
     offset = F.make_dt_interval(hours=hours, mins=minutes)
     parsed = F.when(~local.rlike(_NAMED), local).try_cast("timestamp_ntz")
-    return F.when(sign == "+", parsed - offset).when(sign == "-", parsed + offset).otherwise(parsed)
+    other = F.when(sign == "+", parsed - offset).when(sign == "-", parsed + offset).otherwise(parsed)
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp_ntz")).otherwise(other)
 
 
 # date_trunc would go through TIMESTAMP and so through the session zone, which

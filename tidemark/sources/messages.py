@@ -33,10 +33,12 @@ def _decoded(values: DataFrame) -> DataFrame:
     # one parse per message; a generator also keeps filters on its output from
     # being rewritten into further parses
     fields = values.select("value", F.json_tuple("value", "user_id", "ts", "event_type").alias("user", "ts", "type"))
-    return fields.select(
+    # nor is the time worked out anew for each filter and function of it
+    timed = fields.select("value", "user", "type", F.inline(F.array(F.struct(trunc_millis(parse_utc(F.col("ts"))).alias("timestamp")))))
+    return timed.select(
         "value",
         F.col("user").try_cast("int").alias("user_id"),
-        trunc_millis(parse_utc(F.col("ts"))).alias("timestamp"),
+        "timestamp",
         F.col("type").alias("event_type"),
     )
 
