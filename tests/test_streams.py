@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from helpers import content
+from helpers import content, session_conf
 from tidemark.operators.rollups import merge_counts, merge_day, rollup_minute
 from tidemark.plans.copies import backfill
 from tidemark.schemas import DAY_KEYS, DAY_MEMBER, DAY_PARTIAL, MINUTE_KEYS, MINUTE_PARTIAL
@@ -16,6 +16,7 @@ from tidemark.sinks.state import RollupState
 from tidemark.sources.messages import decode_messages, file_messages
 from tidemark.streaming.ingest import ingest, ingest_all, store_rejects
 from tidemark.streaming.rollups import day_writer, maintain, minute_writer
+from workload import adapters
 
 D = dt.datetime
 
@@ -139,3 +140,19 @@ def test_events_and_rejects_from_one_stream(spark, tmp_path):
         ingest_all(file_messages(spark, str(folder)), good, bad, checkpoint).awaitTermination()
     assert content(spark.read.parquet(good), "timestamp") == [(D(2024, 1, 1, 0, m),) for m in (1, 2)]
     assert content(spark.read.text(bad), "value") == [("garbage",)]
+
+
+def test_input_files_follow_bytes_not_tasks(spark, tmp_path):
+    """Many input tasks make no more and smaller files, so a stream has no more batches."""
+    rows = spark.range(0, 4000, 1, 40).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "1.0D AS value", "concat('{\"k\": ', id % 9, '}') AS props",
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    with session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64m", spark__sql__files__openCostInBytes="64m"):
+        assert len(spark.read.parquet(str(tmp_path / "events.parquet")).inputFiles()) == 40
+        files = spark.read.text(adapters.message_files(spark, str(tmp_path))).inputFiles()
+        assert len(files) == 4
+        stored = adapters.serving_files(spark, str(tmp_path))
+        assert len(spark.read.parquet(f"{stored}/historic").inputFiles()) == 4
+    assert spark.read.parquet(f"{stored}/historic").count() == 4000

@@ -302,7 +302,8 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
     def build() -> str:
         path = scratch_dir(spark, "messages")
-        message_rows(spark, sf_dir).write.partitionBy("lane").text(path)
+        # files by size: as many as the input tasks, each batch of a stream would be the smaller the more tasks there are
+        message_rows(spark, sf_dir).hint("rebalance", "lane").write.partitionBy("lane").text(path)
         return path
 
     return _once(spark, sf_dir, "messages", build)
