@@ -319,7 +319,7 @@ def serving_files(spark: SparkSession, sf_dir: str) -> str:
 
     def build() -> str:
         path = scratch_dir(spark, "serving_files")
-        rows = serving_rows(spark, sf_dir).withColumn("lane", F.pmod(F.hash("created_at"), F.lit(4)))
+        rows = serving_rows(spark, sf_dir).withColumn("lane", F.pmod(F.hash("created_at"), F.lit(4))).hint("rebalance", "lane")
         rows.filter(F.col("created_at") <= ntz(HISTORIC_UNTIL)).write.partitionBy("lane").parquet(f"{path}/historic")
         rows.filter(F.col("created_at") > ntz(RECENT_AFTER)).write.partitionBy("lane").parquet(f"{path}/recent")
         return path
