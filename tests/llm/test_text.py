@@ -6,7 +6,9 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from helpers import session_conf
 from tidemark.llm import frames
 from tidemark.llm.text import Block, blocks, found_twice, lines, repeats_earlier, words  # noqa: F401
 
@@ -81,3 +83,17 @@ def test_smallest_per_group_is_exact(spark):
     got = {(r.g, r.o) for r in frames.smallest_per_group(frame, "g", "o", 4).collect()}
     want = {(g, o) for g in "abc" for o in sorted(o for _, h, o in rows if h == g)[:4]}
     assert got == want
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Long texts come in several batches, unless the session says otherwise."""
+    rows = spark.range(0, 300, 1, 1).select("id", F.expr("repeat('word ', 20000)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    got = [r["bytes"] for r in frames.map_arrow(rows, sizes, "bytes bigint").collect()]
+    assert sum(got) > 300 * 100_000 and max(got) < 2 * frames.BATCH_BYTES
+    with session_conf(spark, spark__sql__execution__arrow__maxBytesPerBatch="1g"):
+        assert len(frames.map_arrow(rows, sizes, "bytes bigint").collect()) == 1
