@@ -481,3 +481,75 @@ def test_other_session_zones_change_nothing(spark, tmp_path):
         assert load_hour(table, str(landing), "2024-03-10", 2).slice.hours == [D(2024, 3, 10, 2)]
         assert content(table.hour_counts("2024-03-10", "2024-03-11"), "hour", "rows") == [(D(2024, 3, 10, 2), 1), (D(2024, 3, 10, 3), 1)]
         assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+
+
+def _land_scattered(folder, minute=0):
+    """Two archives of one day, with a row in each hour of that day; one also has rows of the day before."""
+    for hour in (7, 20):
+        before = [event(f"2024-03-04T{h:02d}:{minute:02d}:00Z") for h in range(7, 24)] if hour == 7 else []
+        write_archive(folder, f"2024-03-05-{hour}", [event(f"2024-03-05T{h:02d}:{minute:02d}:00Z") for h in range(24)] + before)
+
+
+def test_distant_rows_of_an_archive_share_a_partition_of_their_date(spark, tmp_path):
+    """However many hours they lie in; counts, ranges and gaps stay those of the rows."""
+    landing = tmp_path / "landing"
+    _land_scattered(landing)
+    table = lake(spark, tmp_path)
+    report = load_day(table, str(landing), DAY)
+    assert len(table.partition_values()) == 5  # both hours, the rest of the day by archive, the day before
+    hours = [D(2024, 3, 4, 7) + dt.timedelta(hours=k) for k in range(41)]
+    assert (report.slice.written, report.slice.hours, report.slice.emptied) == (65, hours, [])
+    assert table.loaded_hours("2024-03-04 12:00:00", "2024-03-05 02:00:00") == set(hours[5:19])
+    assert content(table.hour_counts("2024-03-04 22:00:00", f"{DAY} 02:00:00"), "hour", "rows") == [
+        (D(2024, 3, 4, 22), 1), (D(2024, 3, 4, 23), 1), (D(2024, 3, 5, 0), 2), (D(2024, 3, 5, 1), 2)
+    ]
+    for low, high in ((5, 9), (0, 24), (20, 21), (23, 24)):
+        start = D(2024, 3, 5) + dt.timedelta(hours=low)
+        assert time_slice(table.read(), start, start + dt.timedelta(hours=high - low)).count() == 2 * (high - low)
+    assert missing_hours(table.read()).isEmpty()
+    assert set(content(table.archive_counts([D(2024, 3, 5, 7), D(2024, 3, 5, 20)]), "hour", "rows")) == {(D(2024, 3, 5, 7), 41), (D(2024, 3, 5, 20), 24)}
+    # hours whose rows went are reported, also of a partition that keeps others
+    write_archive(landing, "2024-03-05-7", [event(f"{DAY}T07:00:00Z"), event(f"{DAY}T09:00:00Z")])
+    report = load_hour(table, str(landing), DAY, 7).slice
+    assert (report.written, report.hours) == (2, [D(2024, 3, 5, 7), D(2024, 3, 5, 9)])
+    assert report.emptied == [hour for hour in hours if hour not in report.hours]
+    assert table.read().count() == 26 and len(table.partition_values()) == 4
+
+
+def test_a_slice_keeps_distant_rows_outside_of_it(spark, tmp_path):
+    landing = tmp_path / "landing"
+    _land_scattered(landing)
+    table = lake(spark, tmp_path)
+    load_day(table, str(landing), DAY)
+    before = set(content(table.read(), "created_at", "archive", "id"))
+    new = rows(spark, ("x", f"{DAY} 07:30:00", "T"), ("out", f"{DAY} 09:00:00", "T"))
+    for _ in range(2):
+        report = table.replace_slice(new, f"{DAY} 07:00:00", f"{DAY} 09:00:00")
+        assert (report.written, report.outside, report.hours) == (1, 1, [D(2024, 3, 5, 7)])
+        kept = {row for row in before if not D(2024, 3, 5, 7) <= row[0] < D(2024, 3, 5, 9)}
+        assert set(content(table.read(), "created_at", "archive", "id")) == kept | {(D(2024, 3, 5, 7, 30), "2024-03-05-07", "x")}
+        assert table.read().count() == 62
+    # whole days go without a trace; what is distant in the new rows is put where loads put it
+    far = rows(spark, ("y", f"{DAY} 03:00:00", "T")).withColumn("archive_hour", ntz(f"{DAY} 20:00:00"))
+    report = table.replace_slice(far, DAY, "2024-03-06")
+    assert (report.written, report.hours, len(report.emptied)) == (1, [D(2024, 3, 5, 3)], 22)
+    assert table.read().count() == 18
+    table.replace_slice(far.limit(0), "2024-03-04 07:00:00", "2024-03-05 23:00:00")
+    assert table.read().isEmpty() and table.partition_values() == []
+
+
+def test_slices_that_share_a_partition_of_distant_rows_at_the_same_time(spark, tmp_path):
+    landing = tmp_path / "landing"
+    _land_scattered(landing)
+    table = lake(spark, tmp_path)
+    load_day(table, str(landing), DAY)
+
+    def replace(hour):
+        new = rows(spark, (f"new-{hour}", f"{DAY} {hour:02d}:30:00", "T"))
+        start = D.fromisoformat(DAY) + dt.timedelta(hours=hour)
+        return table.replace_slice(new, start, start + dt.timedelta(hours=1)).written
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(replace, range(4, 8))) == [1] * 4
+    counts = content(table.hour_counts(DAY, "2024-03-06"), "hour", "rows")
+    assert [n for _, n in sorted(counts)] == [2] * 4 + [1] * 4 + [2] * 16

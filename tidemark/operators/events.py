@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, moment, ntz, trunc_millis, within
 
+#: The ``event_hour`` of lake rows outside the hour of their archive. Those of an archive and date share one partition,
+#: so an archive has few partitions however many hours its rows are spread over.
+DISTANT = -1
+
 
 def project_serving(lake: DataFrame) -> DataFrame:
     """The five serving columns of lake rows, event time cut to milliseconds.
@@ -34,6 +38,7 @@ def default_empty(serving: DataFrame) -> DataFrame:
 def partition_bounds(events: DataFrame, lower: Moment | None, upper: Moment | None, open_end: bool = True) -> list[Column]:
     """The bounds on event_date and event_hour implied by a time range, where the table is partitioned by them.
 
+    Distant rows of the first and last date may lie in the range whatever its hours.
     ``open_end`` excludes ``upper`` itself; a range that ends at midnight then opens no
     folder of the next day.
     """
@@ -45,7 +50,7 @@ def partition_bounds(events: DataFrame, lower: Moment | None, upper: Moment | No
         low = moment(lower)
         bounds.append(date >= F.lit(low.date()))
         if hour is not None and low.hour:
-            bounds.append((date > F.lit(low.date())) | (hour >= low.hour))
+            bounds.append((date > F.lit(low.date())) | (hour >= low.hour) | (hour == DISTANT))
     if upper is not None:
         high = moment(upper) - dt.timedelta(microseconds=1 if open_end else 0)
         bounds.append(date <= F.lit(high.date()))

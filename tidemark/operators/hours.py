@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import Moment, ntz, start_of_hour
+from tidemark.operators.events import DISTANT
 from tidemark.sources.archive import ARCHIVE_NAME
 
 
@@ -26,12 +27,14 @@ def pending_hours_range(bounds: DataFrame) -> DataFrame:
     return bounds.select(_hours(start_of_hour(F.col("start")), start_of_hour(F.col("end"))))
 
 
-def _hour_of(events: DataFrame) -> Column:
-    """The hour of a row; a lake table answers from its partition columns, without reading any other."""
-    if {"event_date", "event_hour"} <= set(events.columns):
-        midnight = F.col("event_date").cast("timestamp_ntz")
-        return midnight + F.make_dt_interval(hours=F.col("event_hour"))
-    return start_of_hour(F.col("created_at"))
+def row_hours(events: DataFrame) -> DataFrame:
+    """The ``hour`` of each row; a lake table answers from its partition columns, and reads only the times of distant rows."""
+    read = start_of_hour(F.col("created_at")).alias("hour")
+    if not {"event_date", "event_hour"} <= set(events.columns):
+        return events.select(read)
+    midnight = F.col("event_date").cast("timestamp_ntz")
+    own = events.filter(F.col("event_hour") != DISTANT).select((midnight + F.make_dt_interval(hours=F.col("event_hour"))).alias("hour"))
+    return own.unionByName(events.filter(F.col("event_hour") == DISTANT).select(read))
 
 
 def missing_hours(events: DataFrame) -> DataFrame:
@@ -40,7 +43,7 @@ def missing_hours(events: DataFrame) -> DataFrame:
     Events shrink to their distinct hours, and these are taken out of the calendar between the first and the last by
     an anti join; no hour needs its neighbours.
     """
-    loaded = events.select(_hour_of(events).alias("hour")).filter("hour IS NOT NULL").distinct()
+    loaded = row_hours(events).filter("hour IS NOT NULL").distinct()
     bounds = loaded.agg(F.min("hour").alias("start"), F.max("hour").alias("end"))
     return unloaded_hours(pending_hours_range(bounds), loaded)
 

@@ -1,8 +1,9 @@
 """Partitioned catalog tables with repeatable slice replacement.
 
-The lake is partitioned by date and hour of the event and by the archive that the row came from. An
+The lake is partitioned by date and hour of the event and by the archive that the row came from. Rows outside
+the hour of their archive, distant ones, share a partition of their date and archive, whatever their hours. An
 archive is the unit in which rows arrive and are replaced: replacing one writes its
-partitions and reads nothing back, wherever in time its rows lie, and leaves the rows
+partitions, wherever in time its rows lie, reads back no more than the times of its distant rows, for the report, and leaves the rows
 of other archives alone. No event type can leave stale rows behind, and a busy type does not become
 one busy partition. Rows are sorted by type inside each file, so a type filter
 still skips row groups. The serving table is partitioned by date and by the run that copied the rows, so that
@@ -16,6 +17,7 @@ tables, and as a session setting it could change under a parallel job.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
-from tidemark.functions.time import Moment, moment, within
-from tidemark.operators.events import partition_bounds, time_slice
+from tidemark.functions.time import Moment, moment, start_of_hour, within
+from tidemark.operators.events import DISTANT, partition_bounds, time_slice
+from tidemark.operators.hours import row_hours
 from tidemark.operators.retention import retention_floor
 from tidemark.schemas import LAKE, SERVING
 from tidemark.session import path_exists, remove_paths
@@ -37,6 +40,9 @@ from tidemark.sinks.ledger import LoadLedger
 # The name Spark gives to the partition of rows whose key is NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+# Slices that share a partition of distant rows are replaced one after the other.
+_REWRITING = threading.Lock()
+
 
 @dataclass(frozen=True)
 class SliceReport:
@@ -162,10 +168,11 @@ class LakeTable(PartitionedTable):
         wider = StructType([*self.schema, StructField("archive_hour", TimestampNTZType())])
         expressions = {name: F.expr(expression) for name, (_, expression) in self.partitions.items()}
         expressions["archive"] = F.expr(_archive_of("archive_hour"))
+        distant = F.expr("to_date(created_at) <> to_date(archive_hour) OR hour(created_at) <> hour(archive_hour)")
+        expressions["event_hour"] = F.when(distant, F.lit(DISTANT)).otherwise(expressions["event_hour"])
         return rows.to(wider).withColumns(expressions).drop("archive_hour")
 
     def _placed(self, rows: DataFrame, by_hour: bool = False) -> DataFrame:
-        rows = self._partitioned(rows)
         # rebalance lets adaptive execution split a busy hour over several
         # tasks and join quiet ones, whatever the shuffle partition count is
         return rows if by_hour else rows.hint("rebalance", *self.partitions)
@@ -174,7 +181,7 @@ class LakeTable(PartitionedTable):
         return rows.sortWithinPartitions(*self.partitions, "type", "created_at")
 
     def append(self, rows: DataFrame) -> None:
-        self._sorted(self._placed(rows)).write.insertInto(self.name)
+        self._sorted(self._placed(self._partitioned(rows))).write.insertInto(self.name)
 
     def _check_overwrite_mode(self) -> None:
         """A table made elsewhere may lack the option; overwriting would then empty all of it."""
@@ -190,7 +197,7 @@ class LakeTable(PartitionedTable):
         last = end - dt.timedelta(hours=1)
         one_day = {"event_date": start.date().isoformat()} if start.date() == last.date() else {}
         parts = [p for p in self.partition_values(**one_day) if p["event_date"] != NULL_PARTITION]
-        return [p for p in parts if start <= _hour_of(p) < end]
+        return [p for p in parts if start < _span_of(p)[1] and _span_of(p)[0] < end]
 
     def _archive_parts(self, archives: Collection[dt.datetime]) -> list[dict[str, str]]:
         """The partitions that rows of these archives are in."""
@@ -200,39 +207,73 @@ class LakeTable(PartitionedTable):
         return [part for part in self.partition_values() if part["archive"] in keys]
 
     def loaded_hours(self, start: Moment, end: Moment) -> set[dt.datetime]:
-        """Hours of [start, end) for which a partition exists."""
-        return {_hour_of(part) for part in self._parts(start, end)}
-
-    def _replace(self, rows: DataFrame, keep: Column, stale: list[dict[str, str]], by_hour: bool) -> SliceReport:
-        """Overwrite the partitions that the kept rows fall into, then drop the stale ones that got none."""
+        """Hours of [start, end) that hold rows, from partitions but for distant rows."""
+        return _hours_of(self._parts(start, end), time_slice(self.read(), start, end))
+
+    def _replace(
+        self,
+        rows: DataFrame,
+        keep: Column,
+        stale: list[dict[str, str]],
+        old: DataFrame,
+        by_hour: bool,
+        left: DataFrame | None = None,
+    ) -> SliceReport:
+        """Overwrite the partitions that the kept rows fall into, then drop the stale ones that got none.
+
+        ``old`` are the rows to replace, all in the stale partitions. ``left`` are other rows of these
+        partitions, which are written again; ``keep`` fails for them.
+        """
         self._check_overwrite_mode()
         keep = F.coalesce(keep, F.lit(False))
+        before = _hours_of(stale, old)
         read, wrote = Observation(), Observation()
-        counted = rows.observe(read, F.count_if(~keep).alias("outside")).filter(keep)
+        placed = self._partitioned(rows.observe(read, F.count_if(~keep).alias("outside")).filter(keep))
+        new = F.lit(True)
+        if left is not None:
+            placed, new = placed.unionByName(left), keep
         # a part is a folder that the catalog then holds, so the driver sees no more of them than there are partitions
-        part = F.struct(*(F.col(name).cast("string").alias(name) for name in self.partitions))
-        placed = self._placed(counted, by_hour).observe(wrote, F.count("*").alias("rows"), F.collect_set(part).alias("parts"))
-        self._sorted(placed).write.mode("overwrite").insertInto(self.name)
-        written = _observed(wrote, rows, rows=0, parts=[])
-        parts = [row.asDict() for row in written["parts"]]
-        emptied = [part for part in stale if part not in parts]
-        self.drop_partitions(emptied)
-        filled = {_hour_of(part) for part in parts}
-        return SliceReport(
-            written["rows"], _observed(read, rows, outside=0)["outside"], sorted(filled), sorted({_hour_of(part) for part in emptied} - filled)
+        part = F.struct(*self.partitions)
+        far = F.when(new & (F.col("event_hour") == DISTANT), start_of_hour(F.col("created_at")))
+        placed = self._placed(placed, by_hour).observe(
+            wrote, F.count_if(new).alias("rows"), F.collect_set(part).alias("parts"), F.collect_set(far).alias("far")
         )
+        self._sorted(placed).write.mode("overwrite").insertInto(self.name)
+        written = _observed(wrote, rows, rows=0, parts=[], far=[])
+        parts = [{k: NULL_PARTITION if v is None else str(v) for k, v in row.asDict().items()} for row in written["parts"]]
+        self.drop_partitions([part for part in stale if part not in parts])
+        filled = {_span_of(part)[0] for part in parts if not _is_distant(part)}.union(written["far"])
+        return SliceReport(written["rows"], _observed(read, rows, outside=0)["outside"], sorted(filled), sorted(before - filled))
 
     def replace_slice(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
         """Make ``rows`` the whole content of [start, end), in one pass over them.
 
         Both bounds are full hours. Rows outside the slice are counted and left
         out. Old rows stay in place until the new ones are complete; running the
-        call again, also after a failure half-way, gives the same table.
+        call again, also after a failure half-way, gives the same table. Partitions of distant rows that are
+        partly in the slice are written again with what lies outside of it; such slices of one driver wait
+        for each other, and no load or other driver may change rows of these dates meanwhile.
         """
         start, end = moment(start), moment(end)
         if any(bound != bound.replace(minute=0, second=0, microsecond=0) for bound in (start, end)):
             raise ValueError("a slice starts and ends on a full hour")
-        return self._replace(rows, within(F.col("created_at"), start, end), self._parts(start, end), by_hour=False)
+        if not self._torn_dates(self._parts(start, end), start, end):
+            return self._replace_slice(rows, start, end)
+        with _REWRITING:
+            return self._replace_slice(rows, start, end)
+
+    def _torn_dates(self, parts: list[dict[str, str]], start: dt.datetime, end: dt.datetime) -> list[str]:
+        """Dates with distant rows of which the slice is only a part."""
+        spans = {part["event_date"]: _span_of(part) for part in parts if _is_distant(part)}
+        return [date for date, (first, stop) in spans.items() if first < start or end < stop]
+
+    def _replace_slice(self, rows: DataFrame, start: dt.datetime, end: dt.datetime) -> SliceReport:
+        inside, parts = within(F.col("created_at"), start, end), self._parts(start, end)
+        left = None
+        if torn := self._torn_dates(parts, start, end):
+            dates = F.col("event_date").isin([dt.date.fromisoformat(date) for date in torn])
+            left = self.read().filter(dates & (F.col("event_hour") == DISTANT)).filter(~inside)
+        return self._replace(rows, inside, parts, time_slice(self.read(), start, end), by_hour=False, left=left)
 
     def replace_archives(self, rows: DataFrame, archives: Collection[dt.datetime], keep: Column) -> SliceReport:
         """Make ``rows`` all that the table holds of some archives, wherever in time the rows lie.
@@ -241,7 +282,7 @@ class LakeTable(PartitionedTable):
         are written without a shuffle. Those for which ``keep`` fails are counted and left out. Like
         :meth:`replace_slice` it may be repeated.
         """
-        return self._replace(rows, keep, self._archive_parts(archives), by_hour=True)
+        return self._replace(rows, keep, self._archive_parts(archives), self._of_archives(archives), by_hour=True)
 
     def replace_from_table(self, rows: DataFrame, start: Moment, end: Moment) -> SliceReport:
         """:meth:`replace_slice` from a stored table: the slice reaches its scan, so only that is read."""
@@ -251,19 +292,22 @@ class LakeTable(PartitionedTable):
         """The record of the archives loaded into this table, kept beside it."""
         return LoadLedger(self.spark, f"{self._described()['Location'].rstrip('/')}_ledger")
 
+    def _of_archives(self, archives: Collection[dt.datetime]) -> DataFrame:
+        return self.read().filter(F.col("archive").isin([archive_key(hour) for hour in archives]))
+
     def archive_counts(self, archives: Collection[dt.datetime]) -> DataFrame:
         """``hour, rows`` that the table holds of each archive, from row counts of files; no column is read."""
         name = F.col("archive")
         date, hour = F.substring(name, 1, 10), F.substring(name, 12, 2)
-        rows = self.read().filter(name.isin([archive_key(h) for h in archives]))
+        rows = self._of_archives(archives)
         own = date.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=hour.cast("int"))
         return rows.groupBy(own.alias("hour")).agg(F.count("*").alias("rows"))
 
     def hour_counts(self, start: Moment, end: Moment) -> DataFrame:
-        """``hour, rows`` of the slice, from partition columns and row counts of files; no column is read."""
+        """``hour, rows`` of the slice, from partition columns and row counts of files; of distant rows the time is read."""
         rows = self.read().filter(reduce(and_, partition_bounds(self.read(), start, end)))
-        hour = F.col("event_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("event_hour"))
-        return rows.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
+        inside = (F.col("event_hour") != DISTANT) | within(F.col("created_at"), start, end)
+        return row_hours(rows.filter(inside)).groupBy("hour").agg(F.count("*").alias("rows"))
 
 
 def _observed(observation: Observation, frame: DataFrame, /, **nothing) -> dict:
@@ -276,8 +320,26 @@ def _observed(observation: Observation, frame: DataFrame, /, **nothing) -> dict:
         raise
 
 
-def _hour_of(part: dict[str, str]) -> dt.datetime:
-    return dt.datetime.fromisoformat(part["event_date"]) + dt.timedelta(hours=int(part["event_hour"]))
+def _is_distant(part: dict[str, str]) -> bool:
+    return part["event_hour"] == str(DISTANT)
+
+
+def _span_of(part: dict[str, str]) -> tuple[dt.datetime, dt.datetime]:
+    """The hour that a partition is of, or the day if it is of distant rows."""
+    first = dt.datetime.fromisoformat(part["event_date"])
+    if _is_distant(part):
+        return first, first + dt.timedelta(days=1)
+    first += dt.timedelta(hours=int(part["event_hour"]))
+    return first, first + dt.timedelta(hours=1)
+
+
+def _hours_of(parts: list[dict[str, str]], rows: DataFrame) -> set[dt.datetime]:
+    """The hours of some partitions; those of distant rows from ``rows``, which hold all rows of the partitions that count."""
+    hours = {_span_of(part)[0] for part in parts if not _is_distant(part)}
+    if all(not _is_distant(part) for part in parts):
+        return hours
+    found = row_hours(rows.filter(F.col("event_hour") == DISTANT)).distinct().collect()
+    return hours.union(row["hour"] for row in found)
 
 
 class ServingTable(PartitionedTable):

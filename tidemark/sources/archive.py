@@ -62,7 +62,8 @@ def archive_paths(landing: str, hours: Sequence[dt.datetime], name: str = ARCHIV
 
 
 def _archive_hour(path: Column) -> Column:
-    date, hour = (F.regexp_extract(path, _STEM_PATTERN, i) for i in (1, 2))
+    name = F.regexp_extract(path, _STEM_PATTERN, 0)  # one match for each row
+    date, hour = F.substring(name, 1, 10), F.substring_index(F.substring(name, 12, 3), ".", 1)
     return F.concat(date, F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":00:00")).try_cast("timestamp_ntz")
 
 
