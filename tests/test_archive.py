@@ -13,6 +13,7 @@ from helpers import content, event, write_archive
 from tidemark.schemas import LAKE
 from tidemark.functions.payload import derive_columns, derive_from_variant, with_variant
 from tidemark.sources.archive import archive_glob, archive_stems, conform_to_lake, read_archive, typed_events
+from workload.adapters import archive_lines
 
 HOUR = "2024-03-05-7"
 
@@ -133,3 +134,17 @@ def test_fields_from_a_parsed_payload_equal_those_from_text(spark):
     from_text = content(derive_columns(rows), *columns)
     assert content(derive_from_variant(with_variant(rows)), *columns) == from_text
     assert with_variant(rows).filter("payload_variant IS NULL").select("payload").distinct().count() == 2
+
+
+def test_lines_of_archives_are_built_after_the_shuffle(spark):
+    """An input of one task must not build all lines alone, and rows are shorter than lines."""
+    stamps = ("2024-03-05 07:10:00", "2024-03-05 23:59:59", None)
+    events = spark.createDataFrame([(97 * i, s, 5, "click", '{"k": 3}') for i, s in enumerate(stamps)], "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, props STRING")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    plan = archive_lines(events)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "get_json_object" in above and "get_json_object" not in below
+    found = {archive: json.loads(line) for line, archive in archive_lines(events).collect() if archive}
+    assert {archive: row["id"] for archive, row in found.items()} == {"2024-03-05-7.json.gz": "0", "2024-03-05-23.json.gz": "97"}
+    distant = archive_lines(events, distant=True).select("archive").collect()
+    assert sorted(row["archive"] or "" for row in distant) == ["", "2024-03-04-7.json.gz", "2024-03-06-23.json.gz"]

@@ -70,8 +70,8 @@ def _unset_if(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def _lake_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive-shaped rows, payload as JSON text, before any derived column."""
+def _lake_source(events: DataFrame, *more: str) -> DataFrame:
+    """Archive-shaped rows, payload as JSON text, before any derived column; and further columns as they are."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     user = F.col("user_id")
     names = F.create_map(*[F.lit(text) for pair in TYPE_NAMES.items() for text in pair])
@@ -104,7 +104,7 @@ def _lake_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("url"),
         F.lit(None).cast("string").alias("avatar_url"),
     )
-    return events_table(spark, sf_dir).select(
+    return events.select(
         _text(F.col("event_id")).alias("id"),
         names[F.col("event_type")].alias("type"),
         F.col("ts").alias("created_at"),
@@ -113,12 +113,13 @@ def _lake_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         repo.alias("repo"),
         _unset_if(user % 3 == 0, org).alias("org"),
         payload.alias("payload"),
+        *more,
     )
 
 
 def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake-shaped events, straight from the test table."""
-    return conform_to_lake(derive_columns(_lake_source(spark, sf_dir)))
+    return conform_to_lake(derive_columns(_lake_source(events_table(spark, sf_dir))))
 
 
 def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,22 +158,30 @@ def distant_landing(spark: SparkSession, sf_dir: str) -> str:
     return landing(spark, sf_dir, distant=True)
 
 
+def archive_lines(events: DataFrame, gaps: bool = False, distant: bool = False) -> DataFrame:
+    """JSON lines of the events and the archive that each is in.
+
+    The rows are shuffled, not the far longer lines, which are then built by as many tasks, however few the input has.
+    """
+    shift = F.when(F.col("event_id") % 97 == 0, F.col("event_id") % 49 - 24).otherwise(0) if distant else F.lit(0)
+    hour = F.col("ts") + F.make_dt_interval(hours=shift.cast("int"))
+    if gaps:
+        events = events.filter((F.day("ts") * 24 + F.hour("ts")) % 7 != 3)
+    stem = F.concat(F.date_format(hour, "yyyy-MM-dd"), F.lit("-"), _text(F.hour(hour)))
+    placed = events.withColumn("archive", F.concat(stem, F.lit(".json.gz"))).hint("rebalance", "archive")
+    stamp = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    fields = F.struct("id", "type", stamp.alias("created_at"), "public", "actor", "repo", "org")
+    line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substr(F.to_json(fields), F.lit(2)))
+    return _lake_source(placed, "archive").select(line.alias("value"), "archive")
+
+
 def landing(spark: SparkSession, sf_dir: str, gaps: bool = False, distant: bool = False) -> str:
     """Gzip JSON archives of all events, one folder per UTC hour."""
 
     def build() -> str:
         path = scratch_dir(spark, "landing")
-        rows = _lake_source(spark, sf_dir)
-        shift = F.when(F.col("id").cast("bigint") % 97 == 0, F.col("id").cast("bigint") % 49 - 24).otherwise(0) if distant else F.lit(0)
-        hour = F.col("created_at") + F.make_dt_interval(hours=shift.cast("int"))
-        if gaps:
-            rows = rows.filter((F.day("created_at") * 24 + F.hour("created_at")) % 7 != 3)
-        stamp = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-        fields = F.struct("id", "type", stamp.alias("created_at"), "public", "actor", "repo", "org")
-        line = F.concat(F.lit('{"payload":'), F.col("payload"), F.lit(","), F.substr(F.to_json(fields), F.lit(2)))
-        stem = F.concat(F.date_format(hour, "yyyy-MM-dd"), F.lit("-"), _text(F.hour(hour)))
-        lines = rows.select(line.alias("value"), F.concat(stem, F.lit(".json.gz")).alias("archive"))
-        lines.hint("rebalance", "archive").write.partitionBy("archive").option("compression", "gzip").text(path)
+        lines = archive_lines(events_table(spark, sf_dir), gaps, distant)
+        lines.write.partitionBy("archive").option("compression", "gzip").text(path)
         return path
 
     return _once(spark, sf_dir, f"landing {gaps} {distant}", build)
