@@ -188,3 +188,49 @@ def test_the_filter_lets_all_shared_pages_through(spark):
     assert j._let_through(shared, own).all()
     other = np.random.default_rng(1).integers(0, 2**63, 50_000, dtype=np.uint64)
     assert j._let_through(shared, other).mean() < 0.01
+
+
+def _largest(frame, monkeypatch):
+    """Bytes of the binary values that reach the driver by each collect() from here on."""
+    seen, collect = [], type(frame).collect
+
+    def counted(self):
+        rows = collect(self)
+        seen.append(sum(len(v) for row in rows for v in row if isinstance(v, bytes | bytearray)))
+        return rows
+
+    monkeypatch.setattr(type(frame), "collect", counted)
+    return seen
+
+
+def test_counters_and_filter_reach_the_driver_in_few_bytes(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, sentence(i * 7, 60)) for i in range(50)], SCHEMA)
+    seen = _largest(frame, monkeypatch)
+    pieces = j.points(frame, 80, 5).filter("row is not null")
+    levels = j.frequency_levels(pieces)
+    assert levels.dtype == np.uint8 and len(levels) == 1 << j.COUNTER_BITS
+    total = np.zeros((1 << j.COUNTER_BITS) // j.COUNTER_ROW * j.COUNTER_ROW, dtype=np.int64).reshape(-1, j.COUNTER_ROW)
+    assert 0 < seen[0] <= 1 << j.COUNTER_BITS  # a byte for each counter
+    for row in pieces.collect():
+        total[row["row"]] += np.frombuffer(row["frequency"], dtype="<i8")
+    assert total.any() and (levels == (2 * np.log2(1 + total.reshape(-1))).astype(np.uint8)).all()
+    seen.clear()
+    shared = j.shared_filter(spark.range(50_000).selectExpr("xxhash64(id) as page"))
+    assert len(shared) == 1 << (j.FILTER_BITS - 3) and seen[0] < 1 << 20
+
+
+def test_closures_of_addresses_are_small_while_the_filter_is_sparse(spark, monkeypatch):
+    from pyspark.cloudpickle import dumps
+
+    tasks, map_arrow = [], j.map_arrow
+    monkeypatch.setattr(j, "map_arrow", lambda frame, task, schema: tasks.append(task) or map_arrow(frame, task, schema))
+    frame = spark.createDataFrame([(i, sentence(i % 25 * 7, 60)) for i in range(50)], SCHEMA)
+    levels = np.zeros(1 << j.COUNTER_BITS, dtype=np.uint8)
+    plain = j.addresses(frame, 80, 5, frozenset(), levels)
+    every = np.array(sorted(r.page for r in plain.select("page").distinct().collect())).view(np.uint64)
+    shared = np.zeros(1 << (j.FILTER_BITS - 3), dtype=np.uint8)
+    byte, bit = j._places(every[::2])
+    np.bitwise_or.at(shared, byte, bit)
+    through = j.addresses(frame, 80, 5, frozenset(), levels, shared)
+    assert {r.page for r in through.collect()} == set(every[j._let_through(shared, every)].view(np.int64).tolist())
+    assert max(len(dumps(task)) for task in tasks) < 1 << 20

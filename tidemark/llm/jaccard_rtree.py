@@ -35,6 +35,7 @@ hashes of their words, equal sets by 128 bits.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,30 +196,42 @@ def points(documents: DataFrame, percent: int, width: int) -> DataFrame:
 def frequency_levels(pieces: DataFrame) -> np.ndarray:
     """How frequent the contents of each counter are over all tasks: twice the logarithm of their number, to the base 2.
 
-    The counters are of fixed size, whatever there is to count, and so is what reaches the driver: 8 MB.
+    The counters are of fixed size, whatever there is to count, and so is what reaches the driver: a byte for each, 1 MB.
     """
 
     def added(group: pa.Table) -> pa.Table:
         total = np.zeros(COUNTER_ROW, dtype="<i8")
         for piece in group["frequency"].to_pylist():
             total += np.frombuffer(piece, dtype="<i8")
-        return pa.table({"row": group["row"].slice(0, 1), "frequency": pa.array([total.tobytes()], pa.binary())})
+        level = (2 * np.log2(1 + total)).astype(np.uint8)
+        return pa.table({"row": group["row"].slice(0, 1), "level": pa.array([level.tobytes()], pa.binary())})
 
-    frequency = np.zeros((1 << COUNTER_BITS) // COUNTER_ROW * COUNTER_ROW, dtype="<i8").reshape(-1, COUNTER_ROW)
+    levels = np.zeros((1 << COUNTER_BITS) // COUNTER_ROW * COUNTER_ROW, dtype=np.uint8).reshape(-1, COUNTER_ROW)
     ship(pieces.sparkSession)
-    for row in pieces.select("row", "frequency").groupBy("row").applyInArrow(added, "row int, frequency binary").collect():
-        frequency[row["row"]] = np.frombuffer(row["frequency"], dtype="<i8")
-    return (2 * np.log2(1 + frequency.reshape(-1))).astype(np.uint8)
+    for row in pieces.select("row", "frequency").groupBy("row").applyInArrow(added, "row int, level binary").collect():
+        levels[row["row"]] = np.frombuffer(row["level"], dtype=np.uint8)
+    return levels.reshape(-1)
+
+
+def _packed(values: np.ndarray | None) -> bytes | None:
+    """Bytes for a task's closure: the driver holds a closure several times over, in Python, in the JVM and in the blocks that executors fetch."""
+    return None if values is None else zlib.compress(values.tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
 
 
 def addresses(
     documents: DataFrame, percent: int, width: int, single: frozenset[int], levels: np.ndarray, shared: np.ndarray | None = None
 ) -> DataFrame:
     """(page, one) for each set, once in a task: copies within a task add no rows. With a filter only pages that it lets through."""
+    packed_levels, packed_filter = _packed(levels), _packed(shared)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        level = levels.astype(np.uint64)
+        level = _unpacked(packed_levels).astype(np.uint64)
+        bits = None if packed_filter is None else _unpacked(packed_filter)
         for block in blocks(batches):
             pages, ones, sizes = [], [], []
             for items in shingle_sets(block, width):
@@ -226,7 +239,7 @@ def addresses(
                     continue
                 seen.add(ids)
                 own = _addresses(items, percent, single, level)
-                pages.append(own if shared is None else own[_let_through(shared, own)])
+                pages.append(own if bits is None else own[_let_through(bits, own)])
                 ones.append(ids[0])
                 sizes.append(len(pages[-1]))
             if pages:
@@ -250,7 +263,7 @@ def _let_through(shared: np.ndarray, pages: np.ndarray) -> np.ndarray:
 
 
 def shared_filter(pages: DataFrame) -> np.ndarray:
-    """A bit for each page of the frame by its hash: 8 MB, whatever their number.
+    """A bit for each page of the frame by its hash: 8 MB, whatever their number, and less on the way to the driver while most bits are clear.
 
     Where there are so many pages that most bits are set, more addresses go through that no other set has; none is held back.
     """
@@ -270,12 +283,12 @@ def shared_filter(pages: DataFrame) -> np.ndarray:
         total = np.zeros(COUNTER_ROW * 8, dtype=np.uint8)
         for piece in group["bits"].to_pylist():
             total |= np.frombuffer(piece, dtype=np.uint8)
-        return pa.table({"row": group["row"].slice(0, 1), "bits": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"row": group["row"].slice(0, 1), "bits": pa.array([_packed(total)], pa.binary())})
 
     rows = map_arrow(pages.select("page"), task, "row int, bits binary").groupBy("row").applyInArrow(united, "row int, bits binary")
     out = np.zeros((1 << (FILTER_BITS - 3)) // (COUNTER_ROW * 8) * COUNTER_ROW * 8, dtype=np.uint8).reshape(-1, COUNTER_ROW * 8)
     for row in rows.collect():
-        out[row["row"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+        out[row["row"]] = _unpacked(row["bits"])
     return out.reshape(-1)
 
 
