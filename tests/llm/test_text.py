@@ -3,7 +3,9 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +99,20 @@ def test_batches_are_bounded_by_bytes(spark):
     assert sum(got) > 300 * 100_000 and max(got) < 2 * frames.BATCH_BYTES
     with session_conf(spark, spark__sql__execution__arrow__maxBytesPerBatch="1g"):
         assert len(frames.map_arrow(rows, sizes, "bytes bigint").collect()) == 1
+
+
+def test_a_task_gives_back_what_it_freed():
+    """Python workers are reused, so what one task took must not stay with the worker."""
+    kept = []
+
+    def held() -> int:
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    def task(batches):
+        parts = [np.ones(12_500) for _ in range(2_000)]  # 200 MB in pieces that come from the heap
+        kept.extend(parts[::100])  # and some that stay, so that the heap cannot shrink from its top
+        yield from batches
+
+    before = held()
+    assert list(frames._giving_back(task)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 100
