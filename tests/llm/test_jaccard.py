@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import jaccard_rtree as j
@@ -234,3 +235,53 @@ def test_closures_of_addresses_are_small_while_the_filter_is_sparse(spark, monke
     through = j.addresses(frame, 80, 5, frozenset(), levels, shared)
     assert {r.page for r in through.collect()} == set(every[j._let_through(shared, every)].view(np.int64).tolist())
     assert max(len(dumps(task)) for task in tasks) < 1 << 20
+
+
+@pytest.fixture(scope="module")
+def cells():
+    """Whole cells with and without a tree, of one block and of two: rows, and the pairs of each cell that the finer bound lets through."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    rows, want, rep = [], {}, 0
+    for members, (n, i, k) in enumerate([(1, 0, 0), (2, 0, 0), (7, 0, 0), (j.SMALL, 0, 0), (j.SMALL + 1, 0, 0), (60, 0, 1), (9, 1, 2)]):
+        own = []
+        for x in range(n):
+            rep += 1
+            items = np.sort(rng.choice(pool, rng.integers(45, 60), replace=False))
+            own.append((members, n, i, k, int(rng.choice([i, k])), rep, int(rng.integers(0, 5)), len(items), j._fine(items)))
+        rows += own
+        want[members] = set()
+        for a, b in itertools.combinations(own, 2):
+            least = j.least_overlap(np.int64(a[7]), np.int64(b[7]), 80)
+            low = np.minimum(np.frombuffer(a[8], np.uint8), np.frombuffer(b[8], np.uint8)).sum()
+            if a[6] != b[6] and (i == k or a[4] != b[4]) and low >= least:
+                want[members].add((a[5], b[5]))
+    names = ["members", "n", "i", "j", "block", "rep", "comp", "size", "fine"]
+    return pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=names), want
+
+
+def test_cells_hand_on_every_pair(cells):
+    rows, want = cells
+    got = j._cell_pairs(rows, 80, False).to_pylist()
+    assert sorted((r["a"], r["b"]) for r in got) == sorted(x for pairs in want.values() for x in pairs)
+    assert len(want[2]) and len(want[4]) > 20
+
+
+def test_only_cells_with_many_pairs_hold_some_back(cells):
+    rows, want = cells
+    got = j._cell_pairs(rows, 80, True).to_pylist()
+    n = dict(zip(rows["members"].to_pylist(), rows["n"].to_pylist()))
+    many = {m for m, pairs in want.items() if len(pairs) > j.PAIRS * n[m]}
+    assert many and any(want[m] for m in want.keys() - many)
+    assert {(r["members"], r["n"]) for r in got if r["a"] is None} == {(m, n[m]) for m in many}
+    pairs = {(r["a"], r["b"]) for r in got if r["a"] is not None}
+    for m, own in want.items():
+        assert pairs & own == own if m not in many else len(pairs & own) < len(own)
+        assert {x for pair in pairs & own for x in pair} == {x for pair in own for x in pair}  # each point keeps its best
+
+
+def test_further_edges_join_known_components(spark):
+    known = spark.createDataFrame([(1, 1), (2, 1), (4, 4), (6, 4), (8, 8), (9, 8)], "node bigint, component bigint")
+    more = spark.createDataFrame([(6, 9), (3, 9), (5, 7), (2, 1), (8, 6)], "a bigint, b bigint")
+    got = sorted(map(tuple, j._merged(known, more).collect()))
+    assert got == [(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 3), (7, 5), (8, 3), (9, 3)]

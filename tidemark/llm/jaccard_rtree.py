@@ -21,8 +21,9 @@ the rule, all documents of that class are also addressed by single shingles.
 
 Only connectivity is asked for, so no group of n similar documents yields n*n
 pairs: equal sets are one point; each page first tries its members against its
-first one; only pages that still hold several components go to the tree, first
-for the best partner of each point and then for every pair left. A large
+first one; only pages that still hold several components go to the tree, for every
+pair of components. Where that gives more than a few pairs for each point, they go
+first for the best partner of each point and then for every pair left. A large
 page is cut into blocks, and pairs of blocks are separate tasks.
 
 Defined results: null, empty and wordless texts have no shingles and link with
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import components, map_arrow, ship, written
-from tidemark.llm.text import Block, blocks, mix, sequence_hash, words
+from tidemark.llm.text import HASH_BYTES, Block, blocks, mix, sequence_hash, words
 
 #: Coordinates of a point, and of the finer one that decides on pairs which the tree finds.
 GROUPS, FINE = 64, 1024
@@ -54,8 +55,10 @@ FIRST_CLASS = 5
 COUNTER_BITS, COUNTER_ROW = 20, 4096
 #: Bits of the filter of pages that several sets have, as a power of two.
 FILTER_BITS = 26
-#: Points of a page block, and of a tree node.
-BLOCK, FANOUT = 512, 16
+#: Points of a page block, and of a tree node; most points of a cell without a tree.
+BLOCK, FANOUT, SMALL = 512, 16, 32
+#: Pairs for each point up to which a cell hands on all it has at once.
+PAIRS = 2
 
 _EDGE = "a bigint, b bigint"
 
@@ -164,7 +167,7 @@ def points(documents: DataFrame, percent: int, width: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, seen = np.zeros(1 << COUNTER_BITS, dtype="<i8"), set()
-        for block in blocks(batches):
+        for block in blocks(batches, step=HASH_BYTES):
             size, one, two, counts, few, slots = [], [], [], [], [], []
             for items in shingle_sets(block, width):
                 size.append(len(items))
@@ -177,14 +180,14 @@ def points(documents: DataFrame, percent: int, width: int) -> DataFrame:
                     seen.add(ids)
                     slots += [_counter(_keys(items, c, c < FIRST_CLASS)[0]) for c in size_classes(len(items), percent)]
             if slots:
-                frequency += np.bincount(np.concatenate(slots), minlength=1 << COUNTER_BITS)
+                np.add.at(frequency, np.concatenate(slots), 1)
             columns = [
                 block.batch.column("doc_id").cast(pa.int64()), size, np.array(one, dtype=np.uint64).view(np.int64),
                 np.array(two, dtype=np.uint64).view(np.int64), counts, few, [None] * block.size, [None] * block.size,
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POINT.types)], schema=_POINT)
         if seen:
-            pieces = [piece.tobytes() for piece in frequency.reshape(-1, COUNTER_ROW)]
+            pieces = [piece.astype("<u4").tobytes() for piece in frequency.reshape(-1, COUNTER_ROW)]
             none = [None] * len(pieces)
             columns = [none, none, none, none, none, none, range(len(pieces)), pieces]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POINT.types)], schema=_POINT)
@@ -202,7 +205,7 @@ def frequency_levels(pieces: DataFrame) -> np.ndarray:
     def added(group: pa.Table) -> pa.Table:
         total = np.zeros(COUNTER_ROW, dtype="<i8")
         for piece in group["frequency"].to_pylist():
-            total += np.frombuffer(piece, dtype="<i8")
+            total += np.frombuffer(piece, dtype="<u4")
         level = (2 * np.log2(1 + total)).astype(np.uint8)
         return pa.table({"row": group["row"].slice(0, 1), "level": pa.array([level.tobytes()], pa.binary())})
 
@@ -232,7 +235,7 @@ def addresses(
         seen: set[tuple[int, int]] = set()
         level = _unpacked(packed_levels).astype(np.uint64)
         bits = None if packed_filter is None else _unpacked(packed_filter)
-        for block in blocks(batches):
+        for block in blocks(batches, step=HASH_BYTES):
             pages, ones, sizes = [], [], []
             for items in shingle_sets(block, width):
                 if not len(items) or (ids := _set_ids(items)) in seen:
@@ -324,16 +327,20 @@ def _fine(items: np.ndarray) -> bytes:
 
 
 def _fine_counts(column: pa.Array) -> np.ndarray:
-    out = np.empty((len(column), FINE), dtype=np.int32)
-    for i, raw in enumerate(column.to_pylist()):
-        out[i] = np.frombuffer(raw, dtype=f"<u{len(raw) // FINE}")
+    raw = column.to_pylist()
+    if all(len(x) == FINE for x in raw):
+        return np.frombuffer(b"".join(raw), dtype="<u1").reshape(-1, FINE)
+    out = np.empty((len(raw), FINE), dtype=np.uint32)
+    for i, x in enumerate(raw):
+        out[i] = np.frombuffer(x, dtype=f"<u{len(x) // FINE}")
     return out
 
 
-def _bounds(fine: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
+def _bounds(points: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
     """The sum of coordinate minima of each pair of rows."""
-    steps = [slice(i, i + 2048) for i in range(0, len(q), 2048)]
-    return np.concatenate([np.empty(0, np.int64), *(np.minimum(fine[q[s]], fine[p[s]]).sum(axis=1) for s in steps)])
+    width = max(1, (1 << 21) // points.shape[1])
+    steps = [slice(i, i + width) for i in range(0, len(q), width)]
+    return np.concatenate([np.empty(0, np.int64), *(np.minimum(points[q[s]], points[p[s]]).sum(axis=1, dtype=np.int64) for s in steps)])
 
 
 def _reachable(pairs: DataFrame, percent: int) -> DataFrame:
@@ -391,52 +398,91 @@ class Tree:
         return tuple(np.concatenate(out, axis=1))
 
 
-def _tree_pairs(cells: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of different components in a cell; cells are (members, n, i, j) with rows of blocks i and j."""
-    keys = ["members", "n", "i", "j"]
-
-    def join(cell: pa.Table) -> pa.RecordBatch:
-        rep, comp = cell["rep"].to_numpy(), cell["comp"].to_numpy()
-        sizes, block = cell["size"].to_numpy(), cell["block"].to_numpy()
-        fine = _fine_counts(cell["fine"].combine_chunks())
-        counts = fine.reshape(len(fine), GROUPS, -1).sum(axis=2)
-        i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        q, p, bound = Tree(counts[right], sizes[right]).search(counts[left], sizes[left], percent)
+def _best(share: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Whether each pair is the best one of either of its points."""
+    keep = np.zeros(len(q), dtype=bool)
+    for side in (q, p):
+        order = np.lexsort((-share, side))
+        keep[order[np.r_[True, np.diff(side[order]) != 0][: len(order)]]] = True
+    return keep
+
+
+_CELL = ["members", "n", "i", "j"]
+
+
+def _cell_pairs(rows: pa.Table, percent: int, best_only: bool) -> pa.RecordBatch:
+    """Pairs (a, b) of whole cells that lie one after another; and (members, n) of those cells that have more and hand on the best.
+
+    In a cell of up to ``SMALL`` points, whose tree would be little more than its leaves, every pair is bounded, many
+    cells in one step.
+    """
+    rep, comp = rows["rep"].to_numpy(), rows["comp"].to_numpy()
+    sizes, block = rows["size"].to_numpy(), rows["block"].to_numpy()
+    keys = np.column_stack([rows[k].to_numpy() for k in _CELL])
+    fine = _fine_counts(rows["fine"].combine_chunks())
+    counts = fine.reshape(len(fine), GROUPS, -1).sum(axis=2, dtype=np.int32)
+    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+    width = np.diff(np.r_[first, len(keys)])
+    cell = np.repeat(np.arange(len(first)), width)
+    across = keys[:, 2] != keys[:, 3]
+
+    after = np.where(width[cell] <= SMALL, (first + width)[cell] - np.arange(len(cell)) - 1, 0)
+    q = np.repeat(np.arange(len(cell)), after)
+    p = q + 1 + np.arange(len(q)) - np.repeat(np.cumsum(after) - after, after)
+    good = (comp[q] != comp[p]) & (~across[q] | (block[q] != block[p]))
+    q, p = q[good], p[good]
+    good = _bounds(counts, q, p) >= least_overlap(sizes[q], sizes[p], percent)
+    found = [(q[good], p[good])]
+    for c in np.flatnonzero(width > SMALL):
+        own = np.arange(first[c], first[c] + width[c])
+        left, right = own[block[own] == keys[first[c], 2]], own[block[own] == keys[first[c], 3]]
+        q, p, _ = Tree(counts[right], sizes[right]).search(counts[left], sizes[left], percent)
         q, p = left[q], right[p]
-        good = (comp[q] != comp[p]) & ((rep[q] < rep[p]) | (i != j))
+        good = (comp[q] != comp[p]) & ((rep[q] < rep[p]) | across[q])
+        found.append((q[good], p[good]))
+    q, p = (np.concatenate(x) for x in zip(*found))
+
+    bound, least = _bounds(fine, q, p), least_overlap(sizes[q], sizes[p], percent)
+    good = bound >= least
+    q, p, share = q[good], p[good], bound[good] / least[good]
+    many = np.zeros(len(first), dtype=bool)
+    if best_only:
+        many = np.bincount(cell[q], minlength=len(first)) > PAIRS * width
+        good = ~many[cell[q]] | _best(share, q, p)
         q, p = q[good], p[good]
-        bound = _bounds(fine, q, p)
-        good = bound >= least_overlap(sizes[q], sizes[p], percent)
-        q, p, bound = q[good], p[good], bound[good]
-        if best_only and len(q):
-            share = bound / least_overlap(sizes[q], sizes[p], percent)
-            keep = np.zeros(len(q), dtype=bool)
-            for side in (q, p):
-                order = np.lexsort((-share, side))
-                keep[order[np.r_[True, np.diff(side[order]) != 0]]] = True
-            q, p = q[keep], p[keep]
-        a, b = np.minimum(rep[q], rep[p]), np.maximum(rep[q], rep[p])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    left_over, nones = first[many], [None] * len(q)
+    columns = [
+        [*np.minimum(rep[q], rep[p]).tolist(), *[None] * len(left_over)], [*np.maximum(rep[q], rep[p]).tolist(), *[None] * len(left_over)],
+        [*nones, *keys[left_over, 0].tolist()], [*nones, *keys[left_over, 1].tolist()],
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "members", "n"])
+
+
+def _tree_pairs(cells: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Pairs (a, b) of different components in a cell; cells are (members, n, i, j) with rows of blocks i and j.
+
+    With ``best_only`` a cell of more than ``PAIRS`` pairs a point hands on the best of each point, and a row with its page in
+    (members, n) instead of a pair; all other cells hand on all they have.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # rows of the cell at hand; a cell has at most about two blocks
-        key = None
+        held: list[pa.RecordBatch] = []  # rows of the last cell, which may go on; a cell has at most about two blocks
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = np.column_stack([batch.column(k).to_numpy() for k in keys])
-            cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1), batch.num_rows]
-            for first, last in zip(cuts, cuts[1:]):
-                if key is not None and tuple(columns[first]) != key:
-                    yield join(pa.Table.from_batches(held))
-                    held = []
-                key = tuple(columns[first])
-                held.append(batch.slice(first, last - first))
+            columns = np.column_stack([batch.column(k).to_numpy() for k in _CELL])
+            cut = int(np.max(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1, initial=0))
+            if held and (cut or any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in _CELL)):
+                held += [batch.slice(0, cut)] if cut else []
+                yield _cell_pairs(pa.Table.from_batches(held), percent, best_only)
+                held = []
+            elif cut:
+                yield _cell_pairs(pa.Table.from_batches([batch.slice(0, cut)]), percent, best_only)
+            held.append(batch.slice(cut))
         if held:
-            yield join(pa.Table.from_batches(held))
+            yield _cell_pairs(pa.Table.from_batches(held), percent, best_only)
 
-    return map_arrow(cells.repartition(*keys).sortWithinPartitions(*keys), task, _EDGE).distinct()
+    return map_arrow(cells.repartition(*_CELL).sortWithinPartitions(*_CELL), task, "a bigint, b bigint, members bigint, n bigint")
 
 
 def _open_pages(pages: DataFrame, state: DataFrame) -> DataFrame:
@@ -465,6 +511,18 @@ def _components_of(classes: DataFrame, component: DataFrame) -> DataFrame:
     return state.select("one", F.coalesce("component", "rep").alias("comp"))
 
 
+def _merged(component: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) after further edges (a, b): only components that these meet are joined anew."""
+    ends = edges
+    for side in ("a", "b"):
+        known = component.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+        ends = ends.join(known, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    met = written(components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "met")
+    into = met.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    known = component.join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return known.unionByName(met.join(component.select("node"), "node", "left_anti"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by the intersection of their sets.
 
@@ -481,7 +539,7 @@ def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """rep, items, fine: the shingle hashes of the documents named, and the counts of their finer groups."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, step=HASH_BYTES):
             items = list(shingle_sets(block, width))
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int32)
             values = np.concatenate(items).view(np.int64)
@@ -537,15 +595,21 @@ def join(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     )
     edges = written(_verified(_reachable(stars, percent), sets, percent).unionByName(_one_document(named, classes)), "edges")
     component = written(components(edges), "component")
+    left = pages
     for best_only in (True, False):
         state = _components_of(classes, component)
-        open_ = written(_open_pages(pages, state), "open")
+        open_ = written(_open_pages(left, state), "open")
         if open_.isEmpty():
             break
-        cells = _cells(pages, open_, sets, classes, state)
-        more = _verified(_tree_pairs(cells, percent, best_only), sets, percent)
-        edges = written(edges.unionByName(more), "edges")
-        component = written(components(edges), "component")
+        found_pairs = written(_tree_pairs(_cells(left, open_, sets, classes, state), percent, best_only), "pairs")
+        more = _verified(found_pairs.filter("a is not null").select("a", "b").distinct(), sets, percent)
+        more = written(more, "edges")
+        if not more.isEmpty():
+            component = written(_merged(component, more), "component")
+        more_left = found_pairs.filter("a is null").select("members", "n").distinct()
+        if more_left.isEmpty():
+            break
+        left = pages.join(more_left, ["members", "n"], "left_semi")
 
     ids = named.select("doc_id", "size", "one", "two").join(classes.select("one", "two", "rep"), ["one", "two"])
     ids = ids.join(component, F.col("rep") == F.col("node"), "left")
